@@ -124,6 +124,16 @@ def top_k(df: DataFrame, partition: Sequence[str], order: Sequence[Column], k: i
     return out if rank_col else out.drop(name)
 
 
+def number_rows(df: DataFrame, partition: Sequence[str], order: Sequence[Column], out: str) -> DataFrame:
+    """``row_number()`` inside each partition, ascending in ``order`` (1-based)."""
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*partition).orderBy(*order)))
+
+
+def group_window(*cols: str):
+    """A whole-partition window (for group sizes and maxima on each row)."""
+    return Window.partitionBy(*cols)
+
+
 def decile(rank: ColumnLike, size: ColumnLike, buckets: int = 10) -> Column:
     """``ceil(buckets * rank / size)`` in exact integer arithmetic (never 0 for rank >= 1).
 

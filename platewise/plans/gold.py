@@ -121,17 +121,33 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
                       "percentile", "busi_dt")
 
 
+def shop_counts(orders: DataFrame, items: DataFrame, tags: DataFrame) -> DataFrame:
+    """Order lines per (shop_id, shop_name, dish, id), latest order versions only."""
+    ot = latest_version(orders.select("order_id", "shop_id", "shop_name", "updt_dttm"),
+                        "order_id", "updt_dttm")
+    lines = tagged_lines(ot.drop("updt_dttm"), items, tags)
+    return lines.groupBy("shop_id", "shop_name", "dish_type_l3", "category_id").agg(
+        F.count("order_id").alias("order_count"))
+
+
+def with_area(orders: DataFrame, shop: DataFrame, address: DataFrame) -> DataFrame:
+    """order -> shop -> address (left, left): adds ``address_subdistrict``.
+
+    The two dimensions are joined to each other first; the result is broadcast
+    after a size check, so the order side is not shuffled for them.
+    """
+    place = shop.select("shop_id", "address_id").join(
+        sized_broadcast(address.select("address_id", "address_subdistrict")), "address_id", "left")
+    return orders.join(sized_broadcast(place.select("shop_id", "address_subdistrict")), "shop_id", "left")
+
+
 def shop_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt) -> DataFrame:
     """Top dish per shop by order lines, over the latest version of each order.
 
     Counts group by (shop_id, shop_name, dish, id) and the top row is taken per
     shop_id; ties break on shop_name, dish, id.  Empty dishes are kept.
     """
-    ot = latest_version(orders.select("order_id", "shop_id", "shop_name", "updt_dttm"),
-                        "order_id", "updt_dttm")
-    lines = tagged_lines(ot.drop("updt_dttm"), items, tags)
-    counts = lines.groupBy("shop_id", "shop_name", "dish_type_l3", "category_id").agg(
-        F.count("order_id").alias("order_count"))
+    counts = shop_counts(orders, items, tags)
     top = top_k(counts, ["shop_id"], [F.col("order_count").desc(), F.col("shop_name").asc_nulls_first(),
                                       F.col("dish_type_l3").asc(), F.col("category_id").asc()], 1)
     return top.select("shop_id", "shop_name", F.col("dish_type_l3").alias("shop_category"),
@@ -145,11 +161,12 @@ def shop_category_change(today: DataFrame, prev: DataFrame, busi_dt,
     return changed.withColumn("busi_dt", F.lit(busi_dt).cast("date"))
 
 
-def area_category(orders: DataFrame, items: DataFrame, shop: DataFrame, address: DataFrame,
-                  tags: DataFrame, run_dates: Iterable[dt.date] | dt.date,
-                  windows: Sequence[int] = (1, 7, 30, 120, 365),
-                  attribution: str = "one_dish") -> DataFrame:
-    """Per (sub-district, dish, id): order amount and count over retro windows.
+def area_lines(orders: DataFrame, items: DataFrame, shop: DataFrame, address: DataFrame,
+               tags: DataFrame, run_dates: Iterable[dt.date] | dt.date,
+               windows: Sequence[int] = (1, 7, 30, 120, 365),
+               attribution: str = "one_dish") -> DataFrame:
+    """The order lines that count, per (run date, window): the input of the area
+    aggregation, with ``run_date`` and ``num_retro_days``.
 
     One pass for every (run date, window) pair instead of one job each: rows
     are read once for the widest span, each row is tagged with the pairs whose
@@ -163,10 +180,7 @@ def area_category(orders: DataFrame, items: DataFrame, shop: DataFrame, address:
     lo, hi = min(runs) - dt.timedelta(days=max(wins)), max(runs)
     o = orders.select("order_id", "total_amount", "shop_id", "order_date", "updt_dttm").where(
         (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") <= F.lit(hi)))
-    lines = tagged_lines(o, items, tags, drop_empty=True)
-    place = sized_broadcast(shop.select("shop_id", "address_id")).join(
-        sized_broadcast(address.select("address_id", "address_subdistrict")), "address_id", "left")
-    lines = lines.join(sized_broadcast(place.select("shop_id", "address_subdistrict")), "shop_id", "left")
+    lines = with_area(tagged_lines(o, items, tags, drop_empty=True), shop, address)
     pairs = F.array(*[F.struct(F.lit(r).alias("run_date"), F.lit(n).alias("num_retro_days"))
                       for r in runs for n in wins])
     hit = F.filter(pairs, lambda p: (F.col("order_date") >= F.date_sub(p["run_date"], p["num_retro_days"]))
@@ -183,6 +197,16 @@ def area_category(orders: DataFrame, items: DataFrame, shop: DataFrame, address:
                   .dropDuplicates(["run_date", "num_retro_days", "order_id", "dish_type_l3", "category_id"]))
     else:
         raise ValueError(f"attribution must be 'one_dish' or 'all_dishes', not {attribution!r}")
+    return picked
+
+
+def area_category(orders: DataFrame, items: DataFrame, shop: DataFrame, address: DataFrame,
+                  tags: DataFrame, run_dates: Iterable[dt.date] | dt.date,
+                  windows: Sequence[int] = (1, 7, 30, 120, 365),
+                  attribution: str = "one_dish") -> DataFrame:
+    """Per (sub-district, dish, id): order amount and count over retro windows
+    (see :func:`area_lines`); one aggregation for all windows and run dates."""
+    picked = area_lines(orders, items, shop, address, tags, run_dates, windows, attribution)
     agg = picked.groupBy("address_subdistrict", "dish_type_l3", "category_id", "run_date",
                          "num_retro_days").agg(
         F.sum(F.col("total_amount").cast("decimal(28,6)")).cast("double").alias("total_amount"),

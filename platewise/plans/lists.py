@@ -59,7 +59,13 @@ def own_lists(customer: DataFrame, exclude: Sequence[str] = (), k: int = 10) ->
         F.count("dish_type_l3").cast("long").alias("sv_dish_count"))
 
 
-def _decorate_by_map(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataFrame:
+def dish_structs(lists: DataFrame, id_map: DataFrame, col: str = "_padded", out: str = "gd_items",
+                 strict: bool = True) -> DataFrame:
+    """Names -> ``array<struct<id, name>>`` by a map built from the id mapper.
+
+    The mapper is a category dimension; its size is checked before it becomes
+    one map value (see :func:`customer_lists` for the join form above the bound).
+    """
     m = id_map.agg(F.map_from_entries(F.collect_list(
         F.struct(F.col("category_name"), F.col("category_id").cast("int")))).alias("m")).select("m").scalar()
     # A subquery may not sit inside a lambda: project it to a column first.
@@ -70,7 +76,12 @@ def _decorate_by_map(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataF
         if strict:
             idv = F.coalesce(idv, F.raise_error(F.concat(F.lit("no category id for "), x)).cast("int"))
         return F.struct(idv.alias("id"), x.alias("name"))
-    return lists.withColumn("gd_dish_types", F.to_json(F.transform("_padded", item))).drop("_idmap")
+    return lists.withColumn(out, F.transform(col, item)).drop("_idmap")
+
+
+def _decorate_by_map(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataFrame:
+    s = dish_structs(lists, id_map, "_padded", "_items", strict)
+    return s.withColumn("gd_dish_types", F.to_json("_items")).drop("_items")
 
 
 def _decorate_by_join(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataFrame:
@@ -90,6 +101,23 @@ def _decorate_by_join(lists: DataFrame, id_map: DataFrame, strict: bool) -> Data
     return out.withColumn("gd_dish_types", F.coalesce("gd_dish_types", F.lit("[]")))
 
 
+def default_row(spark, top: Column, k: int = 10) -> DataFrame:
+    """The ``default`` list: the ``k`` most popular dishes, count fixed at ``k``
+    (so it is never padded)."""
+    return spark.range(1).select(
+        F.lit("default").alias("user_id"), F.slice(top, 1, k).alias("sv_dish_types"),
+        F.lit(k).cast("long").alias("sv_dish_count"))
+
+
+def padded_lists(customer: DataFrame, popular: DataFrame, exclude: Sequence[str] = (),
+                 k: int = 10) -> DataFrame:
+    """Own lists plus the default row, with ``_padded`` (the padded, cut list)."""
+    top = top_list(popular, 2 * k)
+    own = own_lists(customer, exclude, k)
+    return (own.unionByName(default_row(customer.sparkSession, top, k)).withColumn("_top", top)
+            .withColumn("_padded", pad_list("sv_dish_types", "_top", "sv_dish_count", k)).drop("_top"))
+
+
 def customer_lists(customer: DataFrame, popular: DataFrame, id_map: DataFrame, busi_dt,
                    exclude: Sequence[str] = (), k: int = 10, strict: bool = True) -> DataFrame:
     """One row per customer: own top-``k`` dishes, padded from popularity when
@@ -97,13 +125,7 @@ def customer_lists(customer: DataFrame, popular: DataFrame, id_map: DataFrame, b
 
     NULL customers are left out (they would be a NULL primary key).
     """
-    top = top_list(popular, 2 * k)
-    own = own_lists(customer, exclude, k)
-    default = customer.sparkSession.range(1).select(
-        F.lit("default").alias("user_id"), F.slice(top, 1, k).alias("sv_dish_types"),
-        F.lit(k).cast("long").alias("sv_dish_count"))
-    lists = (own.unionByName(default).withColumn("_top", top)
-             .withColumn("_padded", pad_list("sv_dish_types", "_top", "sv_dish_count", k)).drop("_top"))
+    lists = padded_lists(customer, popular, exclude, k)
     n_map = id_map.limit(MAP_MAX_ROWS + 1).count()
     if n_map <= MAP_MAX_ROWS:
         out = _decorate_by_map(lists, id_map, strict)

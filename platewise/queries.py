@@ -134,4 +134,19 @@ QUERIES: dict[str, Query] = {
     "kv_export": kv_export,
     "serve_recommendations": serve_recommendations,
     "upsert_by_key": upsert_by_key,
+    # the same jobs under the names of the operators they are made of
+    "join_decile_fanout": menu_category_faithful,
+    "lookup_with_default": serve_recommendations,
+    "agg_area_dish": area_category,
+    "win_rank_expr_partition": customer_category,
+    "win_top1_group": shop_category,
+    "sort_by_aggregate": agg_popularity,
+    "union_positional": customer_category_list,
+    "udf_list_builder": customer_category_list,
 }
+
+
+def all_queries() -> dict[str, Query]:
+    from platewise.operator_queries import OPERATOR_QUERIES
+
+    return {**QUERIES, **OPERATOR_QUERIES}
