@@ -63,7 +63,15 @@ def _padded(f: Fixtures) -> DataFrame:
 
 
 def _lists(f: Fixtures) -> DataFrame:
-    return lists.customer_lists(_cc(f), _pop(f), f.category_id_mapper(), RUN_DATE, EXCLUDE, LIST_K)
+    from platewise.queries import _lists as stored_area_lists
+
+    return stored_area_lists(f)
+
+
+def _served(f: Fixtures) -> DataFrame:
+    from platewise.queries import _stored_lists
+
+    return lists.serve(f.requests(), _stored_lists(f))
 
 
 def _distinct_ranked(f: Fixtures) -> DataFrame:
@@ -317,7 +325,7 @@ def sort_multi_key(spark, sf):
 
 def limit_list(spark, sf):
     f = _f(spark, sf)
-    served = lists.serve_items(lists.serve(f.requests(), _lists(f)))
+    served = lists.serve_items(_served(f))
     return served.select("user_id", F.transform(F.slice("recommended_items", 1, LIST_K),
                                                 lambda x: x["name"]).alias("names"))
 
@@ -393,7 +401,7 @@ def fn_to_json(spark, sf):
 
 def fn_from_json(spark, sf):
     f = _f(spark, sf)
-    served = lists.serve_items(lists.serve(f.requests(), _lists(f)))
+    served = lists.serve_items(_served(f))
     return _exploded(served, "recommended_items")
 
 

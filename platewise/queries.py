@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from platewise.plans import gold, lists
+from platewise.session import work_path
+from platewise.sources import sinks
 from platewise.sources.fixtures import (
     EXCLUDE,
     LIST_K,
@@ -83,10 +85,21 @@ def _lists(f: Fixtures, busi=RUN_DATE, cutoff=None) -> DataFrame:
     cc = gold.customer_category(o, f.order_item(), tags, busi)
     area = gold.area_category(f.order_transaction(), f.order_item(), f.shop(), f.address(), tags,
                               [busi], WINDOWS)
-    pop = lists.popular_dishes(area, 7, EXCLUDE)
+    # As in the daily pipeline, the list job reads the stored area table
+    # (partitioned by busi_dt, so the latest day is a pruned partition).
+    path = work_path(f.spark, "area_category")
+    sinks.write_append(area, path, ["busi_dt"])
+    pop = lists.popular_dishes(sinks.read_table_dir(f.spark, path), 7, EXCLUDE)
     return lists.customer_lists(cc, pop, f.category_id_mapper(), busi, EXCLUDE, LIST_K)
 
 
+def _stored_lists(f: Fixtures) -> DataFrame:
+    """The list feature table as the serving side sees it: upserted, then read."""
+    table = sinks.KeyedTable(work_path(f.spark, "customer_category_list"), keys=["user_id"])
+    table.upsert(_lists(f))
+    return table.read(f.spark)
+
+
 def agg_popularity(spark: SparkSession, sf: str) -> DataFrame:
     f = Fixtures(spark, sf)
     pop = lists.popular_dishes(_area(f), 7, EXCLUDE)
@@ -104,13 +117,10 @@ def kv_export(spark: SparkSession, sf: str) -> DataFrame:
 
 def serve_recommendations(spark: SparkSession, sf: str) -> DataFrame:
     f = Fixtures(spark, sf)
-    return lists.serve(f.requests(), _lists(f))
+    return lists.serve(f.requests(), _stored_lists(f))
 
 
 def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    from platewise.sources import sinks
-    from platewise.session import work_path
-
     f = Fixtures(spark, sf)
     prev = _lists(f, PREV_RUN_DATE, PREV_CUTOFF)
     today = _lists(f)

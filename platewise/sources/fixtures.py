@@ -53,21 +53,20 @@ class Fixtures:
                   .when(F.col("o_orderstatus") == "P", "CANCELLED"))
         user = F.when(F.col("o_custkey") % 97 == 0, F.lit(None).cast("string")) \
             .otherwise(F.col("o_custkey").cast("string"))
-        common = [F.col("o_orderkey").alias("order_id"), user.alias("user_id"),
-                  F.col("shop_id"), F.col("shop_name")]
-        current = base.select(
-            *common,
-            F.col("o_totalprice").alias("total_amount"),
-            status.alias("order_status"),
+        # One scan: every order yields its current version, and every tenth
+        # order also an older one (flag ``_old``).
+        old = F.explode(F.when(F.col("o_orderkey") % 10 == 0, F.array(F.lit(False), F.lit(True)))
+                        .otherwise(F.array(F.lit(False))))
+        v = base.withColumn("_old", old)
+        is_old = F.col("_old")
+        return v.select(
+            F.col("o_orderkey").alias("order_id"), user.alias("user_id"), "shop_id", "shop_name",
+            F.when(is_old, F.col("o_totalprice") / 2).otherwise(F.col("o_totalprice")).alias("total_amount"),
+            F.when(is_old & (F.col("o_orderkey") % 20 != 0), F.lit("PENDING")).otherwise(status)
+            .alias("order_status"),
             F.to_date("o_orderdate").alias("order_date"),
-            (F.col("o_orderdate") + F.expr("INTERVAL 1 DAY")).alias("updt_dttm"))
-        older = base.where(F.col("o_orderkey") % 10 == 0).select(
-            *common,
-            (F.col("o_totalprice") / 2).alias("total_amount"),
-            F.when(F.col("o_orderkey") % 20 == 0, status).otherwise(F.lit("PENDING")).alias("order_status"),
-            F.to_date("o_orderdate").alias("order_date"),
-            F.col("o_orderdate").alias("updt_dttm"))
-        return current.unionByName(older)
+            F.when(is_old, F.col("o_orderdate")).otherwise(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
+            .alias("updt_dttm"))
 
     def order_item(self) -> DataFrame:
         return self.raw("lineitem").select(F.col("l_orderkey").alias("order_id"),
