@@ -17,7 +17,7 @@ ColumnLike = Column | str
 
 # Largest row count of a side that is broadcast on a size check.  Dimension
 # tables (shops, menus, mappers) above this go through a shuffle join instead.
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def _col(c: ColumnLike) -> Column:
