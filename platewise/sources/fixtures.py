@@ -7,6 +7,7 @@ that uses them grows with the data.  Nothing here is collected.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,17 +28,48 @@ def _norm(c):
     return F.replace(F.lower(c), F.lit(" "), F.lit("_"))
 
 
+# (application id, sf dir, table) -> parquet path of the materialised table
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(method):
+    """Materialise a logical table once per application (see :class:`Fixtures`)."""
+    @functools.wraps(method)
+    def wrapper(self) -> DataFrame:
+        if not self.materialise:
+            return method(self)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, method.__name__)
+        path = _STORED.get(key)
+        if path is None:
+            from platewise.session import work_path
+
+            path = work_path(self.spark, f"fixture-{method.__name__}")
+            method(self).write.parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
+    return wrapper
+
+
 class Fixtures:
-    """The logical tables of the pipeline, mapped onto ``sf_dir``."""
+    """The logical tables of the pipeline, mapped onto ``sf_dir``.
+
+    With ``materialise`` (the default) each logical table is computed from the
+    driver's tables once per application and written as parquet below the
+    shared checkpoint folder, as the source tables of the daily jobs would be
+    stored; jobs then read real parquet scans (pushdown, pruning, size
+    statistics).  ``materialise=False`` returns the lazy mapping plans.
+    """
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialise: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self.materialise = materialise
 
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     # ---- ordering -------------------------------------------------------
+    @stored
     def order_transaction(self) -> DataFrame:
         """Order versions: the current one, plus an older one for every tenth order."""
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus",
@@ -68,24 +100,29 @@ class Fixtures:
             F.when(is_old, F.col("o_orderdate")).otherwise(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
             .alias("updt_dttm"))
 
+    @stored
     def order_item(self) -> DataFrame:
         return self.raw("lineitem").select(F.col("l_orderkey").alias("order_id"),
                                            F.col("l_partkey").alias("menu_id"))
 
     # ---- merchant -------------------------------------------------------
+    @stored
     def shop(self) -> DataFrame:
         return self.raw("supplier").select(F.col("s_suppkey").alias("shop_id"),
                                            F.col("s_nationkey").alias("address_id"))
 
+    @stored
     def address(self) -> DataFrame:
         return self.raw("nation").select(F.col("n_nationkey").alias("address_id"),
                                          F.col("n_name").alias("address_subdistrict"))
 
+    @stored
     def menu(self) -> DataFrame:
         return self.raw("part").select(F.col("p_partkey").alias("menu_id"),
                                        F.col("p_name").alias("menu_name"))
 
     # ---- tagging mappers ------------------------------------------------
+    @stored
     def category_id_mapper(self) -> DataFrame:
         """category_name -> 1-based id, by name order (a small dimension)."""
         names = self.raw("part").select(_norm(F.col("p_name")).alias("category_name")).distinct()
@@ -93,11 +130,13 @@ class Fixtures:
             "category_name",
             F.row_number().over(Window.orderBy("category_name")).alias("category_id"))
 
+    @stored
     def dish_type_encoder(self) -> DataFrame:
         m = self.category_id_mapper()
         return m.select((F.col("category_id") - 1).alias("category_id"),
                         F.col("category_name").alias("dish_type_l3"))
 
+    @stored
     def category_name_mapper(self) -> DataFrame:
         """Only ``small_*`` names are renamed, to 'Tiny <Noun>' (mixed case, a space)."""
         m = self.category_id_mapper().where(F.col("category_name").startswith("small_"))
@@ -105,6 +144,7 @@ class Fixtures:
         return m.select(F.col("category_name").alias("dish_type_l3"),
                         F.concat(F.lit("Tiny "), F.initcap(noun)).alias("new_dish_type"))
 
+    @stored
     def dish_tagging(self) -> DataFrame:
         """The already-tagged menus (every part but ``p_partkey % 10 = 9``)."""
         p = self.raw("part").select("p_partkey", "p_name")
@@ -123,14 +163,17 @@ class Fixtures:
             F.lit(TAGGING_RUN_DATE).alias("run_date"))
 
     # ---- training and serving ------------------------------------------
+    @stored
     def training_data(self) -> DataFrame:
         return self.raw("documents").select(F.col("doc_id").alias("key"),
                                             F.col("text").alias("dish_name"),
                                             F.col("lang").alias("dish_type_l3"))
 
+    @stored
     def vector_data(self) -> DataFrame:
         return self.raw("embeddings").select(F.col("vec_id").alias("key"), "embedding", "label")
 
+    @stored
     def requests(self) -> DataFrame:
         e = self.raw("events").select("event_id", "user_id")
         known = e.select(F.col("user_id").cast("string").alias("user_id"))
