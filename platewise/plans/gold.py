@@ -133,11 +133,12 @@ def shop_counts(orders: DataFrame, items: DataFrame, tags: DataFrame) -> DataFra
 def with_area(orders: DataFrame, shop: DataFrame, address: DataFrame) -> DataFrame:
     """order -> shop -> address (left, left): adds ``address_subdistrict``.
 
-    The two dimensions are joined to each other first; the result is broadcast
-    after a size check, so the order side is not shuffled for them.
+    The two dimensions are joined to each other first (Spark and AQE pick that
+    strategy); the result is broadcast after a size check, so the order side is
+    not shuffled for them.
     """
     place = shop.select("shop_id", "address_id").join(
-        sized_broadcast(address.select("address_id", "address_subdistrict")), "address_id", "left")
+        address.select("address_id", "address_subdistrict"), "address_id", "left")
     return orders.join(sized_broadcast(place.select("shop_id", "address_subdistrict")), "shop_id", "left")
 
 
@@ -185,15 +186,23 @@ def area_lines(orders: DataFrame, items: DataFrame, shop: DataFrame, address: Da
                       for r in runs for n in wins])
     hit = F.filter(pairs, lambda p: (F.col("order_date") >= F.date_sub(p["run_date"], p["num_retro_days"]))
                    & (F.col("order_date") <= p["run_date"]))
-    x = lines.withColumn("_w", F.explode(hit)).select(
-        "*", F.col("_w.run_date").alias("run_date"), F.col("_w.num_retro_days").alias("num_retro_days")
-    ).drop("_w")
+
+    def in_windows(df: DataFrame) -> DataFrame:
+        return df.withColumn("_w", F.explode(hit)).select(
+            "*", F.col("_w.run_date").alias("run_date"), F.col("_w.num_retro_days").alias("num_retro_days")
+        ).drop("_w")
+
     newest = [F.col("updt_dttm").desc(), F.col("dish_type_l3").asc(), F.col("category_id").asc()]
     if attribution == "one_dish":
-        picked = top_k(x, ["run_date", "num_retro_days", "order_id"], newest, 1)
+        # Window membership depends only on the order date, so the newest line of
+        # an order inside a window is the newest of its per-date newest lines:
+        # pick per (order, date) before the windows multiply the rows.  Both
+        # windows run in the order_id partitioning of the join (no exchange).
+        per_date = top_k(lines, ["order_id", "order_date"], newest, 1)
+        picked = top_k(in_windows(per_date), ["run_date", "num_retro_days", "order_id"], newest, 1)
     elif attribution == "all_dishes":
         w = Window.partitionBy("run_date", "num_retro_days", "order_id")
-        picked = (x.withColumn("_top", F.max("updt_dttm").over(w)).where(F.col("updt_dttm") == F.col("_top"))
+        picked = (in_windows(lines).withColumn("_top", F.max("updt_dttm").over(w)).where(F.col("updt_dttm") == F.col("_top"))
                   .dropDuplicates(["run_date", "num_retro_days", "order_id", "dish_type_l3", "category_id"]))
     else:
         raise ValueError(f"attribution must be 'one_dish' or 'all_dishes', not {attribution!r}")

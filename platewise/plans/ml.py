@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from platewise.functions.arrays import argmax, max_prob
 from platewise.functions.text import clean_text
+from platewise.operators.relational import sized_broadcast
 
 
 def fit_labels(df: DataFrame, label_col: str) -> DataFrame:
@@ -32,7 +33,7 @@ def fit_labels(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def encode_labels(df: DataFrame, label_col: str, encoder: DataFrame, out: str = "label") -> DataFrame:
-    enc = F.broadcast(encoder.select(F.col("dish_type_l3").alias("_lbl"), F.col("category_id").alias(out)))
+    enc = sized_broadcast(encoder.select(F.col("dish_type_l3").alias("_lbl"), F.col("category_id").alias(out)))
     return df.join(enc, F.col(label_col) == F.col("_lbl"), "inner").drop("_lbl")
 
 

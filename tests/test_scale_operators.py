@@ -82,3 +82,24 @@ def test_schema_evolution(spark):
     new = spark.createDataFrame([(2, "x")], "a int, b string")
     out = sorted(map(tuple, sinks.union_evolve(old, new).collect()))
     assert out == [(1, None), (2, "x")]
+
+
+def test_area_versions_with_different_order_dates(spark):
+    """An order whose versions moved in time counts, per window, for the newest
+    version whose date is inside that window."""
+    d = dt.date
+    orders = spark.createDataFrame(
+        [(1, 100.0, 10, d(2001, 7, 30), dt.datetime(2001, 7, 30)),   # old version, recent date
+         (1, 80.0, 10, d(2001, 6, 1), dt.datetime(2001, 7, 31)),     # newest version, older date
+         (2, 50.0, 10, d(2001, 8, 1), dt.datetime(2001, 8, 1))],
+        "order_id long, total_amount double, shop_id long, order_date date, updt_dttm timestamp")
+    items = spark.createDataFrame([(1, 7), (1, 8), (2, 8)], "order_id long, menu_id long")
+    tags = spark.createDataFrame([(7, "a", 1), (8, "b", 2)],
+                                 "menu_id long, new_dish_type_l3 string, new_category_id int")
+    shop = spark.createDataFrame([(10, 5)], "shop_id long, address_id int")
+    address = spark.createDataFrame([(5, "X")], "address_id int, address_subdistrict string")
+    out = gold.area_category(orders, items, shop, address, tags, [RUN_DATE], [7, 120])
+    got = sorted((r.num_retro_days, r.dish_type_l3, r.total_amount, r.total_orders) for r in out.collect())
+    # 7 days: order 1 only has its old version (dish a first), order 2 dish b
+    # 120 days: order 1's newest version (amount 80, dish a first), order 2 dish b
+    assert got == [(7, "a", 100.0, 1), (7, "b", 50.0, 1), (120, "a", 80.0, 1), (120, "b", 50.0, 1)]
