@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -23,14 +23,15 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _versions(spark: SparkSession, root: str) -> list[str]:
+def _versions(spark: SparkSession, root: str, committed_only: bool = True) -> list[str]:
+    """Version directories ``v=NNNNNNNN`` of ``root``; committed ones have ``_SUCCESS``."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+        if name.startswith("v=") and (not committed_only or fs.exists(st.getPath().suffix("/_SUCCESS"))):
             out.append(name)
     return sorted(out)
 
@@ -56,7 +57,7 @@ def read_table_dir(spark: SparkSession, path: str, merge_schema: bool = True) ->
 def write_snapshot(df: DataFrame, root: str) -> str:
     """Write a full snapshot as the next version of ``root``; returns its path."""
     spark = df.sparkSession
-    vs = _versions(spark, root)
+    vs = _versions(spark, root, committed_only=False)  # a failed write's number is not reused
     nxt = f"{root.rstrip('/')}/v={int(vs[-1][2:]) + 1 if vs else 1:08d}"
     df.write.mode("errorifexists").parquet(nxt)
     return nxt
@@ -73,11 +74,27 @@ def union_evolve(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if a key occurs twice (a separate job; see :func:`fail_on_duplicates`)."""
     dup = df.groupBy(*keys).count().where(F.col("count") > 1).limit(1)
     if not dup.isEmpty():
         raise DuplicateKeyError(f"duplicate key in upsert batch: {dup.first()}")
 
 
+def fail_on_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows, failing the job that writes them if a key occurs twice.
+
+    Checked inside the write job (a count over the key, in the shuffle by key
+    the merge needs anyway), so the batch is computed once, not once for a
+    check and again for the write.
+    """
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    msg = F.concat(F.lit("duplicate key in upsert batch: "),
+                   F.to_json(F.struct(*[F.col(k) for k in keys])))
+    return (df.withColumn("_dup_n", n)
+            .where(F.when(F.col("_dup_n") > 1, F.raise_error(msg).cast("boolean")).otherwise(F.lit(True)))
+            .drop("_dup_n"))
+
+
 def merge_by_key(current: DataFrame | None, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Matched rows replaced, new rows inserted, the rest kept (one anti join)."""
     if current is None:
@@ -107,7 +124,6 @@ class KeyedTable:
         for k in self.keys:
             c = F.col(k).isNotNull()
             cond = c if cond is None else cond & c
-        updates = updates.where(cond)
-        check_unique(updates, self.keys)
+        updates = fail_on_duplicates(updates.where(cond), self.keys)
         merged = merge_by_key(read_snapshot(spark, self.root), updates, self.keys)
         return write_snapshot(merged, self.root)
