@@ -26,8 +26,8 @@ def _class_item(lo: int, hi: int) -> str:
     return esc(lo) if lo == hi else f"{esc(lo)}-{esc(hi)}"
 
 
-#: Regex matching one character that is *not* kept.
-DROP_PATTERN = "[^" + "".join(_class_item(lo, hi) for lo, hi in KEPT_RANGES) + "]"
+#: Regex matching a run of characters that are *not* kept (one replacement per run).
+DROP_PATTERN = "[^" + "".join(_class_item(lo, hi) for lo, hi in KEPT_RANGES) + "]+"
 
 
 def clean_text(c: Column | str) -> Column:
