@@ -27,6 +27,7 @@ from platewise.operators.relational import (
     sized_broadcast,
     top_k,
 )
+from platewise.operators.skew import split_hot_join
 
 SHOP_KEYS = ("shop_id", "shop_name", "shop_category", "category_id", "order_count")
 
@@ -45,9 +46,18 @@ def tag_view(tags: DataFrame, drop_empty: bool = False) -> DataFrame:
 def tagged_lines(orders: DataFrame, items: DataFrame, tags: DataFrame,
                  drop_empty: bool = False) -> DataFrame:
     """Order rows x their lines x the line's dish tag (inner: an untagged line
-    never survives the reference's ``dish IS NOT NULL`` filter)."""
-    lines = items.select("order_id", "menu_id").join(
-        sized_broadcast(tag_view(tags, drop_empty)), "menu_id")
+    never survives the reference's ``dish IS NOT NULL`` filter).
+
+    Tags are broadcast when their size is proven small; otherwise the lines
+    join them by a shuffle in which hot menus are split off.
+    """
+    t = tag_view(tags, drop_empty)
+    bt = sized_broadcast(t)
+    it = items.select("order_id", "menu_id")
+    if bt is t:  # above the broadcast bound: shuffle join, with hot menus split off
+        lines = split_hot_join(it, t, "menu_id")
+    else:
+        lines = it.join(bt, "menu_id")
     return orders.join(lines, "order_id")
 
 
