@@ -30,6 +30,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("PLATEWISE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,6 +38,34 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def tune_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int = 256 << 20,
+                   min_partitions: int = 200, max_partitions: int = 50_000) -> dict[str, str]:
+    """Size shuffles and scan splits for ``input_bytes`` of input, so a task's
+    share fits executor memory without spilling: about ``partition_bytes`` per
+    scan split and per shuffle partition (AQE coalesces the small ones and
+    splits skewed ones).  The shuffle partition count is capped at
+    ``max_partitions``: shuffles carry partially aggregated rows, far less than
+    the input, and map x reduce block counts grow with the square.  Settings
+    the cluster was launched with are left alone.  Returns what was set.
+    """
+    wanted = {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(min(max_partitions,
+                                                max(min_partitions, -(-input_bytes // partition_bytes)))),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+    launch = spark.sparkContext.getConf()
+    done = {}
+    for k, v in wanted.items():
+        if not launch.contains(k):  # a value the cluster was launched with wins
+            spark.conf.set(k, v)
+            done[k] = v
+    return done
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, as the cluster names it.
 

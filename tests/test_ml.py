@@ -36,3 +36,33 @@ def test_batch_scoring_matches_native_argmax(spark):
     s = ml.score(v, "embedding", ml.identity_predict_fn(), batch_size=64, width=64)
     bad = s.where(F.col("category_id") != argmax("embedding")).count()
     assert bad == 0
+
+
+def test_char_ngram_model_and_vector_model(spark):
+    td = Fixtures(spark, SF_SMALL).training_data()
+    enc = ml.fit_labels(td, "dish_type_l3")
+    data = ml.encode_labels(td, "dish_type_l3", enc)
+    model = ml.train_text(data, "dish_name", analyzer="char", ngram=3, max_iter=10, num_features=1 << 14)
+    pred = ml.predict(model, data, text_col="dish_name")
+    assert pred.count() == data.count()
+    assert pred.where((F.col("prob") < 0) | (F.col("prob") > 1)).count() == 0
+    v = Fixtures(spark, SF_SMALL).vector_data()
+    vm = ml.train_vec(v, "embedding", "label", max_iter=10)
+    vp = ml.predict(vm, v, vector_col="embedding")
+    assert vp.select("category_id").where(F.col("category_id").isNull()).count() == 0
+
+
+def test_tune_for_input_leaves_fixed_settings(spark):
+    from platewise.session import tune_for_input
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    old_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    done = tune_for_input(spark, 100 << 40)
+    try:
+        assert "spark.sql.shuffle.partitions" not in done  # the test session was launched with 8
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        assert done["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    finally:
+        for k in done:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old_split)

@@ -21,3 +21,30 @@ def test_stream_serving_matches_batch(spark):
     want = sorted(map(tuple, lists.serve(spark.read.parquet(src), lst).collect()))
     assert got == want
     assert dict((r[0], r[2]) for r in got) == {"u1": False, "u2": True}
+
+
+def test_stream_tagging_per_batch(spark):
+    from platewise.plans import tagging
+    from platewise.sources.fixtures import TAGGING_RUN_DATE, Fixtures
+    from platewise.streaming.micro_batch import start_tagging
+
+    from conftest import SF_SMALL
+
+    f = Fixtures(spark, SF_SMALL)
+    src = work_path(spark, "menus")
+    f.menu().write.parquet(src)
+
+    def tag(batch):
+        new = tagging.new_menus(batch, f.dish_tagging())
+        scored = new.join(f.dish_type_encoder().withColumnRenamed("dish_type_l3", "_n"),
+                          F.replace(F.lower("menu_name"), F.lit(" "), F.lit("_")) == F.col("_n")).drop("_n")
+        return tagging.decode_tags(scored.withColumn("prob", F.lit(1.0)), f.dish_type_encoder(),
+                                   f.category_name_mapper(), f.category_id_mapper(), TAGGING_RUN_DATE,
+                                   on_missing="null")
+
+    sink, ckpt = work_path(spark, "tags"), work_path(spark, "ckpt")
+    q = start_tagging(spark.readStream.schema(f.menu().schema).parquet(src), tag, sink, ckpt)
+    q.awaitTermination(120)
+    out = spark.read.parquet(sink)
+    assert out.count() == tagging.new_menus(f.menu(), f.dish_tagging()).count()
+    assert out.where(F.col("dish_type_l3") == "other").count() >= 0
