@@ -50,7 +50,10 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("busi_
         w.mode("append").parquet(path)
 
 
-def read_table_dir(spark: SparkSession, path: str, merge_schema: bool = True) -> DataFrame:
+def read_table_dir(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """Read a (partitioned) table directory.  ``merge_schema`` reconciles files
+    written before and after a schema change, at the cost of reading every
+    file footer, so it is off unless asked for."""
     return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 

@@ -108,3 +108,11 @@ def test_area_versions_with_different_order_dates(spark):
     # 7 days: order 1 only has its old version (dish a first), order 2 dish b
     # 120 days: order 1's newest version (amount 80, dish a first), order 2 dish b
     assert got == [(7, "a", 100.0, 1), (7, "b", 50.0, 1), (120, "a", 80.0, 1), (120, "b", 50.0, 1)]
+
+
+def test_read_after_schema_growth(spark):
+    path = work_path(spark, "grow")
+    sinks.write_append(spark.createDataFrame([(1, dt.date(2001, 8, 1))], "x int, busi_dt date"), path)
+    sinks.write_append(spark.createDataFrame([(2, "y", dt.date(2001, 8, 2))], "x int, y string, busi_dt date"), path)
+    got = sorted(map(tuple, sinks.read_table_dir(spark, path, merge_schema=True).select("x", "y").collect()))
+    assert got == [(1, None), (2, "y")]
