@@ -169,3 +169,37 @@ def test_default_row_is_never_padded(spark):
     assert out["default"].sv_dish_count == 10 and out["default"].sv_dish_types == ["d0", "d1", "d2"]
     assert out["u"].sv_dish_types == ["a"]
     assert out["u"].gd_dish_types.startswith('[{"id":1,"name":"a"},{"id":10,"name":"d0"}')
+
+
+def test_retro_window_inclusive_both_ends(spark):
+    days = [dt.date(2001, 7, 24), dt.date(2001, 7, 25), dt.date(2001, 8, 1), dt.date(2001, 8, 2)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    got = [r.d for r in df.where(R.in_retro("d", D, 7)).orderBy("d").collect()]
+    assert got == [dt.date(2001, 7, 25), dt.date(2001, 8, 1)]
+
+
+def test_exclude_list_drops_null_too(spark):
+    df = spark.createDataFrame([("a",), ("b",), (None,)], "d string")
+    assert [r.d for r in R.exclude_values(df, "d", ["a"]).collect()] == ["b"]
+
+
+def test_renamed_shop_splits_counts_and_one_row_survives(spark):
+    orders = spark.createDataFrame(
+        [(1, 10, "Old name", dt.datetime(2001, 1, 1)), (2, 10, "New name", dt.datetime(2001, 1, 2)),
+         (3, 10, "New name", dt.datetime(2001, 1, 3))],
+        "order_id long, shop_id long, shop_name string, updt_dttm timestamp")
+    items = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 8)], "order_id long, menu_id long")
+    tags = spark.createDataFrame([(7, "a", 1), (8, "b", 2)],
+                                 "menu_id long, new_dish_type_l3 string, new_category_id int")
+    out = gold.shop_category(orders, items, tags, D).collect()
+    # counts are lines: (Old, a) 2, (New, a) 1, (New, b) 1 -> one row per shop_id
+    assert [(r.shop_id, r.shop_name, r.shop_category, r.order_count) for r in out] == [(10, "Old name", "a", 2)]
+
+
+def test_null_users_left_out_of_lists(spark):
+    cc = spark.createDataFrame([(None, "a", 1, None, 1), ("u", "a", 1, 10, 1)],
+                               "user_id string, dish_type_l3 string, category_id int, decile int, rank int")
+    pop = spark.createDataFrame([("a", 5)], "dish_type_l3 string, total_orders long")
+    idm = spark.createDataFrame([("a", 1)], "category_name string, category_id int")
+    users = sorted(r.user_id for r in lists.customer_lists(cc, pop, idm, D).collect())
+    assert users == ["default", "u"]
