@@ -6,10 +6,10 @@ Spark derives from them), so it can be checked alone against the oracle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.functions.arrays import argmax, key_json, max_prob, parse_dish_list, tagged_names
+from platewise.functions.arrays import argmax, key_json, max_prob, tagged_names
 from platewise.functions.text import clean_text, normalise_name, percentile_label
 from platewise.operators import relational as R
 from platewise.plans import gold, lists, ml, tagging

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.arrays import key_json, pad_list, parse_dish_list
-from platewise.operators.relational import exclude_values, latest, sized_broadcast, top_k
+from platewise.operators.relational import exclude_values, latest, top_k
 
 # Largest id mapper turned into an in-plan map literal; above it the ids are
 # attached by a join instead.

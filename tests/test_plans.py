@@ -26,3 +26,26 @@ def test_decile_needs_no_self_join(spark):
     p = df._jdf.queryExecution().optimizedPlan().toString()
     # the decile comes from dense_rank over the user, not distinct + join back
     assert "dense_rank" in p
+
+
+def test_area_windows_reuse_the_order_join_partitioning(spark):
+    """With sort-merge joins (large inputs), the per-order picks run in the
+    order_id partitioning of the join: no exchange keyed by the window columns."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        p = plan(all_queries()["area_category"](spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    exchanges = [line.strip() for line in p.splitlines() if "Exchange hashpartitioning" in line]
+    assert any("hashpartitioning(order_id" in e for e in exchanges)
+    assert not any("run_date" in e.split("),")[0] and "address_subdistrict" not in e for e in exchanges), exchanges
+    assert "SortMergeJoin" in p
+
+
+def test_customer_windows_share_one_user_shuffle(spark):
+    p = plan(all_queries()["customer_category"](spark, SF_SMALL))
+    by_user = [line for line in p.splitlines() if "Exchange hashpartitioning(user_id#" in line and "," not in
+               line.split("hashpartitioning(")[1].split(")")[0].replace(", 8", "").replace(", 200", "")]
+    assert len(by_user) <= 1, by_user
