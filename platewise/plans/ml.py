@@ -57,7 +57,7 @@ def split(df: DataFrame, key: str, seed: int, test: float = 0.2, val: float = 0.
 
 
 def text_pipeline(label_col: str = "label", analyzer: str = "word", ngram: int = 3,
-                  num_features: int = 1 << 18, max_iter: int = 60, reg: float = 1e-4) -> Pipeline:
+                  num_features: int = 1 << 18, max_iter: int = 25, reg: float = 1e-4) -> Pipeline:
     """tokens (words or character n-grams) -> hashed TF -> IDF -> softmax regression.
 
     Reads the cleaned text column ``_clean`` (see :func:`with_clean_text`).
