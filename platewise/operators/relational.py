@@ -90,7 +90,7 @@ def decode_label(df: DataFrame, encoder: DataFrame, id_col: str = "category_id",
                  out: str = "dish_type_l3", strict: bool = True) -> DataFrame:
     """Class id -> name by the encoder table; class 0 is always ``'other'``.
 
-    An id that the encoder lacks fails the job when ``strict`` (the reference
+    An id that the encoder lacks fails the job when ``strict`` (the original job
     raises on a missing dict key), otherwise gives NULL.
     """
     enc = sized_broadcast(encoder.select(F.col("category_id").alias("_enc_id"),

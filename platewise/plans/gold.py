@@ -46,7 +46,7 @@ def tag_view(tags: DataFrame, drop_empty: bool = False) -> DataFrame:
 def tagged_lines(orders: DataFrame, items: DataFrame, tags: DataFrame,
                  drop_empty: bool = False) -> DataFrame:
     """Order rows x their lines x the line's dish tag (inner: an untagged line
-    never survives the reference's ``dish IS NOT NULL`` filter).
+    never survives the original jobs' ``dish IS NOT NULL`` filter).
 
     Tags are broadcast when their size is proven small; otherwise the lines
     join them by a shuffle in which hot menus are split off.
@@ -183,7 +183,7 @@ def area_lines(orders: DataFrame, items: DataFrame, shop: DataFrame, address: Da
     are read once for the widest span, each row is tagged with the pairs whose
     inclusive window holds its order date, and one aggregation follows.  Inside
     each pair an order counts for exactly one line: the newest version's first
-    dish (``one_dish``, the reference's numbering after the item fan-out), or
+    dish (``one_dish``, the original numbering after the item fan-out), or
     for every distinct dish of the newest version (``all_dishes``).
     """
     runs = retro_dates([run_dates] if isinstance(run_dates, (dt.date, str)) else run_dates)
