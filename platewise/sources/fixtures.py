@@ -28,8 +28,13 @@ def _norm(c):
     return F.replace(F.lower(c), F.lit(" "), F.lit("_"))
 
 
-# (application id, sf dir, table) -> parquet path of the materialised table
-_STORED: dict[tuple[str, str, str], str] = {}
+# (application id, sf dir, table) -> how to read the materialised table
+_STORED: dict[tuple[str, str, str], tuple[str, str]] = {}
+
+#: Order tables are stored bucketed by order_id with this many buckets, so the
+#: jobs join them without a shuffle (see ``sinks.write_bucketed``).
+ORDER_BUCKETS = 8
+_BUCKETED = {"order_transaction": ["order_id"], "order_item": ["order_id"]}
 
 
 def stored(method):
@@ -38,15 +43,27 @@ def stored(method):
     def wrapper(self) -> DataFrame:
         if not self.materialise:
             return method(self)
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, method.__name__)
-        path = _STORED.get(key)
-        if path is None:
+        name = method.__name__
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _STORED:
             from platewise.session import work_path
-
-            path = work_path(self.spark, f"fixture-{method.__name__}")
-            method(self).write.parquet(path)
-            _STORED[key] = path
-        return self.spark.read.parquet(path)
+            from platewise.sources.sinks import write_bucketed
+
+            path = work_path(self.spark, f"fixture-{name}")
+            df = method(self)
+            if name in _BUCKETED:
+                table = f"platewise_{name}_{path.rsplit('-', 1)[-1][:12]}"
+                try:
+                    write_bucketed(df, table, path, _BUCKETED[name], ORDER_BUCKETS)
+                    _STORED[key] = ("table", table)
+                except Exception:  # a catalog that cannot hold the table: plain files
+                    df.write.mode("overwrite").parquet(path)
+                    _STORED[key] = ("path", path)
+            else:
+                df.write.parquet(path)
+                _STORED[key] = ("path", path)
+        kind, where = _STORED[key]
+        return self.spark.table(where) if kind == "table" else self.spark.read.parquet(where)
     return wrapper
 
 
