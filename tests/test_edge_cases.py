@@ -203,3 +203,17 @@ def test_null_users_left_out_of_lists(spark):
     idm = spark.createDataFrame([("a", 1)], "category_name string, category_id int")
     users = sorted(r.user_id for r in lists.customer_lists(cc, pop, idm, D).collect())
     assert users == ["default", "u"]
+
+
+def test_literal_row_and_safe_conform(spark):
+    from platewise.schemas import CUSTOMER_CATEGORY_LIST
+    from platewise.sources.tables import literal_row
+
+    row = literal_row(spark, CUSTOMER_CATEGORY_LIST, user_id="default", sv_dish_types=["a", "b"],
+                      sv_dish_count=10).first()
+    assert (row.user_id, row.sv_dish_types, row.sv_dish_count, row.gd_dish_types) == ("default", ["a", "b"], 10, None)
+    df = spark.createDataFrame([("7",), ("x",)], "category_id string")
+    schema = T.StructType([T.StructField("category_id", T.IntegerType())])
+    assert [r[0] for r in R.conform(df, schema, safe=True).collect()] == [7, None]
+    with pytest.raises(Exception):
+        R.conform(df, schema).collect()
