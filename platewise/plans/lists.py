@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.arrays import key_json, pad_list, parse_dish_list
-from platewise.operators.relational import exclude_values, latest, top_k
+from platewise.operators.relational import exclude_values, latest, sized_broadcast, top_k
 
 # Largest id mapper turned into an in-plan map literal; above it the ids are
 # attached by a join instead.
@@ -145,11 +145,22 @@ def serve(requests: DataFrame, lists: DataFrame, key: str = "user_id",
     """Answer every request with the customer's list, or the ``default`` list.
 
     The default row is fetched once as a scalar subquery (it fails if the
-    keyed table holds two default rows); the rest is one equi left join.
+    keyed table holds two default rows); the rest is one equi join, with the
+    requests broadcast when their size is proven small.
     """
     default = lists.where(F.col(key) == default_key).select("gd_dish_types").scalar()
-    got = requests.select(key).join(
-        lists.select(key, F.col("gd_dish_types").alias("_gd")), key, "left")
+    req = requests.select(key)
+    table = lists.select(key, F.col("gd_dish_types").alias("_gd"))
+    small = sized_broadcast(req)
+    if small is not req:
+        # A small batch of requests against a large table: a broadcast semi
+        # join streams the table once without shuffling it and keeps the
+        # requested keys; the table is keyed, so the hits are at most as many
+        # as the (size-checked) requests and can be broadcast in turn.
+        hits = table.join(small, key, "left_semi")
+        got = req.join(F.broadcast(hits), key, "left")
+    else:
+        got = req.join(table, key, "left")
     return got.select(
         key,
         F.coalesce(F.col("_gd"), default).alias("recommended_items"),

@@ -52,3 +52,17 @@ def test_rank_blocks_without_broadcast(spark, monkeypatch):
     got = _rows(R.rank_in_group(df, "g", [F.col("v").asc()], "rk", "n", num_partitions=6))
     assert got == want
     assert {r for r in want if r[0] == "0"} and all(1 <= int(r[2]) <= 1000 for r in want)
+
+
+def test_serve_paths_agree(spark, monkeypatch):
+    lst = spark.createDataFrame([("default", "[d]"), ("u1", "[a]"), ("u2", "[b]")],
+                                "user_id string, gd_dish_types string")
+    req = spark.createDataFrame([("u1",), ("u1",), ("u3",), (None,)], "user_id string")
+    small = lists.serve(req, lst)
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    want = sorted(map(lambda r: tuple(str(x) for x in r), small.collect()))
+    orig = R.sized_broadcast
+    monkeypatch.setattr(lists, "sized_broadcast", lambda d, max_rows=1: orig(d, 1))
+    got = sorted(map(lambda r: tuple(str(x) for x in r), lists.serve(req, lst).collect()))
+    assert got == want
+    assert ("u3", "[d]", "True") in want and ("u1", "[a]", "False") in want and ("None", "[d]", "True") in want
