@@ -116,3 +116,22 @@ def test_read_after_schema_growth(spark):
     sinks.write_append(spark.createDataFrame([(2, "y", dt.date(2001, 8, 2))], "x int, y string, busi_dt date"), path)
     got = sorted(map(tuple, sinks.read_table_dir(spark, path, merge_schema=True).select("x", "y").collect()))
     assert got == [(1, None), (2, "y")]
+
+
+def test_area_all_dishes_attribution(spark):
+    d = dt.date
+    orders = spark.createDataFrame(
+        [(1, 100.0, 10, d(2001, 7, 30), dt.datetime(2001, 7, 31)),
+         (1, 40.0, 10, d(2001, 7, 30), dt.datetime(2001, 7, 30))],
+        "order_id long, total_amount double, shop_id long, order_date date, updt_dttm timestamp")
+    items = spark.createDataFrame([(1, 7), (1, 8), (1, 8)], "order_id long, menu_id long")
+    tags = spark.createDataFrame([(7, "a", 1), (8, "b", 2)],
+                                 "menu_id long, new_dish_type_l3 string, new_category_id int")
+    shop = spark.createDataFrame([(10, 5)], "shop_id long, address_id int")
+    address = spark.createDataFrame([(5, "X")], "address_id int, address_subdistrict string")
+    one = gold.area_category(orders, items, shop, address, tags, [RUN_DATE], [7])
+    every = gold.area_category(orders, items, shop, address, tags, [RUN_DATE], [7], attribution="all_dishes")
+    assert sorted((r.dish_type_l3, r.total_amount, r.total_orders) for r in one.collect()) == [("a", 100.0, 1)]
+    # each distinct dish of the newest version counts the order once, with the newest amount
+    assert sorted((r.dish_type_l3, r.total_amount, r.total_orders) for r in every.collect()) == [
+        ("a", 100.0, 1), ("b", 100.0, 1)]
