@@ -13,6 +13,7 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,9 +66,15 @@ def gold_tables(spark: SparkSession, src: Inputs, tags: DataFrame, out: Layout,
     area = gold.area_category(src.orders, src.items, src.shop, src.address, tags, [busi], windows)
     sinks.write_append(area, out.path("area_category"), ["busi_dt"])
 
-    base = gold.user_dish_counts(src.orders, src.items, tags)
-    sinks.write_snapshot(gold.customer_category(None, None, None, busi, base=base), out.path("customer_category"))
-    sinks.write_snapshot(gold.menu_category(None, None, None, busi, base=base), out.path("menu_category"))
+    # Two sinks read the per-user base: keep it (memory, then disk; recomputed
+    # from lineage if an executor is lost) while both are written.
+    base = gold.user_dish_counts(src.orders, src.items, tags).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        sinks.write_snapshot(gold.customer_category(None, None, None, busi, base=base),
+                             out.path("customer_category"))
+        sinks.write_snapshot(gold.menu_category(None, None, None, busi, base=base), out.path("menu_category"))
+    finally:
+        base.unpersist()
 
     prev = sinks.read_snapshot(spark, out.path("shop_category"))
     shop_today = gold.shop_category(src.orders, src.items, tags, busi)
