@@ -59,3 +59,25 @@ def test_bucketed_order_tables_join_without_shuffle(spark):
             assert "Exchange hashpartitioning(order_id" not in p, k
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_area_prunes_month_partitions(spark):
+    import uuid
+
+    from pyspark.sql import functions as F
+
+    from platewise.plans import gold
+    from platewise.session import work_path
+    from platewise.sources import sinks
+    from platewise.sources.fixtures import RUN_DATE, WINDOWS, Fixtures
+
+    f = Fixtures(spark, SF_SMALL)
+    o = f.order_transaction().withColumn("order_month", F.trunc("order_date", "month"))
+    name = f"orders_by_month_{uuid.uuid4().hex[:8]}"
+    stored = sinks.write_bucketed(o, name, work_path(spark, name), ["order_id"], 8, ["order_month"])
+    args = (f.order_item(), f.shop(), f.address(), f.dish_tagging(), [RUN_DATE], WINDOWS)
+    pruned = gold.area_category(stored, *args, month_col="order_month")
+    p = plan(pruned)
+    assert "PartitionFilters: [isnotnull(order_month" in p and "order_month#" in p
+    want = gold.area_category(f.order_transaction(), *args)
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, want.collect()))
