@@ -57,10 +57,13 @@ def split(df: DataFrame, key: str, seed: int, test: float = 0.2, val: float = 0.
 
 
 def text_pipeline(label_col: str = "label", analyzer: str = "word", ngram: int = 3,
-                  num_features: int = 1 << 18, max_iter: int = 25, reg: float = 1e-4) -> Pipeline:
+                  num_features: int = 1 << 16, max_iter: int = 25, reg: float = 1e-4) -> Pipeline:
     """tokens (words or character n-grams) -> hashed TF -> IDF -> softmax regression.
 
-    Reads the cleaned text column ``_clean`` (see :func:`with_clean_text`).
+    Reads the cleaned text column ``_clean`` (see :func:`with_clean_text`).  The
+    model holds classes x ``num_features`` coefficients and is shipped to every
+    executor that scores, so the hash width is kept moderate (2^16: about 50 MB
+    for 100 dish classes).
     """
     if analyzer == "char":
         stages = [RegexTokenizer(inputCol="_clean", outputCol="_chars", pattern="", gaps=True,
