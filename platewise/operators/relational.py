@@ -194,7 +194,7 @@ def rank_in_group(df: DataFrame, group: str, order: Sequence[Column], rank_col:
     cond = (F.col("_pid") == F.col("_bpid")) & F.col(group).eqNullSafe(F.col("_bgroup"))
     out = s.join(blocks, cond, "inner")
     pos = F.col("_pos") - F.col("_first") + F.coalesce(F.col("_before"), F.lit(0)) + 1
-    return (out.withColumn(rank_col, pos.cast("int"))
+    return (out.withColumn(rank_col, pos.cast("long"))
             .withColumn(size_col, F.col(size_col).cast("long"))
             .drop("_pid", "_pos", "_bpid", "_bgroup", "_first", "_before"))
 
