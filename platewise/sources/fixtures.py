@@ -44,7 +44,7 @@ def stored(method):
         if not self.materialise:
             return method(self)
         name = method.__name__
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.conf.get("spark.app.id"), self.sf_dir, name)
         if key not in _STORED:
             from platewise.session import work_path
             from platewise.sources.sinks import write_bucketed
