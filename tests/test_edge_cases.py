@@ -217,3 +217,27 @@ def test_literal_row_and_safe_conform(spark):
     assert [r[0] for r in R.conform(df, schema, safe=True).collect()] == [7, None]
     with pytest.raises(Exception):
         R.conform(df, schema).collect()
+
+
+def test_pad_list_matches_the_padding_rule_on_random_cases(spark):
+    import random
+
+    rnd = random.Random(3)
+    names = [f"d{i}" for i in range(25)]
+    cases = []
+    for _ in range(500):
+        own = [rnd.choice(names) for _ in range(rnd.randint(0, 10))]
+        top = rnd.sample(names, rnd.randint(0, 25))
+        cases.append((own, top, len(own)))
+
+    def rule(own, top, count, k=10):
+        out = list(own)
+        if count < k:
+            for d in top:
+                if d not in out and len(out) < k:
+                    out.append(d)
+        return out[:k]
+
+    df = spark.createDataFrame(cases, "own array<string>, top array<string>, n long")
+    got = [r[0] for r in df.select(pad_list("own", "top", "n", 10)).collect()]
+    assert got == [rule(*c) for c in cases]
