@@ -40,10 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from platewise.llm.common import small_batches
+
 BLOCK_CHARS = 1 << 19  # text read at once
 WINDOW_BYTES = 1 << 11  # bytes merged at once inside a long piece
 LONG_PIECE = 64  # bytes from which a piece is streamed and not remembered
-CACHE_WORDS = 1 << 19  # pieces that one Python worker remembers
+CACHE_WORDS = 1 << 18  # pieces that one Python worker remembers
 LETTER, NUMBER, OTHER, BLANK, SPACE = range(5)
 
 
@@ -360,7 +362,7 @@ def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col:
 
     def run(batches):
         table = merge_table(path)
-        for b in batches:
+        for b in small_batches(batches):
             ids = table.encode_batch(b.column(1).to_pylist())
             at = np.cumsum([0, *map(len, ids)]).astype(np.int32)
             flat = pa.array(np.concatenate([np.zeros(0, np.int32), *ids]), pa.int32())
@@ -376,7 +378,7 @@ def decode_documents(df: DataFrame, path: str, ids_col: str = "ids", out: str =
 
     def run(batches):
         table, step = merge_table(path), 1 << 16
-        for b in batches:
+        for b in small_batches(batches):
             texts = []
             for row in b.column(names.index(ids_col)):
                 ids = row.values.drop_null().to_numpy() if row.is_valid else ()

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,6 +20,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch], target_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches to rows of about ``target_bytes`` (a row is never cut), so that
+    a Python worker's memory doesn't follow the rows per batch of the session."""
+    for b in batches:
+        rows = max(1, b.num_rows * target_bytes // max(1, b.nbytes))
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def words(text: str | Column) -> Column:
     """Words of a text; NULL and blank texts have none."""
     c = F.col(text) if isinstance(text, str) else text

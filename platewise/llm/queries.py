@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe
+from platewise.llm import bpe, packing, sharding
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,7 +23,19 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
+
+
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard_documents(_table(spark, sf_dir, "documents"), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_sharding": op6_sharding,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 ORACLE: dict[str, str] = {}
