@@ -46,6 +46,15 @@ def parts(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+BROADCAST_IDS = 1 << 20
+
+
+def broadcast_ids(ids: DataFrame) -> DataFrame:
+    """Hint a broadcast for a stored frame of one fixed-width column if it has at most
+    ``BROADCAST_IDS`` rows (some 16 MB); beyond that Spark joins it by a shuffle."""
+    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+
+
 def number_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str,
                      slices: int | None = None) -> DataFrame:
     """Gapless positions from 0 inside each group, without a whole group in one task.
@@ -81,19 +90,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 6
     round is stored in the shared folder; O(log n) rounds.
     """
     e = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
-    e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = stored(e, "edges")
+    e = stored(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # every node keeps a link to its own minimum
-        large = large.unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct()
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
+        large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.where("m < u").select("u", F.col("m").alias("v"))).distinct())
         large = stored(large, "large-star")
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = (small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "low")
+        small = (large.join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).distinct())
         e = stored(small, "small-star")
         mark = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()

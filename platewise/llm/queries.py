@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, packing, sharding
+from platewise.llm import bpe, minhash, packing, sharding, substrings
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -15,6 +15,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
     text = bpe.decode_documents(ids, BYTE_BPE)
@@ -23,6 +28,10 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
 
@@ -34,8 +43,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sharding": op6_sharding,
+    "op7_substring_dedup": op7_substring_dedup,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 ORACLE: dict[str, str] = {}

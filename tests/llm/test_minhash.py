@@ -1,0 +1,111 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from platewise.llm import minhash
+from platewise.llm.common import components
+from platewise.llm.text_arrays import Words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def lower(text):
+    return (text or "").translate({c: c + 32 for c in range(65, 91)})
+
+
+def shingles(text, k):
+    w = WORD.findall(lower(text))
+    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
+
+
+def find_roots(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def brute(rows, k, percent):
+    sets = {i: shingles(t, k) for i, t in rows}
+    holders = defaultdict(list)
+    for i, s in sets.items():
+        for x in s:
+            holders[x].append(i)
+    links = set()
+    for i, s in sets.items():
+        for j in {j for x in s for j in holders[x] if j > i}:
+            both = len(s & sets[j])
+            if 100 * both >= percent * (len(s) + len(sets[j]) - both):
+                links.add((i, j))
+    return {i: len(s) for i, s in sets.items()}, find_roots(sets, links), links
+
+
+def copies(rng, rows, n):
+    """Near copies of long texts, in chains, so that members of a bucket aren't all linked."""
+    out, at = [], 10**7
+    for _, text in rng.sample([r for r in rows if r[1] and 40 < len(r[1].split()) < 150], n):
+        words = text.split()
+        for _ in range(12):
+            words = list(words)
+            for _ in range(rng.randint(0, 3)):
+                words[rng.randrange(len(words))] = rng.choice(["zebra", "quagga", "okapi"]) + str(rng.randrange(9))
+            out.append((at, " ".join(words)))
+            at += 1
+    return out
+
+
+def test_near_duplicates_equal_brute_force(spark, docs_rows):
+    rows = docs_rows + copies(random.Random(4), docs_rows, 15)
+    df = spark.createDataFrame(rows + [rows[0]], "doc_id long, text string").withColumn("component_id", F.lit(5)).repartition(5)
+    for k, percent in ((3, 85), (5, 80)):
+        size, root, _ = brute(rows, k, percent)
+        got = minhash.near_duplicates(df, k=k, percent=percent).collect()
+        assert sorted(r.doc_id for r in got) == sorted([i for i, _ in rows] + [rows[0][0]])
+        for r in got:
+            assert (r.n_shingles, r.component_id, r.kept) == (size[r.doc_id], root[r.doc_id], root[r.doc_id] == r.doc_id)
+        assert len(set(root.values())) < len(rows) - 100
+
+
+def test_empty_table_and_null_id(spark, docs):
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0
+    df = spark.createDataFrame([(None, "a b c d e"), (1, "a b c d e"), (2, None)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in minhash.near_duplicates(df).collect()}
+    assert got == {None: (1, 1, False), 1: (1, 1, True), 2: (0, 2, True)}
+
+
+def test_signature_matches_similarity():
+    rng = np.random.default_rng(0)
+    both = rng.integers(0, 1 << 63, 400, np.uint64) * np.uint64(2)
+    a, b = (np.unique(np.concatenate([both, rng.integers(0, 1 << 63, 50, np.uint64)])) for _ in range(2))
+    sig = minhash.signatures([a, b, a[:1], a[:7], b[:8]], 160)
+    some = a[::60]
+    spread = minhash.signatures([some], 160)[0]
+    assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.12
+    assert len(set(sig[2].tolist())) == 1 and set(spread.tolist()) <= set(some.tolist())
+
+
+def test_words():
+    texts = ["", None, " a\tB\x0bc ", "x", "\x85nbsp y z"]
+    w = Words(texts, lower=True)
+    assert np.diff(w.at).tolist() == [0, 0, 3, 1, 2]
+    assert w.text(2, np.array([True, False, True])) == b"a c"
+    assert w.mark[1] == Words(["b"]).mark[0]
+
+
+def test_components_of_paths_stars_and_loops(spark):
+    rng = random.Random(0)
+    links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 600)] + [(7, 7), (3, 9), (9, 3)]
+    links += [(rng.randrange(1000, 1300), rng.randrange(1000, 1300)) for _ in range(200)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    want = find_roots({x for e in links for x in e if e[0] != e[1]}, links)
+    assert got == want
