@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, minhash, packing, sharding, substrings
+from platewise.llm import bpe, minhash, packing, sharding, substrings, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,6 +32,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.link_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, capacity=1024, end_id=2)
 
@@ -44,6 +48,7 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sharding": op6_sharding,
     "op7_substring_dedup": op7_substring_dedup,

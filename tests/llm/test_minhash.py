@@ -9,6 +9,8 @@ from platewise.llm import minhash
 from platewise.llm.common import components
 from platewise.llm.text_arrays import Words
 
+from .brute import find_roots
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -21,20 +23,6 @@ def shingles(text, k):
     return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
 
 
-def find_roots(nodes, links):
-    parent = {n: n for n in nodes}
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in links:
-        a, b = sorted((find(a), find(b)))
-        parent[b] = a
-    return {n: find(n) for n in nodes}
-
-
 def brute(rows, k, percent):
     sets = {i: shingles(t, k) for i, t in rows}
     holders = defaultdict(list)
@@ -107,5 +95,6 @@ def test_components_of_paths_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 600)] + [(7, 7), (3, 9), (9, 3)]
     links += [(rng.randrange(1000, 1300), rng.randrange(1000, 1300)) for _ in range(200)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
-    want = find_roots({x for e in links for x in e if e[0] != e[1]}, links)
+    links = [e for e in links if e[0] != e[1]]
+    want = find_roots({x for e in links for x in e}, links)
     assert got == want
