@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, minhash, packing, sharding, substrings, vectors
+from platewise.llm import bpe, minhash, packing, quality_model, quality_rules, sharding, substrings, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,10 +28,22 @@ def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), k=3, percent=85)
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_model.train(docs, _table(spark, sf_dir, "labels"))
+    scored = quality_model.score(docs, model, out="score")
+    return scored.select("doc_id", quality_model.held_out("doc_id").alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.link_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.93)
 
@@ -47,11 +59,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_embedding_near_dedup": op4_embedding_near_dedup,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sharding": op6_sharding,
     "op7_substring_dedup": op7_substring_dedup,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
-ORACLE: dict[str, str] = {}
+ORACLE = {
+    "op1_quality_rules": quality_rules.oracle(),
+}
