@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, minhash, packing, quality_model, quality_rules, sharding, substrings, vectors
+from platewise.llm import bpe, minhash, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +20,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(_table(spark, sf_dir, "documents"))
+    count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
+    return found.select("doc_id", *[count(i).alias(f"n_{k}") for i, k in enumerate(pii.KINDS)],
+                        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"))
+
+
 def op10_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = bpe.encode_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
     text = bpe.decode_documents(ids, BYTE_BPE)
@@ -66,6 +73,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sharding": op6_sharding,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_pii": op9_pii,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 ORACLE = {
