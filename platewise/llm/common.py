@@ -79,6 +79,29 @@ def number_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str],
             .select(*[c for c in df.columns if c != out], out))
 
 
+def running_total(df: DataFrame, groups: Sequence[str], order: Sequence[str], value: Column, out: str) -> DataFrame:
+    """Sum of ``value`` over the rows before this one in its group, without a whole group in one task.
+
+    Rows are range-partitioned on group and order (a hot group spans partitions),
+    summed inside each partition, and shifted by the partitions before.  The sorted
+    rows are stored once, so both uses see one partitioning.
+    """
+    by = [F.col(c).asc_nulls_first() for c in (*groups, *order)]
+    ranged = df.withColumn(out, value.cast("long")).repartitionByRange(parts(df), *by)
+    ranged = stored(ranged.withColumn("_pid", F.spark_partition_id()), "ranged")
+    before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    block = ranged.groupBy("_pid", *groups).agg(F.sum(out).alias("_block"))
+    block = block.select(F.col("_pid").alias("_p"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+                         F.coalesce(F.sum("_block").over(before), F.lit(0)).alias("_shift"))
+    inside = Window.partitionBy("_pid", *groups).orderBy(*[F.col(c).asc_nulls_first() for c in order]).rowsBetween(
+        Window.unboundedPreceding, -1)
+    same = F.col("_pid") == F.col("_p")
+    for i, g in enumerate(groups):
+        same &= F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    summed = ranged.withColumn(out, F.coalesce(F.sum(out).over(inside), F.lit(0)))
+    return summed.join(block, same).select(*[c for c in df.columns if c != out], (F.col(out) + F.col("_shift")).alias(out))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
     """(node, root) for every node of an undirected edge list; root is the smallest
     node reachable.  Nodes without an edge don't appear.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, minhash, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
+from platewise.llm import bpe, chat, minhash, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -20,6 +20,12 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def op8_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = chat.perspectives(_table(spark, sf_dir, "conversations"))
+    spans = F.transform("mask", lambda m: F.concat_ws(":", m["start"].cast("string"), m["end"].cast("string")))
+    return seen.withColumn("mask", F.array_join(spans, ","))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(_table(spark, sf_dir, "documents"))
     count = lambda i: F.size(F.filter("base", lambda s: s["kind"] == i)).cast("long")
@@ -73,9 +79,11 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_sharding": op6_sharding,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_chat_perspectives": op8_chat_perspectives,
     "op9_pii": op9_pii,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 ORACLE = {
+    "op8_chat_perspectives": chat.oracle(),
     "op1_quality_rules": quality_rules.oracle(),
 }
