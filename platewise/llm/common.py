@@ -55,6 +55,12 @@ def broadcast_ids(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
 
 
+def with_rows(df: DataFrame, ids: DataFrame, id_col: str, keep: bool) -> DataFrame:
+    """Rows of ``df`` whose id is in the stored one-column frame ``ids`` (``keep``) or is not."""
+    ids = broadcast_ids(ids.select(F.col(ids.columns[0]).alias("_only")))
+    return df.join(ids, F.col(id_col) == F.col("_only"), "left_semi" if keep else "left_anti")
+
+
 def number_in_groups(df: DataFrame, groups: Sequence[str], order: Sequence[str], out: str,
                      slices: int | None = None) -> DataFrame:
     """Gapless positions from 0 inside each group, without a whole group in one task.
