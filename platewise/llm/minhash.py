@@ -11,9 +11,13 @@ Documents with equal sets form a class, and only its smallest id takes part.  In
 each bucket a star joins the smallest id to the others, so candidates grow with
 the bucket's size, not its square; all are verified on full sets, and verified
 links give components.  A bucket whose members are still in several components
-then has every document outside its largest component compared with those of
-other components, so each pair that shares a bucket is either verified or
-already connected: no link is lost to the star, nothing is capped.
+gets a second star around its heart, the document with the smallest share of
+shingles of its own; what is still apart after that has every document outside
+its bucket's largest component compared with those of other components.  So each
+pair that shares a bucket is verified, connected already, or ruled out by a bound:
+with t shingles shared with the heart and c with any document at all, a pair
+shares at most min(t1, t2) + min(c1 - t1, c2 - t2).  No link is lost to the
+stars, nothing is capped.
 
 Defined cases: an id stands for one text (its rows may repeat); fewer than ``k`` words make one shingle of all words; a text that
 is NULL or has no word has an empty set and is linked with nothing; so is a NULL
@@ -96,11 +100,10 @@ def sketches(df: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
     return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n bigint, digest binary, bands array<bigint>")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose full sets are similar enough; ``docs`` has (id, text)."""
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    ids = broadcast_ids(stored(ids, "candidates"))
-    need = docs.join(ids, F.col("id") == F.col("_id")).select("id", "text")
+def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(id, s): the whole shingle sets of the documents (id, text) that ``ids`` names."""
+    ids = broadcast_ids(ids.select(F.col("id").alias("_id")))
+    need = docs.join(ids, F.col("id") == F.col("_id"), "left_semi").select("id", "text")
 
     def run(batches):
         for b in small_batches(batches):
@@ -109,12 +112,31 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFra
             flat = pa.array(np.concatenate(sets).view(np.int64))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(at, flat)], ["id", "s"])
 
-    sets = stored(need.mapInArrow(run, f"id {need.schema['id'].dataType.simpleString()}, s array<bigint>"), "sets")
+    return need.mapInArrow(run, f"id {need.schema['id'].dataType.simpleString()}, s array<bigint>")
+
+
+def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, i, n): shared shingles of each pair's whole sets, and the sum of their sizes."""
     met = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-    both = F.size(F.array_intersect("sa", "sb")).cast("long")
-    met = met.select("a", "b", both.alias("i"), (F.size("sa") + F.size("sb")).cast("long").alias("n"))
-    return met.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b").distinct()
+    return met.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("i"),
+                      (F.size("sa") + F.size("sb")).cast("long").alias("n")).distinct()
+
+
+def verified(pairs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``overlaps`` that are similar enough."""
+    return pairs.where(F.col("i") * 100 >= (F.col("n") - F.col("i")) * percent).select("a", "b")
+
+
+def _open(member: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components, with their root and the
+    root of the bucket's largest one."""
+    root = F.coalesce("root", F.col("id")).alias("root")
+    placed = stored(member.join(roots, F.col("id") == F.col("node"), "left").select(*member.columns, root), "placed")
+    several = (placed.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("m"))
+               .groupBy("band", "key").agg(F.max(F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
+               .where("roots > 1").select("band", "key", F.col("main.root").alias("main")))
+    return stored(placed.join(stored(several, "open"), ["band", "key"]), "open-members")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80,
@@ -134,21 +156,42 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     fits = F.least("na", "n") * 100 >= F.greatest("na", "n") * percent
     star = member.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b"), "n").distinct()
     star = stored(star.join(size, "a").where(fits).select("a", "b"), "stars")
-    links = stored(verified(star, docs, k, percent), "links")
-
-    # buckets whose members are not connected yet
+    sets = stored(full_sets(docs, stored(member.select("id").distinct(), "member-ids"), k), "sets")
+    links = stored(verified(overlaps(star, sets), percent), "links")
+
+    # shingles that no other document of the buckets has can't be shared, which bounds every
+    # pair's similarity; c is the number of the others
+    own = (sets.distinct().select("id", F.explode("s").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("id"))
+           .where("m = 1").groupBy("id").agg(F.count(F.lit(1)).alias("_own")).withColumnRenamed("id", "_o"))
+    member = member.join(stored(own, "own"), F.col("id") == F.col("_o"), "left").withColumn("c", F.col("n") - F.coalesce("_own", F.lit(0)))
+    member = stored(member.where(F.col("c") * 100 >= F.col("n") * percent).select("band", "key", "id", "n", "c"), "linkable")
+
+    # a second star around the member with the smallest share of such shingles, where one is
+    # still needed; it tells how much of that member, the heart, every other one shares
+    placed = _open(member, components(links))
+    heart = placed.groupBy("band", "key").agg(F.min(F.struct((1 - F.col("c") / F.col("n")).alias("own"), "id")).alias("h"))
+    heart = stored(heart.select("band", "key", F.col("h.id").alias("heart")), "hearts")
+    second = placed.join(heart, ["band", "key"]).where("id <> heart").select(F.col("heart").alias("a"), F.col("id").alias("b")).distinct()
+    second = stored(overlaps(second, sets), "second-stars")
+    links = stored(links.unionByName(verified(second, percent)), "links")
+
+    # what is left: documents outside their bucket's largest component, against the others.  A pair shares
+    # at most what both share with the heart, and of the rest what any other document has as well
     roots = components(links)
-    root = F.coalesce("root", F.col("id")).alias("root")
-    placed = stored(member.join(roots, F.col("id") == F.col("node"), "left").select("band", "key", "id", "n", root), "placed")
-    several = (placed.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("m"))
-               .groupBy("band", "key").agg(F.max(F.struct("m", "root")).alias("main"), F.count(F.lit(1)).alias("roots"))
-               .where("roots > 1").select("band", "key", F.col("main.root").alias("main")))
-    placed = placed.join(stored(several, "open"), ["band", "key"])
-    outside = placed.where("root <> main").select("band", "key", F.col("id").alias("x"), F.col("n").alias("na"), F.col("root").alias("rx"))
-    rest = (outside.join(placed, ["band", "key"]).where((F.col("rx") != F.col("root")) & fits)
-            .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct().join(star, ["a", "b"], "left_anti"))
-    rest = stored(rest, "rest")
-    more = stored(verified(rest, docs, k, percent), "more-links")
+    shared = second.select(F.col("a").alias("heart"), F.col("b").alias("id"), F.col("i").alias("t"))
+    placed = _open(member, roots).join(heart, ["band", "key"]).join(shared, ["heart", "id"])
+    placed = placed.join(classes.select(F.col("id").alias("_c"), "bands"), F.col("id") == F.col("_c"))
+    placed = stored(placed.select("band", "key", "id", "n", "c", "t", "root", "main", "bands"), "compared")
+    outside = placed.where("root <> main").select("band", "key", F.col("id").alias("x"), F.col("n").alias("nx"),
+                                                  F.col("c").alias("cx"), F.col("t").alias("tx"), F.col("root").alias("rx"), F.col("bands").alias("bx"))
+    most = F.least("t", "tx") + F.least(F.col("c") - F.col("t"), F.col("cx") - F.col("tx"))
+    # of the buckets that a pair shares, only the first compares it
+    earlier = F.exists(F.zip_with(F.slice("bands", 1, F.col("band")), F.slice("bx", 1, F.col("band")), lambda x, y: x == y), lambda e: e)
+    rest = (outside.join(placed, ["band", "key"])
+            .where((F.col("rx") != F.col("root")) & (most * 100 >= (F.col("n") + F.col("nx") - most) * percent) & ~earlier)
+            .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
+            .join(star, ["a", "b"], "left_anti"))
+    more = stored(verified(overlaps(stored(rest, "rest"), sets), percent), "more-links")
     # the roots found already stand for the links they come from
     joined = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     label = classes.join(joined, F.col("id") == F.col("node"), "left").select(
