@@ -44,7 +44,9 @@ def _area(f: Fixtures, runs=(RUN_DATE,)) -> DataFrame:
 
 
 def _pop(f: Fixtures) -> DataFrame:
-    return lists.popular_dishes(_area(f), 7, EXCLUDE)
+    from platewise.queries import popular
+
+    return popular(f)
 
 
 def _cc(f: Fixtures) -> DataFrame:
@@ -159,7 +161,9 @@ def filter_retro_window(spark, sf):
 
 
 def filter_latest_partition(spark, sf):
-    return R.latest(_area(_f(spark, sf), (PREV_RUN_DATE, RUN_DATE)), "busi_dt")
+    from platewise.queries import stored_area
+
+    return R.latest(stored_area(_f(spark, sf), (PREV_RUN_DATE, RUN_DATE)), "busi_dt")
 
 
 def empty_to_null(spark, sf):
@@ -200,7 +204,7 @@ def join_tags(spark, sf):
 
 
 def join_decile_back(spark, sf):
-    return R.decile_of_distinct(_base(_f(spark, sf)), "user_id", "count_order").drop("recent_order_dt")
+    return R.decile_of_distinct(_base(_f(spark, sf)), "user_id", "count_order").drop("recent_order_dt", "recent_order_at")
 
 
 def anti_changed_rows(spark, sf):
@@ -211,7 +215,9 @@ def anti_changed_rows(spark, sf):
 
 def anti_not_in_nullaware(spark, sf):
     f = _f(spark, sf)
-    return tagging.new_menus(f.menu(), f.dish_tagging())
+    menu = f.menu()  # with some NULL ids: NULL NOT IN (...) is not true
+    lost = menu.where(F.col("menu_id") % 100 == 0).select(F.lit(None).cast("bigint").alias("menu_id"), "menu_name")
+    return tagging.new_menus(menu.unionByName(lost), f.dish_tagging())
 
 
 def lookup_strict(spark, sf):
@@ -239,7 +245,7 @@ def lookup_left_id(spark, sf):
 # ------------------------------------------------------------ aggregations ---
 
 def agg_user_dish(spark, sf):
-    return _base(_f(spark, sf))
+    return _base(_f(spark, sf)).drop("recent_order_at")
 
 
 def agg_shop_dish(spark, sf):
@@ -323,6 +329,11 @@ def sort_multi_key(spark, sf):
 
 # ------------------------------------------------------- sort, limit, union ---
 
+def sort_by_aggregate(spark, sf):
+    """Dish names in the order of an aggregate that is not selected."""
+    return _pop(_f(spark, sf)).orderBy(*lists.popularity_order()).select("dish_type_l3")
+
+
 def limit_list(spark, sf):
     f = _f(spark, sf)
     served = lists.serve_items(_served(f))
@@ -418,24 +429,53 @@ def fn_key_json(spark, sf):
 # ---------------------------------------------------------------- ML, tags ---
 
 _MODELS: dict = {}
+ZERO_SHARE = 50  # weights of the fixed softmax layer: (i * 7 + j * 3) % 11 - 5, in fiftieths
 
 
-def _text_model(spark, sf):
-    key = ("text", sf, id(spark))
+def _tag_training(f: Fixtures) -> DataFrame:
+    """Tagged menus as training rows: name -> dish, split by menu id.  A class's own
+    name is an example of it too, so that every class has one."""
+    enc = f.dish_type_encoder()
+    rows = f.dish_tagging().select("menu_id", "menu_name", "dish_type_l3")
+    rows = ml.split(ml.encode_labels(rows, "dish_type_l3", enc), "menu_id", SEED)
+    own = enc.select(F.lit(None).cast("bigint").alias("menu_id"), F.replace("dish_type_l3", F.lit("_"), F.lit(" ")).alias("menu_name"),
+                     "dish_type_l3", F.col("category_id").alias("label"), F.lit("train").alias("split"))
+    return rows.unionByName(own)
+
+
+def _tag_model(spark, sf):
+    """The tagging model, trained once per application, stored and loaded with its encoder."""
+    key = (sf, spark.sparkContext.applicationId)
     if key not in _MODELS:
-        f = _f(spark, sf)
-        td = f.training_data()
-        enc = ml.fit_labels(td, "dish_type_l3")
-        data = ml.split(ml.encode_labels(td, "dish_type_l3", enc), "key", SEED)
-        model = ml.train_text(data.where(F.col("split") == "train"), "dish_name")
-        _MODELS[key] = (model, enc, data)
+        f, path = _f(spark, sf), work_path(spark, "tag-model")
+        model, metrics = ml.train_and_validate(_tag_training(f), "menu_name", num_features=1 << 12, max_iter=30, reg=1e-6)
+        ml.save_model(model, f.dish_type_encoder(), path)
+        _MODELS[key] = (*ml.load_model(spark, path), metrics)
     return _MODELS[key]
 
 
+def _text_data(spark, sf):
+    td = _f(spark, sf).training_data()
+    return ml.split(ml.encode_labels(td, "dish_type_l3", ml.fit_labels(td, "dish_type_l3")), "key", SEED)
+
+
+def _softmax_layer(classes: int = 10, width: int = 64):
+    return [[((i * 7 + j * 3) % 11 - 5) / ZERO_SHARE for j in range(width)] for i in range(classes)]
+
+
 def udf_batch_predict(spark, sf):
+    """An external softmax layer scored in Arrow batches; probabilities to six places."""
     v = _f(spark, sf).vector_data()
-    s = ml.score(v, "embedding", ml.identity_predict_fn(), batch_size=1024, width=64)
-    return s.select("key", "category_id", "prob")
+    s = ml.score(v, "embedding", ml.softmax_predict_fn(_softmax_layer(), [0.0] * 10), batch_size=1024, width=64)
+    return s.select("key", "category_id", F.round("prob", 5).alias("prob"))
+
+
+def ml_label_encode(spark, sf):
+    """Every row's label as its class id, and back to the name."""
+    td = _f(spark, sf).training_data()
+    enc = ml.fit_labels(td, "dish_type_l3")
+    rows = ml.encode_labels(td, "dish_type_l3", enc).select("key", "label")
+    return R.decode_label(rows, enc, "label", "decoded", other=False).select("key", "label", "decoded")
 
 
 def ml_split(spark, sf):
@@ -443,35 +483,41 @@ def ml_split(spark, sf):
 
 
 def ml_train_text(spark, sf):
-    model, enc, data = _text_model(spark, sf)
+    """Language of whole documents: fitted on the train rows, scored on the test rows."""
+    data = _text_data(spark, sf)
+    model, _ = ml.train_and_validate(data, "dish_name", num_features=1 << 12, max_iter=20)
     pred = ml.predict(model, data.where(F.col("split") == "test"), text_col="dish_name")
     return pred.select("key", "label", "category_id", "prob")
 
 
 def ml_evaluate(spark, sf):
-    model, enc, data = _text_model(spark, sf)
-    pred = ml.predict(model, data.where(F.col("split") == "test"), text_col="dish_name")
-    return ml.evaluate(pred)
+    """Accuracy of the tagging model on the test menus."""
+    model, _, _ = _tag_model(spark, sf)
+    test = _tag_training(_f(spark, sf)).where(F.col("split") == "test")
+    m = ml.evaluate(ml.predict(model, test, text_col="menu_name"))
+    return m.select(F.round("accuracy", 6).alias("accuracy"), "n", (F.col("loss") < 0.1).alias("loss_below_a_tenth"))
 
 
 def ml_train_vector(spark, sf):
     v = ml.split(_f(spark, sf).vector_data(), "key", SEED)
-    model = ml.train_vec(v.where(F.col("split") != "test"), "embedding", "label")
+    model = ml.train_vec(v.where(F.col("split") == "train"), "embedding", "label")
     pred = ml.predict(model, v.where(F.col("split") == "test"), vector_col="embedding")
     return pred.select("key", "label", "category_id", "prob")
 
 
 def ml_predict(spark, sf):
-    model, enc, _ = _text_model(spark, sf)
+    """Class of every menu name."""
+    model, _, _ = _tag_model(spark, sf)
     menu = _f(spark, sf).menu()
-    return ml.predict(model, menu, text_col="menu_name").select("menu_id", "category_id", "prob")
+    return ml.predict(model, menu, text_col="menu_name").select("menu_id", "category_id")
 
 
 def tag_menus(spark, sf):
     f = _f(spark, sf)
-    model, enc, _ = _text_model(spark, sf)
-    return tagging.tag_menus(f.menu(), f.dish_tagging(), model, enc, f.category_name_mapper(),
+    model, enc, _ = _tag_model(spark, sf)
+    tags = tagging.tag_menus(f.menu(), f.dish_tagging(), model, enc, f.category_name_mapper(),
                              f.category_id_mapper(), TAGGING_RUN_DATE, on_missing="null")
+    return tags.withColumn("prob", F.round("prob", 0))  # names decide the class, so it is certain
 
 
 def tag_decode(spark, sf):
@@ -520,7 +566,7 @@ OPERATOR_QUERIES = {
     "agg_regroup_unique": agg_regroup_unique,
     "agg_distinct_pairs": agg_distinct_pairs,
     "agg_distinct_labels": agg_distinct_labels,
-    "ml_label_encode": agg_distinct_labels,
+    "ml_label_encode": ml_label_encode,
     "agg_collect_list": agg_collect_list,
     "agg_global": agg_global,
     "agg_model_metrics": agg_model_metrics,
@@ -531,6 +577,7 @@ OPERATOR_QUERIES = {
     "win_decile_bucket": win_decile_bucket,
     "win_topk_multi_key": win_topk_multi_key,
     "sort_multi_key": sort_multi_key,
+    "sort_by_aggregate": sort_by_aggregate,
     "limit_list": limit_list,
     "union_by_name": union_by_name,
     "fn_clean_text": fn_clean_text,

@@ -87,8 +87,8 @@ def conform(df: DataFrame, schema: T.StructType, safe: bool = False) -> DataFram
 
 
 def decode_label(df: DataFrame, encoder: DataFrame, id_col: str = "category_id",
-                 out: str = "dish_type_l3", strict: bool = True) -> DataFrame:
-    """Class id -> name by the encoder table; class 0 is always ``'other'``.
+                 out: str = "dish_type_l3", strict: bool = True, other: bool = True) -> DataFrame:
+    """Class id -> name by the encoder table; class 0 is always ``'other'`` (unless ``other=False``).
 
     An id that the encoder lacks fails the job when ``strict`` (the original job
     raises on a missing dict key), otherwise gives NULL.
@@ -96,9 +96,11 @@ def decode_label(df: DataFrame, encoder: DataFrame, id_col: str = "category_id",
     enc = sized_broadcast(encoder.select(F.col("category_id").alias("_enc_id"),
                                          F.col("dish_type_l3").alias("_enc_name")))
     j = df.join(enc, F.col(id_col) == F.col("_enc_id"), "left")
-    name = F.when(F.col(id_col) == 0, F.lit("other")).otherwise(F.col("_enc_name"))
+    name = F.col("_enc_name")
+    if other:
+        name = F.when(F.col(id_col) == 0, F.lit("other")).otherwise(name)
     if strict:
-        name = F.when(F.col(id_col).isNotNull() & (F.col(id_col) != 0) & F.col("_enc_name").isNull(),
+        name = F.when(F.col(id_col).isNotNull() & ((F.col(id_col) != 0) | F.lit(not other)) & F.col("_enc_name").isNull(),
                       F.raise_error(F.concat(F.lit("unknown class id "), F.col(id_col).cast("string"))
                                     ).cast("string")).otherwise(name)
     return j.withColumn(out, name).drop("_enc_id", "_enc_name")

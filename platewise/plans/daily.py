@@ -11,13 +11,13 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from platewise.plans import gold, lists, tagging
+from platewise.plans import gold, lists, ml, tagging
 from platewise.sources import sinks
 
 
@@ -47,16 +47,31 @@ class Layout:
 
 def tag_new_menus(spark: SparkSession, src: Inputs, out: Layout, model: PipelineModel, run_date,
                   seed_tags: DataFrame | None = None, on_missing: str = "error") -> DataFrame:
-    """Append tags for menus not tagged yet; returns the stored tag table."""
+    """Append tags for menus not tagged yet; returns the stored tag table.
+
+    The table is partitioned by run date and only the day's new rows are written
+    (a rerun of a day finds its menus tagged already).  Where nothing is new the
+    job stops before it scores or writes anything.
+    """
     path = out.path("dish_tagging")
-    stored = sinks.read_snapshot(spark, path)
-    tagged = stored if stored is not None else seed_tags
-    if tagged is None:
-        raise ValueError("no tag table yet: pass seed_tags for the first day")
+    if not sinks.exists(spark, path):
+        if seed_tags is None:
+            raise ValueError("no tag table yet: pass seed_tags for the first day")
+        sinks.write_append(seed_tags, path, ["run_date"], idempotent=False)
+    tagged = sinks.read_table_dir(spark, path)
+    if tagging.nothing_new(src.menu, tagged):
+        return tagged
     new = tagging.tag_menus(src.menu, tagged, model, src.encoder, src.name_map, src.id_map,
                             run_date, on_missing=on_missing)
-    sinks.write_snapshot(sinks.union_evolve(tagged, new), path)
-    return sinks.read_snapshot(spark, path)
+    sinks.write_append(new, path, ["run_date"], idempotent=False)
+    return sinks.read_table_dir(spark, path)
+
+
+def tag_day(spark: SparkSession, src: Inputs, out: Layout, model_path: str, run_date,
+            seed_tags: DataFrame | None = None, on_missing: str = "error") -> DataFrame:
+    """:func:`tag_new_menus` with the model and the encoder that :func:`ml.save_model` stored."""
+    model, encoder = ml.load_model(spark, model_path)
+    return tag_new_menus(spark, replace(src, encoder=encoder), out, model, run_date, seed_tags, on_missing)
 
 
 def gold_tables(spark: SparkSession, src: Inputs, tags: DataFrame, out: Layout, busi_dt,
@@ -76,7 +91,8 @@ def gold_tables(spark: SparkSession, src: Inputs, tags: DataFrame, out: Layout,
     finally:
         base.unpersist()
 
-    prev = sinks.read_snapshot(spark, out.path("shop_category"))
+    # the newest snapshot of an earlier day, so a rerun finds the day's changes again
+    prev = sinks.read_snapshot_before(spark, out.path("shop_category"), "busi_dt", busi)
     shop_today = gold.shop_category(src.orders, src.items, tags, busi)
     shop_path = sinks.write_snapshot(shop_today, out.path("shop_category"))
     stored_today = spark.read.parquet(shop_path)

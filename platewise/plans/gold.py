@@ -61,16 +61,37 @@ def tagged_lines(orders: DataFrame, items: DataFrame, tags: DataFrame,
     return orders.join(lines, "order_id")
 
 
+def line_counts(orders: DataFrame, items: DataFrame, tags: DataFrame, keys: Sequence[str],
+                newest: str | None = None) -> DataFrame:
+    """Order lines per (``keys``, dish, category id) as ``n``, and the latest ``newest``.
+
+    With tags of a proven small size the lines meet them by broadcast.  Beyond
+    that, lines are first counted per (keys, menu), which the orders' key allows,
+    so a hot menu moves one row per customer or shop instead of its lines; then
+    the tags are joined and the counts added up.
+    """
+    t = tag_view(tags)
+    bt = sized_broadcast(t)
+    it = items.select("order_id", "menu_id")
+    dims = [*keys, "dish_type_l3", "category_id"]
+    last = [F.max(newest).alias("newest")] if newest else []
+    if bt is not t:
+        return orders.join(it.join(bt, "menu_id"), "order_id").groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *last)
+    per_menu = orders.join(it, "order_id").groupBy(*keys, "menu_id").agg(F.count(F.lit(1)).alias("n"), *last)
+    last = [F.max("newest").alias("newest")] if newest else []
+    return per_menu.join(t, "menu_id").groupBy(*dims).agg(F.sum("n").alias("n"), *last)
+
+
 def user_dish_counts(orders: DataFrame, items: DataFrame, tags: DataFrame,
                      status: str | None = "COMPLETE") -> DataFrame:
-    """Per (user, dish, category id): order lines and the latest order date."""
+    """Per (user, dish, category id): order lines, the latest order date, and the
+    uncut latest order time (``recent_order_at``), which the recency rank goes by."""
     o = orders.select("order_id", "user_id", "order_date", "order_status")
     if status is not None:
         o = o.where(F.col("order_status") == status)
-    lines = tagged_lines(o.drop("order_status"), items, tags)
-    return lines.groupBy("user_id", "dish_type_l3", "category_id").agg(
-        F.count(F.lit(1)).alias("count_order"),
-        F.max("order_date").cast("date").alias("recent_order_dt"))
+    counts = line_counts(o.drop("order_status"), items, tags, ["user_id"], "order_date")
+    return counts.select("user_id", "dish_type_l3", "category_id", F.col("n").alias("count_order"),
+                         F.col("newest").cast("date").alias("recent_order_dt"), F.col("newest").alias("recent_order_at"))
 
 
 def _finish(df: DataFrame, busi_dt) -> DataFrame:
@@ -84,13 +105,15 @@ def customer_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi
     """Per customer: decile of each dish's order count among the customer's
     distinct counts, and a recency rank inside (customer, decile).
 
-    Rank 1 is the *least* recent dish of the decile; ties break on dish, id.
+    Rank 1 is the *least* recent dish of the decile, by the time of its last
+    order (two orders of one day differ); ties break on dish, id.
     An empty dish keeps its rank slot and is dropped afterwards.
     """
     b = base if base is not None else user_dish_counts(orders, items, tags, status)
     d = decile_of_distinct(b, "user_id", "count_order")
     w = Window.partitionBy("user_id", "decile").orderBy(
-        F.col("recent_order_dt").asc(), F.col("dish_type_l3").asc(), F.col("category_id").asc())
+        F.col("recent_order_at" if "recent_order_at" in b.columns else "recent_order_dt").asc(),
+        F.col("dish_type_l3").asc(), F.col("category_id").asc())
     ranked = d.withColumn("rank", F.row_number().over(w))
     out = _finish(ranked, busi_dt)
     return out.select("user_id", "count_order", "recent_order_dt", "dish_type_l3",
@@ -111,14 +134,14 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
     b = base if base is not None else user_dish_counts(orders, items, tags, status)
     order_tail = [F.col("user_id").asc_nulls_first(), F.col("category_id").asc()]
     if mode == "faithful":
-        regrouped = b.groupBy("user_id", "dish_type_l3", "category_id").agg(
-            F.count(F.lit(1)).alias("_n"))
-        ranked = rank_in_group(regrouped, "dish_type_l3", [F.col("_n").asc(), *order_tail],
-                               rank_col="_rank", size_col="_size")
+        # the base has one row per (user, dish, id), so the regrouped counts are all 1 and
+        # the base itself is ranked; the fan-out then reads the stored ranks, not the base again
+        ranked = rank_in_group(b.select("user_id", "dish_type_l3", "category_id", "count_order"), "dish_type_l3",
+                               order_tail, rank_col="_rank", size_col="_size")
         dec = ranked.select(F.col("user_id").alias("_u"), F.col("dish_type_l3").alias("_d"),
                             decile("_rank", "_size").alias("decile"))
-        joined = b.join(dec, (F.col("user_id") == F.col("_u")) & (F.col("dish_type_l3") == F.col("_d")),
-                        "left").drop("_u", "_d")
+        joined = ranked.join(dec, (F.col("user_id") == F.col("_u")) & (F.col("dish_type_l3") == F.col("_d")),
+                             "left").drop("_u", "_d")
     elif mode == "by_count":
         ranked = rank_in_group(b, "dish_type_l3", [F.col("count_order").asc(), *order_tail],
                                rank_col="_rank", size_col="_size")
@@ -135,9 +158,8 @@ def shop_counts(orders: DataFrame, items: DataFrame, tags: DataFrame) -> DataFra
     """Order lines per (shop_id, shop_name, dish, id), latest order versions only."""
     ot = latest_version(orders.select("order_id", "shop_id", "shop_name", "updt_dttm"),
                         "order_id", "updt_dttm")
-    lines = tagged_lines(ot.drop("updt_dttm"), items, tags)
-    return lines.groupBy("shop_id", "shop_name", "dish_type_l3", "category_id").agg(
-        F.count("order_id").alias("order_count"))
+    counts = line_counts(ot.drop("updt_dttm"), items, tags, ["shop_id", "shop_name"])
+    return counts.withColumnRenamed("n", "order_count")
 
 
 def with_area(orders: DataFrame, shop: DataFrame, address: DataFrame) -> DataFrame:
@@ -193,11 +215,13 @@ def area_lines(orders: DataFrame, items: DataFrame, shop: DataFrame, address: Da
     runs = retro_dates([run_dates] if isinstance(run_dates, (dt.date, str)) else run_dates)
     wins = sorted(set(int(n) for n in windows))
     lo, hi = min(runs) - dt.timedelta(days=max(wins)), max(runs)
-    span = (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") <= F.lit(hi))
+    # on the raw column (it is pushed to the scan), which may be a date or a time: the last day counts whole
+    span = (F.col("order_date") >= F.lit(lo)) & (F.col("order_date") < F.lit(hi + dt.timedelta(days=1)))
     if month_col is not None:
         span = span & (F.col(month_col) >= F.lit(lo.replace(day=1))) & (F.col(month_col) <= F.lit(hi))
     o = orders.where(span).select("order_id", "total_amount", "shop_id", "order_date", "updt_dttm")
-    lines = with_area(tagged_lines(o, items, tags, drop_empty=True), shop, address)
+    o = o.withColumn("order_date", F.to_date("order_date"))
+    lines = tagged_lines(o, items, tags, drop_empty=True)
     pairs = F.array(*[F.struct(F.lit(r).alias("run_date"), F.lit(n).alias("num_retro_days"))
                       for r in runs for n in wins])
     hit = F.filter(pairs, lambda p: (F.col("order_date") >= F.date_sub(p["run_date"], p["num_retro_days"]))
@@ -222,7 +246,7 @@ def area_lines(orders: DataFrame, items: DataFrame, shop: DataFrame, address: Da
                   .dropDuplicates(["run_date", "num_retro_days", "order_id", "dish_type_l3", "category_id"]))
     else:
         raise ValueError(f"attribution must be 'one_dish' or 'all_dishes', not {attribution!r}")
-    return picked
+    return with_area(picked, shop, address)  # a place per counted order, not per line
 
 
 def area_category(orders: DataFrame, items: DataFrame, shop: DataFrame, address: DataFrame,

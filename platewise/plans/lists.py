@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from platewise.functions.arrays import key_json, pad_list, parse_dish_list
 from platewise.operators.relational import exclude_values, latest, sized_broadcast, top_k
 
-# Largest id mapper turned into an in-plan map literal; above it the ids are
-# attached by a join instead.
-MAP_MAX_ROWS = 200_000
-
-
 def popular_dishes(area: DataFrame, days: int = 7, exclude: Sequence[str] = (),
                    latest_only: bool = True) -> DataFrame:
     """Per dish: total orders over all areas in the ``days`` window of the latest
@@ -47,58 +42,49 @@ def top_list(popular: DataFrame, n: int) -> Column:
     return arr.select(F.transform("a", lambda x: x["d"])).scalar()
 
 
+def _top_rows(customer: DataFrame, exclude: Sequence[str], k: int) -> DataFrame:
+    c = exclude_values(customer, "dish_type_l3", exclude)
+    # blank users become NULL keys on output, so they are left out with them, before the window
+    c = c.where(F.col("user_id").isNotNull() & (F.col("user_id") != ""))
+    return top_k(c, ["user_id"], [F.col("decile").desc_nulls_last(), F.col("rank").desc_nulls_last(),
+                                  F.col("dish_type_l3").asc(), F.col("category_id").asc()],
+                 k, rank_col="_pos")
+
+
 def own_lists(customer: DataFrame, exclude: Sequence[str] = (), k: int = 10) -> DataFrame:
     """Top ``k`` dishes per customer by decile DESC, rank DESC, as an ordered array."""
-    c = exclude_values(customer, "dish_type_l3", exclude).where(F.col("user_id").isNotNull())
-    top = top_k(c, ["user_id"], [F.col("decile").desc_nulls_last(), F.col("rank").desc_nulls_last(),
-                                 F.col("dish_type_l3").asc(), F.col("category_id").asc()],
-                k, rank_col="_pos")
-    return top.groupBy("user_id").agg(
+    return _top_rows(customer, exclude, k).groupBy("user_id").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_pos", "dish_type_l3"))),
                     lambda x: x["dish_type_l3"]).alias("sv_dish_types"),
         F.count("dish_type_l3").cast("long").alias("sv_dish_count"))
 
 
-def dish_structs(lists: DataFrame, id_map: DataFrame, col: str = "_padded", out: str = "gd_items",
-                 strict: bool = True) -> DataFrame:
-    """Names -> ``array<struct<id, name>>`` by a map built from the id mapper.
+def dish_ids(id_map: DataFrame) -> DataFrame:
+    """(``_name``, ``_id``) with one row per category name: the largest id of a
+    repeated name; a NULL name names nothing.  The same at every mapper size."""
+    return (id_map.where(F.col("category_name").isNotNull()).groupBy(F.col("category_name").alias("_name"))
+            .agg(F.max(F.col("category_id").cast("int")).alias("_id")))
 
-    The mapper is a category dimension; its size is checked before it becomes
-    one map value (see :func:`customer_lists` for the join form above the bound).
-    """
-    m = id_map.agg(F.map_from_entries(F.collect_list(
-        F.struct(F.col("category_name"), F.col("category_id").cast("int")))).alias("m")).select("m").scalar()
-    # A subquery may not sit inside a lambda: project it to a column first.
-    lists = lists.withColumn("_idmap", m)
-
-    def item(x):
-        idv = F.col("_idmap")[x]
-        if strict:
-            idv = F.coalesce(idv, F.raise_error(F.concat(F.lit("no category id for "), x)).cast("int"))
-        return F.struct(idv.alias("id"), x.alias("name"))
-    return lists.withColumn(out, F.transform(col, item)).drop("_idmap")
-
-
-def _decorate_by_map(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataFrame:
-    s = dish_structs(lists, id_map, "_padded", "_items", strict)
-    return s.withColumn("gd_dish_types", F.to_json("_items")).drop("_items")
-
-
-def _decorate_by_join(lists: DataFrame, id_map: DataFrame, strict: bool) -> DataFrame:
-    ex = lists.select("user_id", F.posexplode_outer("_padded").alias("_p", "_name"))
-    mp = id_map.select(F.col("category_name").alias("_name"), F.col("category_id").cast("int").alias("_id"))
-    j = ex.join(mp, "_name", "left")
-    idv = F.col("_id")
-    if strict:
-        idv = F.when(F.col("_name").isNotNull() & idv.isNull(),
-                     F.raise_error(F.concat(F.lit("no category id for "), F.col("_name"))).cast("int")
-                     ).otherwise(idv)
-    items = j.where(F.col("_name").isNotNull()).groupBy("user_id").agg(
-        F.array_sort(F.collect_list(F.struct("_p", F.struct(idv.alias("id"), F.col("_name").alias("name"))
-                                                .alias("v")))).alias("_s"))
-    items = items.select("user_id", F.to_json(F.transform("_s", lambda x: x["v"])).alias("gd_dish_types"))
-    out = lists.join(items, "user_id", "left")
-    return out.withColumn("gd_dish_types", F.coalesce("gd_dish_types", F.lit("[]")))
+
+def _strict_id(name: Column, dish_id: Column, strict: bool) -> Column:
+    if not strict:
+        return dish_id
+    missing = F.raise_error(F.concat(F.lit("no category id for "), name)).cast("int")
+    return F.when(name.isNotNull() & dish_id.isNull(), missing).otherwise(dish_id)
+
+
+def dish_structs(lists: DataFrame, id_map: DataFrame, col: str = "_padded", out: str = "gd_items",
+                 strict: bool = True, key: str = "user_id") -> DataFrame:
+    """Names -> ``array<struct<id, name>>`` by a join with the id mapper (broadcast
+    only when its size is proven small)."""
+    ids = sized_broadcast(dish_ids(id_map))
+    one = lists.select(F.col(key).alias("_key"), F.posexplode(col).alias("_p", "_n"))
+    one = one.join(ids, F.col("_n") == F.col("_name"), "left").where(F.col("_n").isNotNull())
+    item = F.struct(_strict_id(F.col("_n"), F.col("_id"), strict).alias("id"), F.col("_n").alias("name"))
+    items = one.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("_p", item.alias("v")))).alias("_s"))
+    items = items.select("_key", F.transform("_s", lambda x: x["v"]).alias(out))
+    empty = F.array().cast("array<struct<id:int,name:string>>")
+    return lists.join(items, F.col(key) == F.col("_key"), "left").drop("_key").withColumn(out, F.coalesce(out, empty))
 
 
 def default_row(spark, top: Column, k: int = 10) -> DataFrame:
@@ -123,16 +109,26 @@ def customer_lists(customer: DataFrame, popular: DataFrame, id_map: DataFrame, b
     """One row per customer: own top-``k`` dishes, padded from popularity when
     short, decorated with category ids as JSON; plus the ``default`` row.
 
-    NULL customers are left out (they would be a NULL primary key).
+    Ids are joined to the dishes before a customer's list is collected, and to
+    the ``2k`` popular ones, so lists need no second shuffle.  NULL and blank
+    customers are left out (they would be a NULL primary key).
     """
-    lists = padded_lists(customer, popular, exclude, k)
-    n_map = id_map.limit(MAP_MAX_ROWS + 1).count()
-    if n_map <= MAP_MAX_ROWS:
-        out = _decorate_by_map(lists, id_map, strict)
-    else:
-        out = _decorate_by_join(lists, id_map, strict)
-    return out.select("user_id", "sv_dish_types", "sv_dish_count", "gd_dish_types",
-                      F.lit(busi_dt).cast("date").alias("busi_dt"))
+    ids = sized_broadcast(dish_ids(id_map))
+    named = lambda df: df.join(ids, F.col("dish_type_l3") == F.col("_name"), "left")
+    item = F.struct(F.col("_id").alias("id"), F.col("dish_type_l3").alias("name"))
+    items = lambda order: F.transform(F.array_sort(F.collect_list(F.struct(*order, item.alias("v")))), lambda x: x["v"])
+    top = named(popular.orderBy(*popularity_order()).limit(2 * k)).agg(
+        items([(-F.col("total_orders")).alias("o"), F.col("dish_type_l3").alias("d")]).alias("t")).scalar()
+    own = named(_top_rows(customer, exclude, k)).groupBy("user_id").agg(
+        items([F.col("_pos")]).alias("_own"), F.count("dish_type_l3").cast("long").alias("sv_dish_count"))
+    first = customer.sparkSession.range(1).select(F.lit("default").alias("user_id"), F.slice(top, 1, k).alias("_own"),
+                                                  F.lit(k).cast("long").alias("sv_dish_count"))
+    rows = own.unionByName(first).withColumn("_top", top).withColumn("sv_dish_types", F.transform("_own", lambda x: x["name"]))
+    more = F.filter("_top", lambda t: ~F.array_contains("sv_dish_types", t["name"]))
+    full = F.when(F.col("sv_dish_count") < k, F.concat("_own", more)).otherwise(F.col("_own"))
+    shown = F.transform(F.slice(full, 1, k), lambda x: F.struct(_strict_id(x["name"], x["id"], strict).alias("id"), x["name"].alias("name")))
+    return rows.select("user_id", "sv_dish_types", "sv_dish_count", F.to_json(shown).alias("gd_dish_types"),
+                       F.lit(busi_dt).cast("date").alias("busi_dt"))
 
 
 def to_kv(df: DataFrame, key: str = "user_id", value: str = "gd_dish_types") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,10 +56,12 @@ def split(df: DataFrame, key: str, seed: int, test: float = 0.2, val: float = 0.
     return df.withColumn("split", s)
 
 
-def text_pipeline(label_col: str = "label", analyzer: str = "word", ngram: int = 3,
+def text_pipeline(label_col: str = "label", analyzer: str = "char", ngram: int = 3,
                   num_features: int = 1 << 16, max_iter: int = 25, reg: float = 1e-4) -> Pipeline:
-    """tokens (words or character n-grams) -> hashed TF -> IDF -> softmax regression.
+    """tokens (character n-grams, or words) -> hashed TF -> IDF -> softmax regression.
 
+    Characters by default: half of the kept ones are Thai, which sets no spaces
+    between words, so an unseen name would be a single unseen word.
     Reads the cleaned text column ``_clean`` (see :func:`with_clean_text`).  The
     model holds classes x ``num_features`` coefficients and is shipped to every
     executor that scores, so the hash width is kept moderate (2^16: about 50 MB
@@ -90,6 +92,23 @@ def train_text(df: DataFrame, text_col: str, label_col: str = "label", **kw) ->
     return text_pipeline(label_col, **kw).fit(with_clean_text(df, text_col))
 
 
+def train_and_validate(data: DataFrame, text_col: str, label_col: str = "label", **kw) -> tuple[PipelineModel, DataFrame]:
+    """Fit on the ``train`` rows of :func:`split` data; the model, and its loss and
+    accuracy on the ``val`` rows (``test`` rows are left for the caller)."""
+    model = train_text(data.where(F.col("split") == "train"), text_col, label_col, **kw)
+    return model, evaluate(predict(model, data.where(F.col("split") == "val"), text_col=text_col), label_col)
+
+
+def save_model(model: PipelineModel, encoder: DataFrame, path: str) -> None:
+    """Store a model and its label encoder side by side, for a later scoring job."""
+    model.write().overwrite().save(f"{path.rstrip('/')}/model")
+    encoder.write.mode("overwrite").parquet(f"{path.rstrip('/')}/encoder")
+
+
+def load_model(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    return PipelineModel.load(f"{path.rstrip('/')}/model"), spark.read.parquet(f"{path.rstrip('/')}/encoder")
+
+
 def train_vec(df: DataFrame, vec_col: str = "embedding", label_col: str = "label",
               max_iter: int = 100, reg: float = 1e-3) -> PipelineModel:
     """Softmax layer on a float-array feature (the encoder's output)."""

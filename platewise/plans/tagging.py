@@ -18,6 +18,11 @@ def new_menus(menu: DataFrame, tagged: DataFrame, null_aware: bool = True) -> Da
     return not_in(menu.select("menu_id", "menu_name"), tagged, "menu_id", null_aware=null_aware)
 
 
+def nothing_new(menu: DataFrame, tagged: DataFrame, null_aware: bool = True) -> bool:
+    """True if every menu is tagged already (reads until the first one that is not)."""
+    return new_menus(menu, tagged, null_aware).isEmpty()
+
+
 def decode_tags(scored: DataFrame, encoder: DataFrame, name_map: DataFrame, id_map: DataFrame,
                 run_date, on_missing: str = "error", strict_class: bool = True) -> DataFrame:
     """From ``(menu_id, menu_name, category_id, prob)`` to dish_tagging rows.

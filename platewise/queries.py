@@ -62,9 +62,23 @@ def shop_category_change(spark: SparkSession, sf: str) -> DataFrame:
     return gold.shop_category_change(_shop(f, RUN_DATE), _shop(f, PREV_RUN_DATE, PREV_CUTOFF), RUN_DATE)
 
 
-def _area(f: Fixtures, runs=(RUN_DATE,)) -> DataFrame:
+def _area(f: Fixtures, runs=(RUN_DATE,), windows=WINDOWS) -> DataFrame:
     return gold.area_category(f.order_transaction(), f.order_item(), f.shop(), f.address(),
-                              f.dish_tagging(), list(runs), WINDOWS)
+                              f.dish_tagging(), list(runs), windows)
+
+
+def stored_area(f: Fixtures, runs=(RUN_DATE,), windows=WINDOWS) -> DataFrame:
+    """The area table as the next job sees it: stored, partitioned by business day."""
+    path = work_path(f.spark, "area_category")
+    area = _area(f, runs, windows)
+    sinks.write_append(area, path, ["busi_dt"])
+    back = sinks.read_table_dir(f.spark, path)
+    return back.select(*[F.col(c).cast(area.schema[c].dataType).alias(c) for c in area.columns])
+
+
+def popular(f: Fixtures, busi=RUN_DATE) -> DataFrame:
+    """Popularity reads one window of the latest stored day."""
+    return lists.popular_dishes(stored_area(f, (busi,), (7,)), 7, EXCLUDE)
 
 
 def area_category(spark: SparkSession, sf: str) -> DataFrame:
@@ -83,14 +97,7 @@ def _lists(f: Fixtures, busi=RUN_DATE, cutoff=None) -> DataFrame:
         o = o.where(F.col("order_date") < F.lit(cutoff))
     tags = f.dish_tagging()
     cc = gold.customer_category(o, f.order_item(), tags, busi)
-    area = gold.area_category(f.order_transaction(), f.order_item(), f.shop(), f.address(), tags,
-                              [busi], WINDOWS)
-    # As in the daily pipeline, the list job reads the stored area table
-    # (partitioned by busi_dt, so the latest day is a pruned partition).
-    path = work_path(f.spark, "area_category")
-    sinks.write_append(area, path, ["busi_dt"])
-    pop = lists.popular_dishes(sinks.read_table_dir(f.spark, path), 7, EXCLUDE)
-    return lists.customer_lists(cc, pop, f.category_id_mapper(), busi, EXCLUDE, LIST_K)
+    return lists.customer_lists(cc, popular(f, busi), f.category_id_mapper(), busi, EXCLUDE, LIST_K)
 
 
 def _stored_lists(f: Fixtures) -> DataFrame:
@@ -102,8 +109,7 @@ def _stored_lists(f: Fixtures) -> DataFrame:
 
 def agg_popularity(spark: SparkSession, sf: str) -> DataFrame:
     f = Fixtures(spark, sf)
-    pop = lists.popular_dishes(_area(f), 7, EXCLUDE)
-    return lists.ranked_popularity(pop).select("dish_type_l3", "total_orders",
+    return lists.ranked_popularity(popular(f)).select("dish_type_l3", "total_orders",
                                                F.col("pos").cast("int").alias("pos"))
 
 
@@ -150,7 +156,6 @@ QUERIES: dict[str, Query] = {
     "agg_area_dish": area_category,
     "win_rank_expr_partition": customer_category,
     "win_top1_group": shop_category,
-    "sort_by_aggregate": agg_popularity,
     "union_positional": customer_category_list,
     "udf_list_builder": customer_category_list,
 }

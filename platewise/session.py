@@ -7,6 +7,7 @@ are for tests, the bench and the driver entry point.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -69,8 +70,9 @@ def tune_for_input(spark: SparkSession, input_bytes: int, partition_bytes: int =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, as the cluster names it.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when nothing is
-    configured (a bare test session) is a private folder created.
+    ``spark.checkpoint.dir`` is read from the session.  Only a ``local`` master
+    without one gets a private folder; a cluster without one is an error, since
+    executors would each write to their own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,11 +80,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(sc.master):
+            raise ValueError(f"spark.checkpoint.dir is not set: master {sc.master} needs a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="platewise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
 
 
+def is_local(master: str) -> bool:
+    """``local`` and ``local[...]`` run in one process; ``local-cluster`` doesn't."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path below the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
@@ -90,11 +99,12 @@ def work_path(spark: SparkSession, name: str) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder.
+    """Cut lineage by a table in the shared folder.
 
     Used where a plan must be evaluated twice with identical, recomputable
-    results (positions assigned after a sort).  Never a local checkpoint: an
-    executor loss must not lose the data.
+    results (positions assigned after a sort).  The rows are written once and
+    read back, so an executor loss loses nothing and nothing is computed twice.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = work_path(df.sparkSession, "durable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

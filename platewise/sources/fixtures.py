@@ -31,12 +31,24 @@ def _norm(c):
 # (application id, sf dir, table) -> how to read the materialised table
 _STORED: dict[tuple[str, str, str], tuple[str, str]] = {}
 
-#: Order tables are stored bucketed by order_id with this many buckets, so the
-#: jobs join them without a shuffle (see ``sinks.write_bucketed``).
-ORDER_BUCKETS = 8
+#: Order tables are stored bucketed by order_id, so the jobs join them without a
+#: shuffle (see ``sinks.write_bucketed``); a bucket gets about so many input bytes.
+BUCKET_BYTES = 256 << 20
 _BUCKETED = {"order_transaction": ["order_id"], "order_item": ["order_id"]}
 
 
+def bucket_count(total_bytes: int, at_least: int = 8) -> int:
+    """Buckets for tables of ``total_bytes``; both tables of a join take the same number."""
+    return max(at_least, -(-total_bytes // BUCKET_BYTES))
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Bytes below the paths, by the file system that holds them."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop = [jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in hadoop)
+
+
 def stored(method):
     """Materialise a logical table once per application (see :class:`Fixtures`)."""
     @functools.wraps(method)
@@ -53,12 +65,9 @@ def stored(method):
             df = method(self)
             if name in _BUCKETED:
                 table = f"platewise_{name}_{path.rsplit('-', 1)[-1][:12]}"
-                try:
-                    write_bucketed(df, table, path, _BUCKETED[name], ORDER_BUCKETS)
-                    _STORED[key] = ("table", table)
-                except Exception:  # a catalog that cannot hold the table: plain files
-                    df.write.mode("overwrite").parquet(path)
-                    _STORED[key] = ("path", path)
+                size = input_bytes(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem")])
+                write_bucketed(df, table, path, _BUCKETED[name], bucket_count(size))
+                _STORED[key] = ("table", table)
             else:
                 df.write.parquet(path)
                 _STORED[key] = ("path", path)
@@ -113,7 +122,8 @@ class Fixtures:
             F.when(is_old, F.col("o_totalprice") / 2).otherwise(F.col("o_totalprice")).alias("total_amount"),
             F.when(is_old & (F.col("o_orderkey") % 20 != 0), F.lit("PENDING")).otherwise(status)
             .alias("order_status"),
-            F.to_date("o_orderdate").alias("order_date"),
+            # a time of day, as the source column may have one
+            (F.col("o_orderdate") + F.make_interval(hours=F.col("o_orderkey") % 24)).alias("order_date"),
             F.when(is_old, F.col("o_orderdate")).otherwise(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"))
             .alias("updt_dttm"))
 

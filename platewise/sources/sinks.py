@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from platewise.session import work_path
+
 
 class DuplicateKeyError(ValueError):
     """An upsert batch holds a key twice."""
@@ -84,11 +86,34 @@ def write_snapshot(df: DataFrame, root: str) -> str:
     return nxt
 
 
+def drop_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Remove all but the newest ``keep`` committed versions of a table (a reader may hold the one before)."""
+    fs, _ = _fs(spark, root)
+    for name in _versions(spark, root)[:-keep]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}"), True)
+
+
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
     vs = _versions(spark, root)
     return spark.read.parquet(f"{root.rstrip('/')}/{vs[-1]}") if vs else None
 
 
+def read_snapshot_before(spark: SparkSession, root: str, col: str, value) -> DataFrame | None:
+    """The newest version whose ``col`` (one value per version) is below ``value``."""
+    for name in reversed(_versions(spark, root)):
+        df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
+        first = df.select(col).first()
+        if first is not None and first[0] < value:
+            return df
+    return None
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Is there a table directory with at least one entry?"""
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and len(fs.listStatus(p)) > 0
+
+
 def union_evolve(old: DataFrame, new: DataFrame) -> DataFrame:
     """Stack by name; a column present on one side only is NULL on the other."""
     return old.unionByName(new, allowMissingColumns=True)
@@ -104,9 +129,8 @@ def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
 def fail_on_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The same rows, failing the job that writes them if a key occurs twice.
 
-    Checked inside the write job (a count over the key, in the shuffle by key
-    the merge needs anyway), so the batch is computed once, not once for a
-    check and again for the write.
+    Checked inside the job that stores the batch (a count over the key), so the
+    batch is computed once, not once for a check and again for the write.
     """
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     msg = F.concat(F.lit("duplicate key in upsert batch: "),
@@ -145,6 +169,12 @@ class KeyedTable:
         for k in self.keys:
             c = F.col(k).isNotNull()
             cond = c if cond is None else cond & c
-        updates = fail_on_duplicates(updates.where(cond), self.keys)
-        merged = merge_by_key(read_snapshot(spark, self.root), updates, self.keys)
-        return write_snapshot(merged, self.root)
+        # the batch is stored once: the merge reads its keys and its rows
+        batch = f"{work_path(spark, 'batch')}"
+        fail_on_duplicates(updates.where(cond), self.keys).write.parquet(batch)
+        updates = spark.read.schema(updates.schema).parquet(batch)
+        path = write_snapshot(merge_by_key(read_snapshot(spark, self.root), updates, self.keys), self.root)
+        fs, p = _fs(spark, batch)
+        fs.delete(p, True)
+        drop_versions(spark, self.root)
+        return path

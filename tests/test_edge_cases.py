@@ -219,25 +219,48 @@ def test_literal_row_and_safe_conform(spark):
         R.conform(df, schema).collect()
 
 
-def test_pad_list_matches_the_padding_rule_on_random_cases(spark):
+def test_pad_list_properties_on_random_cases(spark):
     import random
 
     rnd = random.Random(3)
     names = [f"d{i}" for i in range(25)]
     cases = []
     for _ in range(500):
-        own = [rnd.choice(names) for _ in range(rnd.randint(0, 10))]
-        top = rnd.sample(names, rnd.randint(0, 25))
-        cases.append((own, top, len(own)))
-
-    def rule(own, top, count, k=10):
-        out = list(own)
-        if count < k:
-            for d in top:
-                if d not in out and len(out) < k:
-                    out.append(d)
-        return out[:k]
-
+        own = rnd.choices(names, k=rnd.randint(0, 12))
+        cases.append((own, rnd.sample(names, rnd.randint(0, 25)), rnd.choice([len(own), 10])))
     df = spark.createDataFrame(cases, "own array<string>, top array<string>, n long")
-    got = [r[0] for r in df.select(pad_list("own", "top", "n", 10)).collect()]
-    assert got == [rule(*c) for c in cases]
+    for own, top, n, got in df.select("own", "top", "n", pad_list("own", "top", "n", 10)).collect():
+        kept, added = got[:len(own)], got[len(own):]
+        assert kept == own[:10] and len(got) <= 10
+        if n >= 10:
+            assert added == []
+        else:  # the unseen popular names in their order, as many as fit
+            unseen = sorted(set(top) - set(own), key=top.index)
+            assert added == unseen[:len(added)]
+            assert len(got) == 10 or len(added) == len(unseen)
+
+
+def test_recency_rank_goes_by_time_of_day(spark):
+    t = dt.datetime
+    orders = spark.createDataFrame([(1, "u", t(2001, 8, 1, 18), "COMPLETE"), (2, "u", t(2001, 8, 1, 9), "COMPLETE")],
+                                   "order_id long, user_id string, order_date timestamp, order_status string")
+    items = spark.createDataFrame([(1, 10), (2, 20)], "order_id long, menu_id long")
+    tags = spark.createDataFrame([(10, "a", 1), (20, "b", 2)], "menu_id long, new_dish_type_l3 string, new_category_id int")
+    got = {r.dish_type_l3: (r["rank"], r.recent_order_dt) for r in gold.customer_category(orders, items, tags, D).collect()}
+    assert got == {"b": (1, D), "a": (2, D)}
+
+
+def test_area_counts_the_whole_run_date(spark):
+    t = dt.datetime
+    rows = [(1, 20.0, 5, t(2001, 8, 1, 0), t(2001, 8, 1)), (2, 10.0, 5, t(2001, 8, 1, 13), t(2001, 8, 1)),
+            (3, 7.0, 5, t(2001, 8, 2, 0), t(2001, 8, 2)), (4, 3.0, 5, t(2001, 7, 31, 23), t(2001, 8, 1)),
+            (5, 9.0, 5, t(2001, 7, 30, 23), t(2001, 8, 1))]
+    schema = "order_id long, total_amount double, shop_id long, order_date {}, updt_dttm timestamp"
+    items = spark.createDataFrame([(i, 10) for i in range(1, 6)], "order_id long, menu_id long")
+    tags = spark.createDataFrame([(10, "a", 1)], "menu_id long, new_dish_type_l3 string, new_category_id int")
+    shop = spark.createDataFrame([(5, 1)], "shop_id long, address_id long")
+    address = spark.createDataFrame([(1, "x")], "address_id long, address_subdistrict string")
+    times = spark.createDataFrame(rows, schema.format("timestamp"))
+    for orders in (times, times.withColumn("order_date", F.to_date("order_date"))):
+        r = gold.area_category(orders, items, shop, address, tags, [D], [1]).collect()
+        assert [(x.total_amount, x.total_orders) for x in r] == [(33.0, 3)]

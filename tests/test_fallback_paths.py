@@ -1,10 +1,11 @@
 """The paths taken above the size bounds give the same rows as the small paths."""
 
+import pytest
 import pyspark.sql.functions as F
 
 from platewise.operators import relational as R
 from platewise.plans import gold, lists
-from platewise.sources.fixtures import EXCLUDE, RUN_DATE, WINDOWS, Fixtures
+from platewise.sources.fixtures import RUN_DATE, Fixtures
 
 from conftest import SF_SMALL
 
@@ -27,20 +28,35 @@ def test_shuffle_join_when_tags_exceed_broadcast_bound(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == want
-    assert "BroadcastHashJoin" not in plan or "SortMergeJoin" in plan
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
 
 
-def test_id_join_when_mapper_exceeds_map_bound(spark, monkeypatch):
+def test_menu_and_shop_counts_when_tags_exceed_broadcast_bound(spark, monkeypatch):
     f = Fixtures(spark, SF_SMALL)
-    tags = f.dish_tagging()
-    cc = gold.customer_category(f.order_transaction(), f.order_item(), tags, RUN_DATE)
-    area = gold.area_category(f.order_transaction(), f.order_item(), f.shop(), f.address(), tags,
-                              [RUN_DATE], WINDOWS)
-    pop = lists.popular_dishes(area, 7, EXCLUDE)
-    want = _rows(lists.customer_lists(cc, pop, f.category_id_mapper(), RUN_DATE, EXCLUDE))
-    monkeypatch.setattr(lists, "MAP_MAX_ROWS", 1)
-    got = _rows(lists.customer_lists(cc, pop, f.category_id_mapper(), RUN_DATE, EXCLUDE))
-    assert got == want
+    args = f.order_transaction(), f.order_item(), f.dish_tagging(), RUN_DATE
+    want = _rows(gold.menu_category(*args)), _rows(gold.shop_category(*args))
+    monkeypatch.setattr(gold, "sized_broadcast", lambda df, max_rows=1: R.sized_broadcast(df, 1))
+    assert (_rows(gold.menu_category(*args)), _rows(gold.shop_category(*args))) == want
+
+
+def test_repeated_and_null_mapper_names_at_either_size(spark, monkeypatch):
+    cc = spark.createDataFrame([("u", "a", 1, 10, 1), ("u", "b", 1, 9, 1)],
+                               "user_id string, dish_type_l3 string, category_id int, decile int, rank int")
+    pop = spark.createDataFrame([("a", 5), ("c", 4)], "dish_type_l3 string, total_orders long")
+    ids = spark.createDataFrame([("a", 1), ("a", 7), ("b", 2), ("c", 3), (None, 9)], "category_name string, category_id int")
+    want = [("default", '[{"id":7,"name":"a"},{"id":3,"name":"c"}]'),
+            ("u", '[{"id":7,"name":"a"},{"id":2,"name":"b"},{"id":3,"name":"c"}]')]
+    for bound in (1_000_000, 1):
+        monkeypatch.setattr(lists, "sized_broadcast", lambda df, max_rows=0, n=bound: R.sized_broadcast(df, n))
+        got = lists.customer_lists(cc, pop, ids, RUN_DATE).select("user_id", "gd_dish_types")
+        assert sorted(map(tuple, got.collect())) == want
+        names = spark.createDataFrame([("u", ["a", "b"]), ("v", [])], "user_id string, names array<string>")
+        items = {r.user_id: [tuple(x) for x in r["items"]] for r in lists.dish_structs(names, ids, "names", "items").collect()}
+        assert items == {"u": [(7, "a"), (2, "b")], "v": []}
+        for missing in (lists.customer_lists(cc, pop, ids.where("category_id <> 2"), RUN_DATE),
+                        lists.dish_structs(names, ids.where("category_id <> 2"), "names", "items")):
+            with pytest.raises(Exception, match="no category id for b"):
+                missing.collect()
 
 
 def test_rank_blocks_without_broadcast(spark, monkeypatch):

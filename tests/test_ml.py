@@ -23,7 +23,9 @@ def test_text_model_accuracy_floor(spark):
     enc = ml.fit_labels(td, "dish_type_l3")
     assert [r.category_id for r in enc.orderBy("category_id").collect()] == [0, 1, 2, 3]
     data = ml.split(ml.encode_labels(td, "dish_type_l3", enc), "key", SEED)
-    model = ml.train_text(data.where(F.col("split") == "train"), "dish_name", max_iter=30)
+    model, val = ml.train_and_validate(data, "dish_name", max_iter=20, num_features=1 << 12)
+    val = val.first()
+    assert val.accuracy >= 0.9 and val.n == data.where(F.col("split") == "val").count()
     pred = ml.predict(model, data.where(F.col("split") == "test"), text_col="dish_name")
     m = ml.evaluate(pred).first()
     assert m.accuracy >= 0.9, m
@@ -38,6 +40,14 @@ def test_batch_scoring_matches_native_argmax(spark):
     assert bad == 0
 
 
+def test_vector_model_accuracy_floor(spark):
+    """Vectors of a label share a direction only weakly: well above one label in ten on seen rows."""
+    v = Fixtures(spark, SF_MID).vector_data()
+    model = ml.train_vec(v, "embedding", "label")
+    m = ml.evaluate(ml.predict(model, v, vector_col="embedding")).first()
+    assert m.accuracy >= 0.3 and m.n == v.count()
+
+
 def test_char_ngram_model_and_vector_model(spark):
     td = Fixtures(spark, SF_SMALL).training_data()
     enc = ml.fit_labels(td, "dish_type_l3")

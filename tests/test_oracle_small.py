@@ -9,6 +9,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from platewise.queries import all_queries
+from sql_oracle import ORACLE
 
 from conftest import SF_SMALL
 
@@ -46,18 +48,18 @@ def con():
     return c
 
 
-KEYS = sorted(k for k in entry.oracle_sql())
+KEYS = sorted(ORACLE)
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_SMALL)
+    df = all_queries()[key](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     python_nodes = "BatchEvalPython" in plan or "ArrowEvalPython" in plan
     # Python runs only where it is the feature: Arrow-batch scoring of an external model
     assert python_nodes == (key == "udf_batch_predict"), key
     got = rows(df.columns, [tuple(r) for r in df.collect()])
-    cur = con.execute(entry.oracle_sql()[key])
+    cur = con.execute(ORACLE[key])
     want = rows([d[0] for d in cur.description], cur.fetchall())
     assert sorted(df.columns) == sorted(d[0] for d in cur.description)
     assert got == want

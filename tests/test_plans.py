@@ -18,7 +18,8 @@ def test_gold_plans_have_no_python(spark):
 
 def test_scan_reads_only_needed_columns(spark):
     p = plan(all_queries()["customer_category"](spark, SF_SMALL))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint>" in p or "l_quantity" not in p
+    assert "ReadSchema: struct<order_id:bigint,user_id:string,order_status:string,order_date:timestamp>" in p
+    assert "total_amount" not in p and "shop_name" not in p and "updt_dttm" not in p
 
 
 def test_decile_needs_no_self_join(spark):
@@ -81,3 +82,36 @@ def test_area_prunes_month_partitions(spark):
     assert "PartitionFilters: [isnotnull(order_month" in p and "order_month#" in p
     want = gold.area_category(f.order_transaction(), *args)
     assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_bucket_count_grows_with_the_input(spark):
+    from platewise.sources import fixtures
+
+    counts = [fixtures.bucket_count(b) for b in (0, 1 << 30, 1 << 40, 100 << 40)]
+    assert counts == [8, 8, 4096, 409600]
+    assert fixtures.input_bytes(spark, [f"{SF_SMALL}/orders.parquet"]) > 10_000
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    import pytest
+
+    from platewise.session import ensure_checkpoint_dir, is_local
+
+    class Nothing:
+        master = "spark://host:7077"
+
+        def get(self, *_):
+            return None
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return self
+
+    class Session:
+        conf = sparkContext = Nothing()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Session())
+    assert is_local("local[*]") and is_local("local") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")

@@ -2,8 +2,11 @@
 
 import os
 import re
+import sys
 
 import __spark_entry__ as entry
+from platewise.queries import all_queries
+from sql_oracle import ORACLE
 
 from conftest import ROOT
 
@@ -28,5 +31,11 @@ def test_every_survey_key_is_registered():
 
 def test_oracles_have_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    rows_only = sorted(set(entry.queries()) - set(entry.oracle_sql()))
-    assert rows_only == ["ml_evaluate", "ml_predict", "ml_train_text", "ml_train_vector", "tag_menus"]
+    rows_only = sorted(set(all_queries()) - set(ORACLE))
+    assert rows_only == ["ml_train_text", "ml_train_vector"]
+
+
+def test_queries_without_the_corpus_subpackage(monkeypatch):
+    """The other queries are there where the corpus folder is not."""
+    monkeypatch.setitem(sys.modules, "corpus_pipeline", None)
+    assert set(entry.queries()) == set(all_queries()) and set(entry.oracle_sql()) == set(ORACLE)
