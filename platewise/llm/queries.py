@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, chat, minhash, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
+from platewise.llm import bpe, chat, minhash, oracle_sql, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -84,6 +84,9 @@ QUERIES = {
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
 }
 ORACLE = {
-    "op8_chat_perspectives": chat.oracle(),
     "op1_quality_rules": quality_rules.oracle(),
+    "op2_minhash_near_dedup": oracle_sql.near_duplicates(),
+    "op4_embedding_near_dedup": oracle_sql.linked_vectors(),
+    "op7_substring_dedup": oracle_sql.removed_repeats(),
+    "op8_chat_perspectives": chat.oracle(),
 }
