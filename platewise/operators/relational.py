@@ -15,24 +15,41 @@ from pyspark.sql import types as T
 
 ColumnLike = Column | str
 
-# Largest row count of a side that is broadcast on a size check.  Dimension
-# tables (shops, menus, mappers) above this go through a shuffle join instead.
+# A side is broadcast on a size check: at most so many rows and so many bytes of
+# values.  Dimension tables (shops, menus, mappers) above this go through a
+# shuffle join instead.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 256 << 20
 
 
 def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
+def _value_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's values: the length of texts, the JSON length of nested values, else eight."""
+    total = F.lit(0)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType | T.BinaryType):
+            total = total + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType):
+            total = total + F.octet_length(F.to_json(F.struct(c.alias("v"))))
+        else:
+            total = total + 8
+    return total.cast("long")
 
-    The check reads at most ``max_rows + 1`` rows.  Above the bound the frame
-    is returned unmarked, so the join shuffles (sort-merge, with AQE skew
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows and
+    ``max_bytes`` of values.
+
+    The check reads at most ``max_rows + 1`` rows.  Above a bound the frame is
+    returned unmarked, so the join shuffles (sort-merge, with AQE skew
     splitting) instead of shipping an unbounded table to every executor.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(_value_bytes(df))).first()
+    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
 
 
 # ---------------------------------------------------------------- filters --

@@ -151,10 +151,10 @@ def serve(requests: DataFrame, lists: DataFrame, key: str = "user_id",
     if small is not req:
         # A small batch of requests against a large table: a broadcast semi
         # join streams the table once without shuffling it and keeps the
-        # requested keys; the table is keyed, so the hits are at most as many
-        # as the (size-checked) requests and can be broadcast in turn.
+        # requested keys.  Of the hits only their real size is trusted: Spark
+        # broadcasts them at run time if they are below its byte threshold.
         hits = table.join(small, key, "left_semi")
-        got = req.join(F.broadcast(hits), key, "left")
+        got = req.join(hits, key, "left")
     else:
         got = req.join(table, key, "left")
     return got.select(

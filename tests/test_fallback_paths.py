@@ -82,3 +82,10 @@ def test_serve_paths_agree(spark, monkeypatch):
     got = sorted(map(lambda r: tuple(str(x) for x in r), lists.serve(req, lst).collect()))
     assert got == want
     assert ("u3", "[d]", "True") in want and ("u1", "[a]", "False") in want and ("None", "[d]", "True") in want
+
+
+def test_broadcast_bound_counts_bytes(spark):
+    df = spark.createDataFrame([(i, "x" * 1000, ["y" * 100]) for i in range(10)], "k long, v string, a array<string>")
+    assert R.sized_broadcast(df) is not df
+    assert R.sized_broadcast(df, max_bytes=10_000) is df and R.sized_broadcast(df, max_rows=9) is df
+    assert R.sized_broadcast(df.limit(0), max_bytes=0) is not df
