@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.llm import minhash, packing, pii, quality_model, substrings
-from platewise.llm.common import stored, with_rows
+from platewise.llm.common import drop_stored, stored, stored_so_far, with_rows
 
 KEEP_SCORE = 0.7  # a document stays from this score on
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
@@ -77,7 +77,8 @@ ORACLE_SQL = None  # the classifier, MinHash and the tokenizer can't be put in S
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, start = spark.read.parquet(f"{sf_dir}/documents.parquet"), stored_so_far()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        drop_stored(spark, start, keep=1)  # the stage's own tables and its input
     return docs

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from platewise.session import work_path
@@ -13,13 +13,32 @@ from platewise.session import work_path
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
 
+_STORED: list[str] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` once below the shared checkpoint folder and read it back."""
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
+    _STORED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_so_far() -> int:
+    return len(_STORED)
+
+
+def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
+    """Remove the tables that :func:`stored` has written from number ``since`` on, but
+    for the last ``keep``; call it when no result that reads them is needed any more."""
+    gone = _STORED[since:len(_STORED) - keep]
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        p = hadoop.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    _STORED[since:len(_STORED) - keep] = []
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], target_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches to rows of about ``target_bytes`` (a row is never cut), so that
     a Python worker's memory doesn't follow the rows per batch of the session."""

@@ -81,7 +81,9 @@ def test_stages_equal_brute_force(spark, inputs):
 
 
 def test_run_gives_the_same_rows(spark, inputs):
+    before = pipeline.stored_so_far()
     got = pipeline.run(spark, SF).drop("sequence_id", "offset")
+    assert pipeline.stored_so_far() == before + 1  # only the result is left
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, inputs["end"].drop("sequence_id", "offset").collect()))
 
 
