@@ -33,7 +33,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies (once, if its row repeats)."""
     found = minhash.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = stored(found.where("NOT kept").select("doc_id").distinct(), "near-copies")
-    return with_rows(docs, gone, "doc_id", keep=False).dropDuplicates(["doc_id"])
+    # only rows whose id repeats are dealt by id, so the other texts aren't moved
+    many = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    left = with_rows(docs, gone, "doc_id", keep=False)
+    once = with_rows(left, many, "doc_id", keep=True).dropDuplicates(["doc_id"])
+    return with_rows(left, many, "doc_id", keep=False).unionByName(once)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

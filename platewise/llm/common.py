@@ -39,7 +39,7 @@ def drop_stored(spark: SparkSession, since: int = 0, keep: int = 0) -> None:
     _STORED[since:len(_STORED) - keep] = []
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], target_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], target_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches to rows of about ``target_bytes`` (a row is never cut), so that
     a Python worker's memory doesn't follow the rows per batch of the session."""
     for b in batches:

@@ -72,7 +72,7 @@ def _met_twice(found: DataFrame, kind: str, items, cells: int, wide: bool) -> Da
     shape = f"cell int, probe binary, ask binary, id array<{kind}>, at array<int>, hit_id array<{kind}>, hit_at array<int>"
 
     def deal(batches):
-        for b in small_batches(batches):
+        for b in small_batches(batches, 2 << 20):
             h, g, row, place, asks = items(b)
             if not len(h):
                 continue
