@@ -41,9 +41,10 @@ def perspectives(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn",
     role = (F.when(F.col("speaker") == SYSTEM, SYSTEM).when(own, "assistant")
             .otherwise(F.concat(F.lit("user name="), F.col("speaker"))))
     head = F.concat(F.lit(START), role, F.lit("\n"))
-    seen = seen.select("id", "perspective", "turn", "speaker", "body", own.alias("own"), F.length(head).alias("head"),
-                       F.concat(head, F.col("body"), F.lit(END + "\n")).alias("said"))
-    seen = running_total(seen, ["id", "perspective"], ["turn", "speaker", "body"], F.length("said"), "at")
+    size = F.length(head) + F.length("body") + len(END + "\n")
+    seen = running_total(seen, ["id", "perspective"], ["turn", "speaker", "body"], size, "at")
+    said = F.concat(head, F.col("body"), F.lit(END + "\n"))  # made only now, so that what is sorted holds each text once
+    seen = seen.select("id", "perspective", "at", own.alias("own"), F.length(head).alias("head"), said.alias("said"))
     part = seen.withColumn("part", F.floor(F.col("at") / part_chars)).groupBy("id", "perspective", "part").agg(
         F.sort_array(F.collect_list(F.struct("at", "own", "head", "said"))).alias("s"))
     begin = F.col("s")[0]["at"]
