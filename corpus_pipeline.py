@@ -6,7 +6,8 @@ read again as the next one's ``docs``.  All but the last return the columns of
 
 Defined cases, in every stage: NULL and empty texts pass as the operator defines
 them, further columns are kept, an empty table gives no rows, and equal rows are
-copies of each other.
+copies of each other.  A row without an id passes unchanged through the stages that
+change texts.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of every group of near copies (once, if its row repeats)."""
-    found = minhash.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
+    found = stored(minhash.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT), "found")
     gone = stored(found.where("NOT kept").select("doc_id").distinct(), "near-copies")
     # only rows whose id repeats are dealt by id, so the other texts aren't moved
     many = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import small_batches
+from platewise.llm.common import small_batches, text_batches
 
 BLOCK_CHARS = 1 << 19  # text read at once
 WINDOW_BYTES = 1 << 11  # bytes merged at once inside a long piece
@@ -358,6 +358,7 @@ def merge_table(path: str) -> MergeTable:
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
                      out: str = "ids") -> DataFrame:
     """``id_col`` and the token ids (array<int>) of every whole text."""
+    text_batches(df.sparkSession)
     src = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
 
     def run(batches):

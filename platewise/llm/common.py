@@ -16,8 +16,19 @@ WORD_BREAK = r"[\x20\x09-\x0D]+"
 _STORED: list[str] = []
 
 
+ARROW_ROWS = 512  # texts are large rows: the default of 10,000 would hold 40 MB or more on both sides
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Send fewer rows at once to Python, unless the cluster was launched with a value of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not spark.sparkContext.getConf().contains(key):
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Cut the lineage: write ``df`` once below the shared checkpoint folder and read it back."""
+    text_batches(df.sparkSession)
     path = work_path(df.sparkSession, name)
     df.write.parquet(path)
     _STORED.append(path)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import small_batches
+from platewise.llm.common import small_batches, text_batches
 from platewise.llm.text_arrays import Words, window_marks
 
 FEATURES = ("log_words", "chars_per_word", "longest_word", "upper", "digits", "symbols", "exclamation", "bars",
@@ -191,6 +191,7 @@ def held_out(id_col: str) -> Column:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           max_rows: int = 20_000) -> Model:
     """Fit on at most ``max_rows`` labelled rows that are not held out."""
+    text_batches(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_y"))
     chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows).collect()
@@ -212,6 +213,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "quality_score") -> DataFrame:
     """All columns of ``docs`` and the score (0 to 1) of each whole text."""
+    text_batches(docs.sparkSession)
     names = [c for c in docs.columns if c != out]
     shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != out)
 
