@@ -1,11 +1,20 @@
 """Personal data: base formats, and identifiers found by bootstrapped contexts.
 
 Base spans (e-mail, IP address, payment card, phone number) come from regular
-expressions; places are code points.  They seed a bootstrap over the corpus: a
-candidate is a word with at least five digits or an at sign, and it has two
-patterns: the word before it, or the word behind it (in lower case), each with
-the candidate's format (letters, digits, signs; runs are one sign).  From the
-graph of patterns and distinct instances
+expressions; places are code points.  They seed a bootstrap over the corpus.  A
+candidate is
+
+* a word with at least five digits or an at sign,
+* a whole base span of several words, or
+* a group: words with digits (no at sign, touched by no base span) that follow each
+  other, or are parted by words of ``().-`` only, with at least five digits in all.
+
+Its patterns are the word before it and the word behind it (in lower case, whatever
+they hold), each with the candidate's format (letters, digits, blanks, signs; runs are
+one sign).  A number (5 to 19 digits and nothing else but blanks and ``+()-``) that is
+no part of a longer candidate has the same two patterns with the format ``#`` too, so
+that a number in one grouping teaches the context of another.  From the graph of
+patterns and distinct instances
 
 * a pattern's confidence is known / (all + 1), over its instances,
 * an instance is known if it is a seed or in a pattern of at least ``confident``,
@@ -62,10 +71,10 @@ def _valid(kind: str, m: Column) -> Column:
     return F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(False)
 
 
-def _walk(text: str, regex: str, one, shape: str) -> Column:
+def _walk(text: Column, regex: str, one, shape: str) -> Column:
     """``one(match, start, gap before, gap behind)`` of every match; the gaps between
     matches, which ``split`` gives, tell their places."""
-    gaps, found = F.split(text, regex, -1), F.regexp_extract_all(F.col(text), F.lit(regex), 0)
+    gaps, found = F.split(text, regex, -1), F.regexp_extract_all(text, F.lit(regex), 0)
     empty = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{shape}>").alias("out"))
     zipped = F.arrays_zip(F.slice(gaps, 1, F.size(found)).alias("gap"), found.alias("m"), F.slice(gaps, 2, F.size(found)).alias("next"))
     return F.aggregate(zipped, empty, lambda a, x: F.struct(
@@ -76,7 +85,7 @@ def _walk(text: str, regex: str, one, shape: str) -> Column:
 
 def _matches(text: str, kind: str, code: int) -> Column:
     """Spans of the valid matches of one kind."""
-    walked = _walk(text, REGEX[kind], lambda m, start, *_: F.struct(
+    walked = _walk(F.col(text), REGEX[kind], lambda m, start, *_: F.struct(
         start, start + F.length(m), F.lit(code), _valid(kind, m)), "struct<start:int,end:int,kind:int,ok:boolean>")
     spans = F.transform(F.filter(walked, lambda s: s["ok"]), lambda s: F.struct(s["start"], s["end"], s["kind"]))
     return F.when(F.col(text).rlike(HINT[kind]), spans.cast(SPAN)).otherwise(F.array().cast(SPAN))
@@ -94,25 +103,90 @@ def base_spans(df: DataFrame, text_col: str = "text", out: str = "base") -> Data
     return df.withColumn("_t", F.coalesce(F.col(text_col), F.lit(""))).withColumn(out, _ordered(F.concat(*each))).drop("_t")
 
 
-WORD_AT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"  # a word with a digit or an at sign
-CANDIDATE = "struct<start:int,end:int,instance:string,before:string,behind:string>"
-
-
-def _candidates(text: str) -> Column:
-    """Candidates with their place and patterns (NULL where there is no word on that side)."""
+BLANK, WORD = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+MARKED = rf"(?<!{WORD})[^\x20\x09-\x0D0-9@]*+[0-9@]{WORD}*+"  # a word with a digit or an at sign
+# Marked words that follow each other, words of signs between them; a base span lies in one run.
+RUN = rf"{MARKED}(?:{BLANK}++(?:[().-]++{BLANK}++)*+{MARKED})*+"
+LEAST_DIGITS, MOST_DIGITS = 5, 19
+TOKEN = "struct<start:int,end:int,word:string>"
+CANDIDATE = "struct<start:int,end:int,instance:string,patterns:array<string>>"
+
+
+def _digits(c: Column) -> Column:
+    return F.length(F.regexp_replace(c, "[^0-9]++", ""))
+
+
+def _touch(a: Column, b: Column) -> Column:
+    return (a["start"] < b["end"]) & (b["start"] < a["end"])
+
+
+def _candidate(text: Column, start: Column, before: Column, behind: Column, whole: Column) -> Column:
+    """The candidate in ``text``, which begins at ``start``, between two words (empty where there is none)."""
+    body = F.regexp_replace(text, "^[^A-Za-z0-9+]++", "")
+    core = F.regexp_replace(body, r"(?<![^A-Za-z0-9])[^A-Za-z0-9]++$", "")
+    first = start + F.length(text) - F.length(body)
+    instance = F.regexp_replace(core, f"{BLANK}++", " ")
+    shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(instance, r"\p{L}++", "a"), "[0-9]++", "9"), "(?:a9){2,}+a?|(?:9a){2,}+9?", "x")
+    number = whole & instance.rlike(r"^[\x20+()0-9-]++$") & _digits(instance).between(LEAST_DIGITS, MOST_DIGITS)
+    shapes = F.filter(F.array(F.left(shape, F.lit(32)), F.when(number, F.lit("#"))), lambda f: f.isNotNull())
+    side = lambda sign, w: F.when(w != "", F.transform(shapes, lambda f: F.concat_ws(" ", F.lit(sign), F.lower(w), f)))
+    none = F.array().cast("array<string>")
+    patterns = F.concat(F.coalesce(side("<", F.right(before, F.lit(32))), none), F.coalesce(side(">", F.left(behind, F.lit(32))), none))
+    return F.struct(first, first + F.length(core), instance, patterns).cast(CANDIDATE)
+
+
+def _in_run(run: Column, base: Column) -> Column:
+    """Candidates of one run."""
+    token = lambda m, at, *_: F.struct(run["start"] + at, run["start"] + at + F.length(m), m)
+    base = F.filter(base, lambda s: (s["start"] >= run["start"]) & (s["end"] <= run["end"]))
+    cut = lambda start, end: F.substr(run["text"], start - run["start"] + 1, end - start)
+
+    def of(state):
+        tokens, wide = state["tokens"], state["wide"]
+        n = F.size(tokens)
+        word = lambda i: F.when(i < 0, run["before"]).when(i >= n, run["behind"]).otherwise(F.get(tokens, i)["word"])
+        open_ = F.transform(tokens, lambda t: ~t["word"].contains("@") & ~F.exists(base, lambda s: _touch(s, t)))
+        at = lambda flags, i: F.coalesce(F.get(flags, i), F.lit(False))
+
+        def with_groups(g):
+            free = g["open"]
+            every = F.sequence(F.lit(0), n - 1)
+            firsts = F.filter(every, lambda i: at(free, i) & ((i == 0) | ~at(free, i - 1)))
+            lasts = F.filter(every, lambda i: at(free, i) & ~at(free, i + 1))
+            several = F.filter(F.arrays_zip(firsts.alias("i"), lasts.alias("j")), lambda x: x["i"] < x["j"])
+            groups = F.transform(several, lambda x: _candidate(
+                cut(F.get(tokens, x["i"])["start"], F.get(tokens, x["j"])["end"]), F.get(tokens, x["i"])["start"], word(x["i"] - 1), word(x["j"] + 1), F.lit(True)))
+            groups = F.filter(groups, lambda c: _digits(c["instance"]) >= LEAST_DIGITS)
+            alone = lambda t, i: ~F.exists(wide, lambda s: _touch(s, t)) & ~(
+                at(free, i) & (at(free, i - 1) & (i > 0) | at(free, i + 1)))
+            words = F.transform(tokens, lambda t, i: _candidate(t["word"], t["start"], word(i - 1), word(i + 1), alone(t, i)))
+            words = F.filter(words, lambda c: c["instance"].contains("@") | (_digits(c["instance"]) >= LEAST_DIGITS))
+            return F.concat(words, groups)
+
+        ends = lambda test: F.filter(tokens, test)["word"]
+        before = lambda s: F.coalesce(F.try_element_at(ends(lambda t: t["end"] <= s["start"]), F.lit(-1)), run["before"])
+        behind = lambda s: F.coalesce(F.get(ends(lambda t: t["start"] >= s["end"]), 0), run["behind"])
+        spans = F.transform(wide, lambda s: _candidate(cut(s["start"], s["end"]), s["start"], before(s), behind(s), F.lit(True)))
+        return F.concat(_let(F.struct(open_.alias("open")), with_groups), spans)
+
+    wide = F.filter(base, lambda s: cut(s["start"], s["end"]).contains(" "))
+    return _let(F.struct(_walk(run["text"], f"{WORD}++", token, TOKEN).alias("tokens"), wide.alias("wide")), of)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _candidates(text: str, base: str) -> Column:
+    """Candidates with their place and patterns."""
     def one(m, start, gap, after):
-        body = F.regexp_replace(m, "^[^A-Za-z0-9+]++", "")
-        core = F.regexp_replace(F.right(body, F.lit(128)), "[^A-Za-z0-9]++$", "")
-        instance = F.concat(F.left(body, F.greatest(F.length(body) - 128, F.lit(0))), core)
-        first = start + F.length(m) - F.length(body)
-        shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(instance, r"\p{L}++", "a"), "[0-9]++", "9"), "(?:a9){2,}+a?|(?:9a){2,}+9?", "x")
-        side = lambda w: F.when(w != "", F.concat_ws(" ", F.lower(F.right(w, F.lit(32))), F.left(shape, F.lit(32))))
-        before = F.regexp_extract(F.right(gap, F.lit(48)), r"([^\x20\x09-\x0D]++)[\x20\x09-\x0D]*$", 1)
-        behind = F.regexp_extract(F.left(after, F.lit(48)), r"^[\x20\x09-\x0D]*([^\x20\x09-\x0D]++)", 1)
-        return F.struct(first, first + F.length(instance), instance, F.concat(F.lit("< "), side(before)), F.concat(F.lit("> "), side(behind)))
-
-    found = F.filter(_walk(text, WORD_AT, one, CANDIDATE), lambda c: c["instance"].contains("@") | (
-        F.length(F.regexp_replace(c["instance"], "[^0-9]++", "")) >= 5))
+        before = F.regexp_extract(F.right(gap, F.lit(48)), rf"({WORD}++){BLANK}*$", 1)
+        behind = F.regexp_extract(F.left(after, F.lit(48)), rf"^{BLANK}*({WORD}++)", 1)
+        return F.struct(start, start + F.length(m), m, before, behind)
+
+    runs = _walk(F.col(text), RUN, one, "struct<start:int,end:int,text:string,before:string,behind:string>")
+    found = F.flatten(F.transform(runs, lambda r: _in_run(r, F.col(base))))
     return F.when(F.col(text).rlike("[0-9@]"), found).otherwise(F.array().cast(f"array<{CANDIDATE}>"))
 
 
@@ -135,13 +209,12 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", confiden
     """(id, base, spans): base spans and all spans of every row, by start, then kind
     (0 to 3 as in ``KINDS``, 4 for a context span)."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = base_spans(docs).withColumn("cand", _candidates("text")).select("id", "base", "cand")
-    free = lambda c: ~F.exists("base", lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"]))
-    cand = F.transform("cand", lambda c: F.struct(*[c[n].alias(n) for n in ("start", "end", "instance", "before", "behind")],
-                                                  (~free(c)).alias("seed")))
+    rows = base_spans(docs).withColumn("cand", _candidates("text", "base")).select("id", "base", "cand")
+    cand = F.transform("cand", lambda c: F.struct(*[c[n].alias(n) for n in ("start", "end", "instance", "patterns")],
+                                                  F.exists("base", lambda s: _touch(s, c)).alias("seed")))
     rows = stored(rows.select("id", "base", cand.alias("cand")), "spans")
     flat = rows.where("size(cand) > 0").select("id", F.explode("cand").alias("c")).select("id", "c.*")
-    sides = flat.select("id", "start", "end", "instance", "seed", F.explode(F.array("before", "behind")).alias("pattern")).where("pattern IS NOT NULL")
+    sides = flat.select("id", "start", "end", "instance", "seed", F.explode("patterns").alias("pattern"))
     edges = stored(sides.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
     chosen = confident_patterns(edges, confident, rounds)
     more = (sides.where("NOT seed AND id IS NOT NULL").join(chosen, F.col("pattern") == F.col("_pattern"))

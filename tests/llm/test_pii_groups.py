@@ -1,0 +1,108 @@
+"""Identifiers of several words; contexts built from the text itself, by plain loops."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from platewise.llm import pii
+
+from .test_pii import HARD, WORD, brute_base
+
+
+def shape_of(core):
+    shape = "".join("a" if c.isalpha() else "9" if c in "0123456789" else c for c in core)
+    return re.sub("(?:a9){2,}a?|(?:9a){2,}9?", "x", re.sub("9+", "9", re.sub("a+", "a", shape)))
+
+
+def entities(text, base):
+    """(start, end, whole) of every candidate's raw text, over the full word sequence."""
+    words = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text)]
+    wide = [(a, b) for a, b, _ in base if " " in text[a:b]]
+    hit = lambda a, b, spans: any(s[0] < b and a < s[1] for s in spans)
+    free = ["@" not in w and bool(re.search("[0-9]", w)) and not hit(a, b, base) for a, b, w in words]
+    sign = [bool(re.fullmatch(r"[().-]+", w)) and not hit(a, b, base) for a, b, w in words]
+    out, k, grouped = [(a, b, True) for a, b in wide], 0, set()
+    while k < len(words):
+        if not free[k]:
+            k += 1
+            continue
+        last, j = k, k + 1
+        while j < len(words) and (free[j] or sign[j]):
+            last, j = (j, j + 1) if free[j] else (last, j + 1)
+        if last > k:
+            out.append((words[k][0], words[last][1], True))
+            grouped |= set(range(k, last + 1))
+        k = j
+    for k, (a, b, w) in enumerate(words):
+        if re.search("[0-9@]", w):
+            out.append((a, b, k not in grouped and not hit(a, b, wide)))
+    return words, out
+
+
+def candidates(text, base):
+    words, found = entities(text, base)
+    for a, b, whole in set(found):
+        raw = text[a:b]
+        body = re.sub("^[^A-Za-z0-9+]+", "", raw)
+        core = re.sub("[^A-Za-z0-9]+$", "", body)
+        if sum(c in "0123456789" for c in core) < 5 and "@" not in core:
+            continue
+        start = b - len(body)
+        instance = re.sub(r"[\x20\x09-\x0D]+", " ", core)
+        digits = sum(c in "0123456789" for c in core)
+        shapes = [shape_of(instance)] + ["#"] * (whole and bool(re.fullmatch(r"[\x20+()0-9-]+", instance)) and 5 <= digits <= 19)
+        before, behind = [w for _, e, w in words if e <= a], [w for s, _, w in words if s >= b]
+        sides = [(s, w.lower(), f) for s, w in (("<", before[-1:]), (">", behind[:1])) for w in w for f in shapes]
+        yield start, start + len(core), instance, sides, any(s[0] < start + len(core) and start < s[1] for s in base)
+
+
+def brute(rows, confident=0.8):
+    """{id: spans}, until nothing more is found."""
+    base = {i: brute_base(t) for i, t in rows}
+    found = [(i, *c) for i, t in rows for c in candidates(t or "", base[i])]
+    edges, known = {}, {c[3] for c in found if c[5]}
+    for c in found:
+        for p in c[4]:
+            edges.setdefault(p, set()).add(c[3])
+    seeds, before = known, None
+    while known != before:
+        before = known
+        chosen = {p for p, v in edges.items() if len(v & known) / (len(v) + 1) >= confident}
+        known = seeds | {c for p in chosen for c in edges[p]}
+    out = {i: set(b) for i, b in base.items()}
+    for i, a, b, _, sides, seed in found:
+        if not seed and i is not None and chosen & set(sides):
+            out[i].add((a, b, 4))
+    return {i: sorted(v, key=lambda s: (s[0], s[2], s[1])) for i, v in out.items()}
+
+
+def found(spark, texts):
+    df = pii.find(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    return {r.doc_id: [tuple(s) for s in r.spans] for r in df.collect()}
+
+
+def context(text, spans):
+    return [text[a:b] for a, b, k in spans if k == 4]
+
+
+CALL = [f"please call +1 (509) 555-69{k} today" for k in range(10, 22)]
+TAUGHT = [c.replace("69", "7") for c in CALL] + [c.replace("69", "8") for c in CALL] + CALL
+
+
+def test_context_of_grouped_numbers_is_learned(spark):
+    unseen = ["please call 0171 555 1234 soon", "Call 555-1234 or not", "they sold 555-1234 or so", "room 0171 555 1234 is"]
+    texts = CALL + unseen
+    got = found(spark, texts)
+    assert [context(t, got[len(CALL) + i]) for i, t in enumerate(unseen)] == [["0171 555 1234"], ["555-1234"], [], []]
+    assert got == brute(list(enumerate(texts)))
+
+
+def test_groups_equal_brute_force(spark, docs_rows):
+    more = ["iban DE89 3704 0044 0532 0130 00 end", "call\t0171\n555 - 1234 x", "call +1 ( 509 ) 555 - 6973 today", "10.0.0.1 4111 1111 1111 1111 1234567 12 a@b 5",
+            "call (0171) 555 1234, 10.0.0.1 99 - 12345 . today", "call " + "1 " * 500 + "today", "no. 12 1234567 today", "- 12345 - ( 5 today", "call 12345 - today"]
+    rows = docs_rows + [(5 * 10**6 + i, t) for i, t in enumerate(HARD + TAUGHT + more)]
+    got = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute(rows)
+    for r in got:
+        assert [tuple(s) for s in r.spans] == want[r.doc_id], r.doc_id
+    assert sum(s[2] == 4 for v in want.values() for s in v) >= 3
