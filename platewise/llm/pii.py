@@ -19,7 +19,8 @@ patterns and distinct instances
 * a pattern's confidence is known / (all + 1), over its instances,
 * an instance is known if it is a seed or in a pattern of at least ``confident``,
 
-and both are computed in turn for ``rounds`` rounds.  All candidates of a
+and both are computed in turn until no further pattern is confident (known instances
+only grow, so that ends; beyond ``max_rounds`` it raises).  All candidates of a
 confident pattern that no base span touches become spans of kind ``context``.
 The graph holds each edge once, so a hot pattern or instance counts its partners,
 not its rows.
@@ -190,22 +191,26 @@ def _candidates(text: str, base: str) -> Column:
     return F.when(F.col(text).rlike("[0-9@]"), found).otherwise(F.array().cast(f"array<{CANDIDATE}>"))
 
 
-def confident_patterns(edges: DataFrame, confident: float = 0.8, rounds: int = 3) -> DataFrame:
+def confident_patterns(edges: DataFrame, confident: float = 0.8, max_rounds: int = 200) -> DataFrame:
     """(pattern) of the confident ones; ``edges`` has (pattern, instance, seed), each edge once."""
     known = edges.where("seed").select("instance").distinct()
-    chosen = None
-    for _ in range(rounds):
+    before = 0
+    for _ in range(max_rounds):
         known = stored(known.select(F.col("instance").alias("_known")), "known")
         met = edges.join(known, F.col("instance") == F.col("_known"), "left")
         score = F.count("_known") / (F.count(F.lit(1)) + 1)
         chosen = stored(met.groupBy("pattern").agg(score.alias("score")).where(F.col("score") >= confident)
                         .select(F.col("pattern").alias("_pattern")), "patterns")
+        n = chosen.count()
+        if n == before:
+            return chosen
+        before = n
         more = edges.join(chosen, F.col("pattern") == F.col("_pattern")).select("instance")
         known = edges.where("seed").select("instance").unionByName(more).distinct()
-    return chosen
+    raise RuntimeError("confident patterns did not settle")
 
 
-def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", confident: float = 0.8, rounds: int = 3) -> DataFrame:
+def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", confident: float = 0.8, max_rounds: int = 200) -> DataFrame:
     """(id, base, spans): base spans and all spans of every row, by start, then kind
     (0 to 3 as in ``KINDS``, 4 for a context span)."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -216,7 +221,7 @@ def find(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", confiden
     flat = rows.where("size(cand) > 0").select("id", F.explode("cand").alias("c")).select("id", "c.*")
     sides = flat.select("id", "start", "end", "instance", "seed", F.explode("patterns").alias("pattern"))
     edges = stored(sides.groupBy("pattern", "instance").agg(F.max("seed").alias("seed")), "edges")
-    chosen = confident_patterns(edges, confident, rounds)
+    chosen = confident_patterns(edges, confident, max_rounds)
     more = (sides.where("NOT seed AND id IS NOT NULL").join(chosen, F.col("pattern") == F.col("_pattern"))
             .groupBy("id").agg(F.collect_set(F.struct("start", "end", F.lit(len(KINDS)).alias("kind"))).alias("more"))
             .withColumnRenamed("id", "_id"))

@@ -2,7 +2,7 @@
 
 import re
 
-from pyspark.sql import functions as F
+import pytest
 
 from platewise.llm import pii
 
@@ -106,3 +106,13 @@ def test_groups_equal_brute_force(spark, docs_rows):
     for r in got:
         assert [tuple(s) for s in r.spans] == want[r.doc_id], r.doc_id
     assert sum(s[2] == 4 for v in want.values() for s in v) >= 3
+
+
+def test_rounds_go_on_until_nothing_is_added(spark):
+    edges = [("p0", f"s{k}", True) for k in range(9)] + [("p0", "x1", False)]
+    for k in range(1, 7):  # one known instance more makes the pattern confident, which makes the next one known
+        edges += [(f"p{k}", f"s{j}", True) for j in range(8)] + [(f"p{k}", f"x{k}", False), (f"p{k}", f"x{k + 1}", False)]
+    edges = spark.createDataFrame(edges, "pattern string, instance string, seed boolean")
+    assert sorted(r[0] for r in pii.confident_patterns(edges).collect()) == [f"p{k}" for k in range(7)]
+    with pytest.raises(RuntimeError):
+        pii.confident_patterns(edges, max_rounds=3)
