@@ -22,7 +22,8 @@ patterns and distinct instances
 and both are computed in turn until no further pattern is confident (known instances
 only grow, so that ends; beyond ``max_rounds`` it raises).  All candidates of a
 confident pattern that no base span touches become spans of kind ``context``.
-The graph holds each edge once, so a hot pattern or instance counts its partners,
+Words and formats count whole, however long (a pattern holds the hash of those of more
+than 32 characters).  The graph holds each edge once, so a hot pattern or instance counts its partners,
 not its rows.
 
 Main path: DataFrame functions only.  Regular expressions are written so that
@@ -121,6 +122,11 @@ def _touch(a: Column, b: Column) -> Column:
     return (a["start"] < b["end"]) & (b["start"] < a["end"])
 
 
+def _short(c: Column) -> Column:
+    """The string, or the hash of a long one (which is too long itself to be another's)."""
+    return F.when(F.length(c) <= 32, c).otherwise(F.concat(F.lit("~"), F.md5(c)))
+
+
 def _candidate(text: Column, start: Column, before: Column, behind: Column, whole: Column) -> Column:
     """The candidate in ``text``, which begins at ``start``, between two words (empty where there is none)."""
     body = F.regexp_replace(text, "^[^A-Za-z0-9+]++", "")
@@ -129,10 +135,10 @@ def _candidate(text: Column, start: Column, before: Column, behind: Column, whol
     instance = F.regexp_replace(core, f"{BLANK}++", " ")
     shape = F.regexp_replace(F.regexp_replace(F.regexp_replace(instance, r"\p{L}++", "a"), "[0-9]++", "9"), "(?:a9){2,}+a?|(?:9a){2,}+9?", "x")
     number = whole & instance.rlike(r"^[\x20+()0-9-]++$") & _digits(instance).between(LEAST_DIGITS, MOST_DIGITS)
-    shapes = F.filter(F.array(F.left(shape, F.lit(32)), F.when(number, F.lit("#"))), lambda f: f.isNotNull())
-    side = lambda sign, w: F.when(w != "", F.transform(shapes, lambda f: F.concat_ws(" ", F.lit(sign), F.lower(w), f)))
+    shapes = F.filter(F.array(_short(shape), F.when(number, F.lit("#"))), lambda f: f.isNotNull())
+    side = lambda sign, w: F.when(w != "", F.transform(shapes, lambda f: F.concat_ws(" ", F.lit(sign), _short(F.lower(w)), f)))
     none = F.array().cast("array<string>")
-    patterns = F.concat(F.coalesce(side("<", F.right(before, F.lit(32))), none), F.coalesce(side(">", F.left(behind, F.lit(32))), none))
+    patterns = F.concat(F.coalesce(side("<", before), none), F.coalesce(side(">", behind), none))
     return F.struct(first, first + F.length(core), instance, patterns).cast(CANDIDATE)
 
 
@@ -182,8 +188,8 @@ def _let(value: Column, use) -> Column:
 def _candidates(text: str, base: str) -> Column:
     """Candidates with their place and patterns."""
     def one(m, start, gap, after):
-        before = F.regexp_extract(F.right(gap, F.lit(48)), rf"({WORD}++){BLANK}*$", 1)
-        behind = F.regexp_extract(F.left(after, F.lit(48)), rf"^{BLANK}*({WORD}++)", 1)
+        before = F.regexp_extract(gap, rf"(?<!{WORD})({WORD}++){BLANK}*+\z", 1)
+        behind = F.regexp_extract(after, rf"^{BLANK}*+({WORD}++)", 1)
         return F.struct(start, start + F.length(m), m, before, behind)
 
     runs = _walk(F.col(text), RUN, one, "struct<start:int,end:int,text:string,before:string,behind:string>")

@@ -116,3 +116,15 @@ def test_rounds_go_on_until_nothing_is_added(spark):
     assert sorted(r[0] for r in pii.confident_patterns(edges).collect()) == [f"p{k}" for k in range(7)]
     with pytest.raises(RuntimeError):
         pii.confident_patterns(edges, max_rounds=3)
+
+
+def test_long_gaps_words_and_formats_count_whole(spark):
+    long = "x" * 60
+    texts = [f"member{' ' * 60}10.0.0.{k} {long}a and" for k in range(12)]
+    unseen = [f"member{' ' * 70}300.1.1.1 x", f"z 300.1.1.2 {long}a", f"z 300.1.1.3 {long}b", f"member {'1.' * 20}12"]
+    got = found(spark, texts + unseen)
+    assert [context(t, got[len(texts) + i]) for i, t in enumerate(unseen)] == [["300.1.1.1"], ["300.1.1.2"], [], []]
+    assert got == brute(list(enumerate(texts + unseen)))
+    mails = [f"to {'a.' * 20}b{k}@x.org" for k in "abcdefghijkl"]
+    odd = "to " + "a." * 20 + "b@x"  # the same first 32 signs in another format
+    assert context(odd, found(spark, mails + [odd])[len(mails)]) == []
