@@ -485,7 +485,7 @@ def ml_split(spark, sf):
 def ml_train_text(spark, sf):
     """Language of whole documents: fitted on the train rows, scored on the test rows."""
     data = _text_data(spark, sf)
-    model, _ = ml.train_and_validate(data, "dish_name", num_features=1 << 12, max_iter=20)
+    model, _ = ml.train_and_validate(data, "dish_name")
     pred = ml.predict(model, data.where(F.col("split") == "test"), text_col="dish_name")
     return pred.select("key", "label", "category_id", "prob")
 
