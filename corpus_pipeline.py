@@ -31,16 +31,26 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near copies (once, if its row repeats)."""
+    """The document with the smallest id of every group of near copies (once, if its row
+    repeats).  Raises where an id has two texts, since the operators tell texts by their ids."""
     found = stored(minhash.near_duplicates(docs, k=SHINGLE_WORDS, percent=SIMILAR_PERCENT), "found")
     gone = stored(found.where("NOT kept").select("doc_id").distinct(), "near-copies")
     # only rows whose id repeats are dealt by id, so the other texts aren't moved
     many = stored(found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated-ids")
+    _one_text_each(with_rows(docs, many, "doc_id", keep=True))
     left = with_rows(docs, gone, "doc_id", keep=False)
     once = with_rows(left, many, "doc_id", keep=True).dropDuplicates(["doc_id"])
     return with_rows(left, many, "doc_id", keep=False).unionByName(once)
 
 
+def _one_text_each(docs: DataFrame) -> None:
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    several = docs.groupBy("doc_id").agg(F.min(digest).alias("a"), F.max(digest).alias("b")).where("a <> b")
+    found = [r.doc_id for r in several.select("doc_id").limit(5).collect()]
+    if found:
+        raise ValueError(f"documents: several texts with one doc_id: {found}")
+
+
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that occur elsewhere; untouched texts stay as they are."""
     cut = substrings.remove_repeats(docs, window=REPEAT_WORDS).where("n_removed > 0").select("doc_id", "kept")
