@@ -14,7 +14,7 @@ lookahead of the whole list (:class:`MergeTable.lookahead`, 793 bytes for the
 piece it emits every token that ends at least that far before the end of its
 window and restarts behind the last one, so its memory is one window whatever
 the length of the piece; short pieces are windows of their own and are merged
-many at a time, and a bounded table remembers them.  The decoder maps ids to
+many at a time, and a bounded table remembers them with their bytes.  The decoder maps ids to
 bytes and feeds them to an incremental UTF-8 state machine.
 
 Defined cases: a NULL text is empty; an empty text has no ids and decodes to the
@@ -41,6 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import small_batches, text_batches
+from platewise.llm.text_arrays import byte_marks, same_bytes
 
 BLOCK_CHARS = 1 << 19  # text read at once
 WINDOW_BYTES = 1 << 11  # bytes merged at once inside a long piece
@@ -125,9 +126,6 @@ class MergeTable:
             self.ranks[vocab[u], vocab[v]] = (rank, vocab[u + v])
         self._index_pairs()
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
-        rng = np.random.default_rng(7)
-        self.letters = rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
-        self._powers(1 << 12)
         self._forget()
 
     # ---------------------------------------------------- pair look-up ----
@@ -224,48 +222,60 @@ class MergeTable:
 
     # ----------------------------------------------------------- texts ----
 
-    def _powers(self, n: int) -> None:
-        base = 0xD1342543DE82EF95
-        inverse = pow(base, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            make = lambda b: np.cumprod(np.append(np.uint64(1), np.full(n, b, np.uint64)))
-            self.up, self.down = make(base), make(inverse)
-
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}  # fingerprint of a piece -> its row
+        self.known: dict[int, int] = {}  # fingerprint of a short piece -> its row
         self.row_at, self.row_n, self.row_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # the bytes that a row stands for, with which every later use is compared
+        self.own_at, self.own_n, self.own = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _add(self, counts: np.ndarray, ids: list[np.ndarray], data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """New rows with ``counts`` ids each for the pieces; the rows' numbers."""
+        rows = len(self.row_at) + np.arange(len(counts))
+        self.row_at = np.append(self.row_at, len(self.row_ids) + np.cumsum(counts) - counts)
+        self.row_n = np.append(self.row_n, counts)
+        self.row_ids = np.concatenate([self.row_ids, *ids])
+        self.own_at = np.append(self.own_at, len(self.own) + np.cumsum(length) - length)
+        self.own_n = np.append(self.own_n, length)
+        self.own = np.append(self.own, data[spread(at, length)])
+        return rows
+
+    def _is_row(self, data: np.ndarray, at: np.ndarray, length: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Whether each piece has the very bytes that its row stands for."""
+        equal = length == self.own_n[row]
+        some = np.flatnonzero(equal)
+        equal[some] = same_bytes(data, at[some], self.own, self.own_at[row[some]], length[some])
+        return equal
 
     def _rows(self, data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Row of ids of each piece, making the rows that are not known yet."""
-        if len(data) + 1 > len(self.up):
-            self._powers(len(data) + 1)
-        with np.errstate(over="ignore"):
-            total = np.append(np.uint64(0), np.cumsum(self.letters[data] * self.down[:len(data)]))
-            mark = (total[at + length] - total[at]) * self.up[at] + length.astype(np.uint64) * self.letters[7]
-        uniq, one, inverse = np.unique(mark, return_index=True, return_inverse=True)
-        row = np.fromiter(map(self.known.get, uniq.tolist(), repeat(-1)), np.int64, len(uniq))
-        new = np.flatnonzero(row < 0)
+        """Row of ids of each piece, making the rows that are not known yet.  Fingerprints
+        only find a row; it is used where the bytes are the same."""
+        row = np.full(len(at), -1, np.int64)
+        short = np.flatnonzero(length <= LONG_PIECE)
+        uniq, one, inverse = np.unique(byte_marks(data, at[short], length[short]), return_index=True, return_inverse=True)
+        got = np.fromiter(map(self.known.get, uniq.tolist(), repeat(-1)), np.int64, len(uniq))
+        new = np.flatnonzero(got < 0)
         if len(new) and len(self.known) + len(new) > CACHE_WORDS:
             self._forget()
-            row[:], new = -1, np.arange(len(uniq))
+            got[:], new = -1, np.arange(len(uniq))
+        elif len(self.row_ids) > 16 * CACHE_WORDS:  # those of long pieces are not looked up again
+            self._forget()
+            got[:], new = -1, np.arange(len(uniq))
         if len(new):
-            s, n = at[one[new]], length[one[new]]
-            long = n > LONG_PIECE
-            short, count = np.flatnonzero(~long), np.zeros(len(new), np.int64)
-            ids, count[short] = self.merge_many(data[spread(s[short], n[short])], n[short])
-            where = np.zeros(len(new), np.int64)
-            where[short] = len(self.row_ids) + np.cumsum(count[short]) - count[short]
-            extra, end = [], len(self.row_ids) + len(ids)
-            for k in np.flatnonzero(long):
-                got = [i for part in self.stream(data[s[k]:s[k] + n[k]].tobytes()) for i in part]
-                where[k], count[k] = end, len(got)
-                end += len(got)
-                extra.append(np.array(got, np.int32))
-            row[new] = len(self.row_at) + np.arange(len(new))
-            self.known.update(zip(uniq[new[~long]].tolist(), row[new[~long]].tolist()))
-            self.row_at, self.row_n = np.append(self.row_at, where), np.append(self.row_n, count)
-            self.row_ids = np.concatenate([self.row_ids, ids, *extra])
-        return row[inverse]
+            s, n = at[short[one[new]]], length[short[one[new]]]
+            ids, count = self.merge_many(data[spread(s, n)], n)
+            got[new] = self._add(count, [ids], data, s, n)
+            self.known.update(zip(uniq[new].tolist(), got[new].tolist()))
+        row[short] = got[inverse]
+        alike = self._is_row(data, at[short], length[short], row[short])
+        # long pieces, and short ones whose fingerprint belongs to other bytes
+        seen: dict[bytes, int] = {}
+        for k in [*np.flatnonzero(length > LONG_PIECE), *short[~alike]]:
+            piece = data[at[k]:at[k] + length[k]].tobytes()
+            if piece not in seen:
+                ids = np.array([i for part in self.stream(piece) for i in part], np.int32)
+                seen[piece] = int(self._add(np.array([len(ids)]), [ids], data, at[k:k + 1], np.zeros(1, np.int64))[0])
+            row[k] = seen[piece]
+        return row
 
     def _plain(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of texts without added tokens, a block of bounded size."""

@@ -7,7 +7,11 @@ densification), so bins match with the sets' similarity.  ``bands`` bands of
 ``rows`` bins make bucket keys.  At the threshold a pair misses all of them with
 probability (1 - 0.85**5)**32 < 1e-8.
 
-Documents with equal sets form a class, and only its smallest id takes part.  In
+Documents with equal sets form a class, and only its smallest id takes part; a
+class is told by 128 bits of two keyed fingerprints per shingle.  A compared pair
+counts shared 64-bit fingerprints, of which a false one among s and t shingles has
+probability s * t / 2**64 (5e-12 for sets of 10,000), and only at the threshold
+could it decide a link.  In
 each bucket a star joins the smallest id to the others, so candidates grow with
 the bucket's size, not its square; all are verified on full sets, and verified
 links give components.  A bucket whose members are still in several components
@@ -34,21 +38,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import broadcast_ids, components, small_batches, stored
-from platewise.llm.text_arrays import Words, mix
+from platewise.llm.text_arrays import _LOWER, Words, mix
 
 
 def shingle_sets(texts: list[str | None], k: int) -> list[np.ndarray]:
     """Sorted distinct shingle fingerprints of each text (A-Z in lower case)."""
+    return [s for s, _ in _sets(texts, k, None)]
+
+
+def _sets(texts: list[str | None], k: int, second: int | None):
+    """(sorted distinct fingerprints, those of another key in the same order) of each text."""
     words = Words(texts, lower=True)
     mark, offset = words.windows(k)
-    out = []
+    other = mark if second is None else words.windows(k, second)[0]
     for i, n in enumerate(np.diff(words.at)):
         if n >= k:
-            out.append(np.unique(mark[offset[i]:offset[i + 1]]))
-        else:  # shorter than a window: all words as one shingle, apart from longer ones
-            own = words.mark[words.at[i]:words.at[i + 1]]
-            out.append(np.frombuffer(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), np.uint64) if n else own)
-    return out
+            own, at = np.unique(mark[offset[i]:offset[i + 1]], return_index=True)
+            yield own, other[offset[i]:offset[i + 1]][at]
+        elif n:  # shorter than a window: all words as one shingle, apart from longer ones
+            whole = words.text(i, np.ones(n, bool)).translate(_LOWER.tobytes())
+            both = np.frombuffer(hashlib.blake2b(whole, digest_size=16, key=b"short").digest(), np.uint64)
+            yield both[:1], both[1:]
+        else:
+            yield np.zeros(0, np.uint64), np.zeros(0, np.uint64)
 
 
 def signatures(sets: list[np.ndarray], bins: int, probes: int = 4096) -> np.ndarray:
@@ -84,7 +96,10 @@ def sketches(df: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
     def run(batches):
         factor = mix(np.arange(1, rows + 1, dtype=np.uint64)) | np.uint64(1)
         for b in small_batches(batches):
-            sets = shingle_sets(b.column(1).to_pylist(), k)
+            sets, digests = [], []
+            for own, other in _sets(b.column(1).to_pylist(), k, second=2):
+                sets.append(own)
+                digests.append(hashlib.blake2b(own.tobytes() + other.tobytes(), digest_size=16).digest() if len(own) else None)
             some = [i for i, s in enumerate(sets) if len(s)]
             keys: list = [None] * len(sets)
             if some:
@@ -94,7 +109,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, k: int, bands: int, rows
                     keys[i] = r
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets], pa.binary()),
+                 pa.array(digests, pa.binary()),
                  pa.array(keys, pa.list_(pa.int64()))], ["id", "n", "digest", "bands"])
 
     return src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, n bigint, digest binary, bands array<bigint>")
@@ -196,7 +211,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     joined = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     label = classes.join(joined, F.col("id") == F.col("node"), "left").select(
         F.col("digest").alias("_digest"), F.coalesce("root", F.col("id")).alias("_root"))
-    out = sketch.join(label, F.col("digest") == F.col("_digest"), "left")
+    out = sketch.join(label, (F.col("digest") == F.col("_digest")) & F.col("id").isNotNull(), "left")
     component = F.coalesce("_root", F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from platewise.llm.common import small_batches, text_batches
-from platewise.llm.text_arrays import Words, window_marks
+from platewise.llm.text_arrays import Words, byte_marks
 
 FEATURES = ("log_words", "chars_per_word", "longest_word", "upper", "digits", "symbols", "exclamation", "bars",
             "other_marks", "wide", "distinct_words", "adjacent_repeats", "repeated_bigrams", "words_per_line",
@@ -72,7 +72,7 @@ def features(texts: list[str | None]) -> np.ndarray:
     line_doc = np.searchsorted(w.ends, line_end, side="right")
     full = line_end > line_start
     line_doc, lines = line_doc[full], np.bincount(line_doc[full], minlength=n)
-    line = window_marks(w.data.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), line_start[full], (line_end - line_start)[full])
+    line = byte_marks(w.data, line_start[full], (line_end - line_start)[full])
     return np.column_stack([
         np.log1p(words), np.minimum(lead / some, 1e4), np.minimum(longest, 1e4), *share[:7],
         _distinct(doc, w.mark, n) / some, np.bincount(doc, same, n) / some,

@@ -6,7 +6,7 @@ own document.  So the non-overlapping blocks of all documents are the reference
 index and every rolling window of block size of all documents probes it.  A
 block that is met anywhere but at its own place is a hit (an anchor).  Hits are
 extended: every full window that contains a hit block of its document is
-fingerprinted with 128 bits, and the windows whose fingerprint occurs twice are
+fingerprinted with 128 bits (two keys), and the windows whose fingerprint occurs twice are
 the exact repeats; overlapping ones together are the maximal ones.  Extending by
 fingerprints rather than pair by pair keeps a passage that a third of the
 documents share linear in its occurrences.
@@ -164,8 +164,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def extended(b):
         texts = b.column(1).to_pylist()
-        w, v = Words(texts), Words(texts, seed=2)
-        (h, offset), (g, _) = w.windows(window), v.windows(window)
+        w = Words(texts)
+        (h, offset), (g, _) = w.windows(window), w.windows(window, seed=2)
         want = np.zeros(len(h), bool)
         for i, at in enumerate(b.column(2)):
             n = offset[i + 1] - offset[i]
