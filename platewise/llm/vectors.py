@@ -54,12 +54,14 @@ def link_vectors(df: DataFrame, threshold: float, id_col: str = "vec_id", vector
     spark, eps = df.sparkSession, math.acos(threshold)
     rows = df.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
     sound = (F.size("v") > 0) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
-    digest = F.unhex(F.sha2(F.concat_ws(",", F.col("label").cast("string"), F.col("v").cast("array<string>")), 256))
+    # the label with its length in front, so that no label runs into the components
+    tagged = F.concat_ws(":", F.octet_length(F.col("label").cast("string")).cast("string"), F.col("label").cast("string"))
+    digest = F.unhex(F.sha2(F.concat_ws(",", tagged, F.col("v").cast("array<string>")), 256))
     rows = rows.withColumn("digest", F.when(F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(sound, F.lit(False)), digest))
     kind, vkind = rows.schema["id"].dataType.simpleString(), rows.schema["v"].dataType.simpleString()
     one = rows.where("digest IS NOT NULL").groupBy("digest").agg(
         F.min("id").alias("id"), F.count(F.lit(1)).alias("m"), F.first("label").cast("string").alias("label"), F.first("v").alias("v"))
-    one = one.select("digest", "id", "m", F.concat_ws("/", "label", F.size("v").cast("string")).alias("g"), "v")
+    one = one.select("digest", "id", "m", F.concat_ws("/", F.size("v").cast("string"), "label").alias("g"), "v")
     one = stored(one, "vectors")
 
     # pivots: in each large group a share of the bound, the first ones by a hash

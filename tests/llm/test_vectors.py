@@ -51,3 +51,10 @@ def test_null_ids_and_empty(spark):
     got = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in vectors.link_vectors(df, 0.93).collect())
     assert got == [(0, 0, None, True), (5, 1, 5, True), (5, 1, 5, True)]
     assert vectors.link_vectors(df.limit(0), 0.93).count() == 0
+
+
+def test_a_label_never_runs_into_the_components(spark):
+    rows = [(1, [2.0], "x,1.0"), (2, [1.0, 2.0], "x"), (3, [1.0], "2"), (4, [1.0], "1/2"), (5, [1.0, 1.0], "1/2"), (6, [3.0], "2/1")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.link_vectors(df, 0.93).collect()}
+    assert got == {i: (0, i) for i in range(1, 7)}
