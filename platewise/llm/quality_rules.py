@@ -1,24 +1,32 @@
 """Quality rules whose cutoffs are chosen under risk control.
 
 Base statistics of a text come from native array functions in one pass.  A rule
-is a ratio of two of them and rejects above a cutoff from a fixed grid.  Per
-stratum, the labelled good documents say how many of them (k of n) a cutoff
-would reject; it may be used if P(Binomial(n, alpha) <= k) <= delta / m, that is
-if the exact (Clopper-Pearson) upper bound on its false rejection rate is at
-most ``alpha``, where m counts all tests (strata, rules and cutoffs: Bonferroni).
-The lowest such cutoff is taken; with too few labels a rule stays off.  So with
-probability 1 - delta no rule rejects more than ``alpha`` of the good documents
-of any stratum.  Everything is DataFrame functions; what is shuffled are counts.
+is a ratio of two of them and rejects above a cutoff from a fixed grid.  The grids
+have one length, and step j puts every rule at its j-th cutoff, so the steps go
+from lax to strict and each rejects all that a laxer one does.  Per stratum, the
+labelled good documents say how many of them (k of n) any rule of a step would
+reject; the step may be used if P(Binomial(n, alpha) <= k) <= delta / m, that is if
+the exact (Clopper-Pearson) upper bound on the false rejection rate of the whole
+verdict is at most ``alpha``, where m counts the strata (Bonferroni).  The steps are
+tested from lax to strict up to the first failure (a fixed sequence, which needs no
+further correction), and the strictest that passed is taken; with too few labels
+the rules stay off.  So with probability 1 - delta the verdict rejects more than
+``alpha`` of the good documents of no stratum.  Copies of one text are one trial.
+Everything is DataFrame functions; what is shuffled are counts and labelled texts'
+digests.
 
 Defined cases: a NULL text has no words; a NULL stratum is the stratum "";
 labels other than 1, NULL or for unknown ids are not used, equal label rows
 count once; equal rows are judged alike; an empty table gives no rows; only the
 named columns are read.  Repeated word windows are compared by 64-bit
-fingerprints inside one text.
+fingerprints inside one text.  The binomial tail is summed over ``terms`` terms
+and bounded from above beyond them (:func:`binomial_tail`), which can only make a
+step fail.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -92,19 +100,22 @@ def _rejects(rule: str, cutoff: Column) -> Column:
     return F.col(num) * 1000 > cutoff * F.col(den)
 
 
+STEPS = len(next(iter(RULES.values()))[2])  # from the strictest, 0, to the laxest
+
+
 def choose_cutoffs(good: DataFrame, alpha: float, delta: float) -> DataFrame:
-    """(stratum, one column per rule): the lowest cutoff whose risk is controlled, NULL if
-    none; ``good`` has the stratum and statistics of labelled good documents."""
-    tests = [(r, c) for r, (_, _, cuts) in RULES.items() for c in cuts]
+    """(stratum, one column per rule): the cutoffs of the strictest step whose risk is
+    controlled, no row if there is none; ``good`` has the stratum and statistics of
+    labelled good documents, one row per text."""
+    any_rule = lambda j: functools.reduce(Column.__or__, [_rejects(r, F.lit(cuts[j])) for r, (_, _, cuts) in RULES.items()])
     counts = good.groupBy("stratum").agg(F.count(F.lit(1)).alias("n"), *[
-        F.sum(_rejects(r, F.lit(c)).cast("long")).alias(f"{r}_{c}") for r, c in tests])
+        F.sum(any_rule(j).cast("long")).alias(f"k{j}") for j in range(STEPS)])
     counts = stored(counts, "counts")  # a row per stratum
-    level = delta / (max(1, counts.count()) * len(tests))
-    rows = counts.select("stratum", "n", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"{r}_{c}").alias("k")) for r, c in tests])).alias("t"))
-    safe = binomial_tail(F.col("n"), F.col("t.k"), alpha) <= level
-    return rows.where(safe).groupBy("stratum").agg(
-        *[F.min(F.when(F.col("t.rule") == r, F.col("t.cutoff"))).alias(f"cut_{r}") for r in RULES])
+    level = delta / max(1, counts.count())
+    rows = counts.select("stratum", "n", F.posexplode(F.array(*[f"k{j}" for j in range(STEPS)])).alias("step", "k"))
+    # k grows with strictness and the tail with k: what is laxer than a step that passes has passed
+    safe = rows.where(binomial_tail(F.col("n"), F.col("k"), alpha) <= level).groupBy("stratum").agg(F.min("step").alias("step"))
+    return safe.select("stratum", *[F.get(F.array(*map(F.lit, cuts)), "step").alias(f"cut_{r}") for r, (_, _, cuts) in RULES.items()])
 
 
 def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
@@ -112,10 +123,12 @@ def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """(id, statistics, base_failed, cut_<rule>, kept) of every row."""
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
                      F.col(text_col).alias("_text"))
-    stats = text_stats(docs, "_text").select("id", "stratum", *STATS, base_failed().alias("base_failed"))
+    digest = F.unhex(F.sha2(F.coalesce(F.col("_text"), F.lit("")), 256))
+    stats = text_stats(docs.withColumn("_digest", digest), "_text")
+    stats = stats.select("id", "stratum", "_digest", *STATS, base_failed().alias("base_failed"))
     stats = stored(stats, "stats")
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_id")).distinct()
-    good = stats.where("NOT base_failed").join(good, F.col("id") == F.col("_id"))
+    good = stats.where("NOT base_failed").join(good, F.col("id") == F.col("_id")).dropDuplicates(["stratum", "_digest"])
     cuts = stored(choose_cutoffs(good, alpha, delta), "cutoffs").withColumnRenamed("stratum", "_stratum")
     # a row per stratum with enough labels; broadcast only if its size is small
     cuts = F.broadcast(cuts) if cuts.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else cuts
@@ -129,12 +142,9 @@ def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def oracle(alpha: float = 0.01, delta: float = 0.05) -> str:
     """The same rows in DuckDB SQL over ``documents`` and ``labels``."""
-    tests = [(r, c) for r, (_, _, cuts) in RULES.items() for c in cuts]
-    values = ", ".join(f"('{r}', {c})" for r, c in tests)
-    num = " ".join(f"WHEN '{r}' THEN {n}" for r, (n, _, _) in RULES.items())
-    den = " ".join(f"WHEN '{r}' THEN {d}" for r, (_, d, _) in RULES.items())
+    names = ", ".join(f"cut_{r}" for r in RULES)
+    values = ", ".join(str((j, *[cuts[j] for _, _, cuts in RULES.values()])) for j in range(STEPS))
     hit = " OR ".join(f"coalesce({n} * 1000 > cut_{r} * {d}, false)" for r, (n, d, _) in RULES.items())
-    cut = ", ".join(f"min(cutoff) FILTER (rule = '{r}') AS cut_{r}" for r in RULES)
     return rf"""
 WITH w AS (
   SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
@@ -146,25 +156,23 @@ wins AS (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
 dups AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM wins) WHERE c > 1),
 reps AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM dups, (VALUES (0), (1), (2)) s(o) GROUP BY doc_id),
 st AS (
-  SELECT doc_id, stratum, len(ws)::BIGINT AS n_words, coalesce(length(array_to_string(ws, '')), 0)::BIGINT AS word_chars,
+  SELECT doc_id, stratum, t, len(ws)::BIGINT AS n_words, coalesce(length(array_to_string(ws, '')), 0)::BIGINT AS word_chars,
          length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols,
          length(regexp_replace(t, '[^A-Z]+', '', 'g'))::BIGINT AS n_upper, len(ls)::BIGINT AS n_lines,
          (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(reps.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN reps USING (doc_id)),
 stats AS (SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed FROM st),
-good AS (SELECT * FROM stats WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
-grid(rule, cutoff) AS (VALUES {values}),
-counted AS (
-  SELECT stratum, rule, cutoff, count(*)::DOUBLE AS n,
-         count(*) FILTER ((CASE rule {num} END) * 1000 > cutoff * (CASE rule {den} END))::DOUBLE AS k
-  FROM good, grid GROUP BY ALL),
+good AS (SELECT DISTINCT stratum, t, {", ".join(STATS)} FROM stats
+         WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)),
+grid(step, {names}) AS (VALUES {values}),
+counted AS (SELECT stratum, step, count(*)::DOUBLE AS n, count(*) FILTER ({hit})::DOUBLE AS k FROM good, grid GROUP BY ALL),
 tail AS (
-  SELECT stratum, rule, cutoff, list_sum(list_transform(range(0, k::BIGINT + 1), lambda i: exp(
+  SELECT stratum, step, list_sum(list_transform(range(0, k::BIGINT + 1), lambda i: exp(
            lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({alpha}) + (n - i) * ln(1 - {alpha})))) AS p
   FROM counted WHERE k < n * {alpha}),
-cuts AS (
-  SELECT stratum, {cut} FROM tail
-  WHERE p <= {delta} / ({len(tests)} * (SELECT count(DISTINCT stratum) FROM good)) GROUP BY stratum)
-SELECT doc_id, {", ".join(STATS)}, base_failed, {", ".join(f"cut_{r}" for r in RULES)},
+chosen AS (SELECT stratum, min(step) AS step FROM tail
+           WHERE p <= {delta} / (SELECT count(DISTINCT stratum) FROM good) GROUP BY stratum),
+cuts AS (SELECT stratum, {names} FROM chosen JOIN grid USING (step))
+SELECT doc_id, {", ".join(STATS)}, base_failed, {names},
        NOT base_failed AND NOT ({hit}) AS kept
 FROM stats LEFT JOIN cuts USING (stratum)"""

@@ -96,3 +96,59 @@ def test_pairs_learn_an_interaction():
     model = quality_model.fit(x, y)
     assert {0, 1} in [{f, g} for f, g, _ in model.pairs]
     assert ((model.score(x) >= 0.5) == (y == 1)).mean() > 0.97
+
+
+def test_verdict_keeps_its_risk(spark, monkeypatch):
+    """200 draws as strata, each tested at 5 %: the rules together reject more than alpha in few of them."""
+    alpha, draws, n, cuts = 0.02, 200, 2000, (100, 200, 300, 400, 500, 600)
+    monkeypatch.setattr(quality_rules, "RULES", {r: (r, "one", cuts) for r in "abc"})
+    rng, rows, truth = np.random.default_rng(3), [], {}
+    for d in range(draws):
+        scale = rng.uniform(0.03, 0.12, 3)
+        rows += [(str(d), *map(int, x)) for x in (rng.exponential(scale, (n, 3)) * 10**6)]
+        truth[str(d)] = [1 - np.prod(1 - np.exp(-c / 1000 / scale)) for c in cuts]
+    good = spark.createDataFrame(rows, "stratum string, a long, b long, c long").withColumn("one", F.lit(10**6))
+    got = quality_rules.choose_cutoffs(good, alpha, 0.05 * draws).collect()
+    assert all(r.cut_a == r.cut_b == r.cut_c for r in got) and len({r.cut_a for r in got}) > 2
+    assert len(got) > draws / 2 and sum(truth[r.stratum][cuts.index(r.cut_a)] > alpha for r in got) <= 0.08 * draws
+
+
+def test_copies_are_one_trial(spark):
+    text = " ".join(f"word{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, text if i < 400 else f"{text} {i}", "en") for i in range(500)], "doc_id long, text string, lang string")
+    labels = docs.selectExpr("doc_id", "1 AS quality")
+    few = quality_rules.judge(docs, labels, alpha=0.02).first()
+    assert few.cut_symbols is None  # 101 texts are too few for 2 %; 500 would do
+    docs = docs.withColumn("text", F.concat_ws(" ", "text", F.col("doc_id").cast("string")))
+    assert quality_rules.judge(docs, labels, alpha=0.02).first().cut_symbols == 10
+
+
+def brute_features(text):
+    text = text or ""
+    w, lead = WORD.findall(text), len(text)
+    some, share = max(1, len(w)), lambda members: sum(text.count(c) for c in members) / max(1, lead)
+    lines = [x for x in text.split("\n") if x]
+    pairs = list(zip(w, w[1:]))
+    wide = sum(0xC0 <= b for b in text.encode()) / max(1, lead)
+    marks = "\"'()[]{}:;=+-_/\\@^~`?"
+    return [math.log1p(len(w)), min(lead / some, 1e4), min(max([len(x.encode()) for x in w], default=0), 1e4),
+            share(map(chr, range(65, 91))), share("0123456789"), share("#*$%&<>"), share("!"), share("|"), share(marks), wide,
+            len(set(w)) / some, sum(a == b for a, b in pairs) / some, (len(pairs) - len(set(pairs))) / max(1, len(pairs)),
+            len(w) / max(1, len(lines)), (len(lines) - len(set(lines))) / max(1, len(lines)), text.count(".") / some]
+
+
+def test_features_equal_brute_force(docs_rows):
+    texts = [t for _, t in docs_rows] + ["a a b\n\n a a b\n\na a b", "É. É.\tx!|\n"]
+    got = quality_model.features(texts)
+    for t, x in zip(texts, got):
+        np.testing.assert_allclose(x, brute_features(t), rtol=1e-12, atol=1e-12)
+
+
+def test_score_is_the_sum_of_table_entries():
+    rng = np.random.default_rng(1)
+    x = rng.uniform(size=(3000, 4))
+    model = quality_model.fit(x, (x[:, 0] + x[:, 1] * x[:, 2] > 0.8).astype(float))
+    for row, score in zip(x[:200], model.score(x[:200])):
+        where = [int(sum(e < v for e in edges)) for edges, v in zip(model.edges, row)]
+        z = model.base + sum(t[b] for t, b in zip(model.tables, where)) + sum(t[where[f], where[g]] for f, g, t in model.pairs)
+        assert math.isclose(score, 1 / (1 + math.exp(-z)), rel_tol=1e-9)
