@@ -153,6 +153,28 @@ def test_differencing_known_case():
     assert sharding.differencing([], 3) == []
 
 
+def plain_differencing(sizes, shards):
+    """Sums of the parts, by the rule itself: join the two partial partitions of largest spread, oppositely ordered."""
+    parts = [([0] * (shards - 1) + [s], i) for i, s in enumerate(sizes)]
+    while len(parts) > 1:
+        parts.sort(key=lambda p: (p[0][0] - p[0][-1], p[1]))
+        (a, i), (b, _) = parts[:2]
+        made = sorted(x + y for x, y in zip(a, reversed(b)))
+        parts = [(made, i)] + parts[2:]
+    return parts[0][0] if parts else [0] * shards
+
+
+def test_one_cell_equals_plain_differencing(spark):
+    rng = random.Random(7)
+    for shards in (2, 3, 24):
+        sizes = rng.sample(range(1, 100_000), 300)
+        rows = [(i, s) for i, s in enumerate(sizes)]
+        got = Counter()
+        for r in sharding.balance(spark.createDataFrame(rows, "key long, size long"), shards).collect():
+            got[r.shard] += sizes[r.key]
+        assert sorted(got.values()) == plain_differencing(sorted(sizes), shards)
+
+
 def test_sharding(spark, docs, docs_rows):
     out = sharding.shard_documents(docs, shards=6).collect()
     texts, shard_of, sizes, slots = dict(docs_rows), defaultdict(set), Counter(), defaultdict(list)

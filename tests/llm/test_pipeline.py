@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from .test_minhash import brute as near_brute
-from .test_pii import brute as pii_brute
+from .test_pii_groups import brute as pii_brute
 from .test_substrings import brute as repeat_brute
 
 SF = "/root/testdata/sf0.001"

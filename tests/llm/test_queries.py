@@ -11,8 +11,8 @@ from tokenizers import Tokenizer
 import __spark_entry__ as entry
 from platewise.llm import queries
 
-from .test_pii import brute as pii_brute
 from .test_pii import brute_base
+from .test_pii_groups import brute as pii_brute
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = {
