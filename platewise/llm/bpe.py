@@ -88,10 +88,83 @@ def piece_starts(cp: np.ndarray, first: np.ndarray) -> np.ndarray:
     return start
 
 
-class MergeTable:
-    """Vocabulary, merges and sufficient lookahead of one byte-level BPE file."""
+class PieceRows:
+    """Ids of pieces, remembered with the bytes they stand for in a table of bounded size.
 
-    def __init__(self, path: str):
+    A subclass says how a piece is encoded: ``encode_short`` many pieces of at most
+    ``LONG_PIECE`` bytes, ``encode_long`` a single longer one.
+    """
+
+    row_at: np.ndarray  # row r has the ids row_ids[row_at[r]:row_at[r] + row_n[r]]
+    row_n: np.ndarray
+    row_ids: np.ndarray
+
+    def encode_short(self, data: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raise NotImplementedError
+
+    def encode_long(self, piece: bytes) -> np.ndarray:
+        raise NotImplementedError
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}  # fingerprint of a short piece -> its row
+        self.row_at, self.row_n, self.row_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # the bytes that a row stands for, with which every later use is compared
+        self.own_at, self.own_n, self.own = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
+
+    def _add(self, counts: np.ndarray, ids: list[np.ndarray], data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """New rows with ``counts`` ids each for the pieces; the rows' numbers."""
+        rows = len(self.row_at) + np.arange(len(counts))
+        self.row_at = np.append(self.row_at, len(self.row_ids) + np.cumsum(counts) - counts)
+        self.row_n = np.append(self.row_n, counts)
+        self.row_ids = np.concatenate([self.row_ids, *ids])
+        self.own_at = np.append(self.own_at, len(self.own) + np.cumsum(length) - length)
+        self.own_n = np.append(self.own_n, length)
+        self.own = np.append(self.own, data[spread(at, length)])
+        return rows
+
+    def _is_row(self, data: np.ndarray, at: np.ndarray, length: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Whether each piece has the very bytes that its row stands for."""
+        equal = length == self.own_n[row]
+        some = np.flatnonzero(equal)
+        equal[some] = same_bytes(data, at[some], self.own, self.own_at[row[some]], length[some])
+        return equal
+
+    def rows(self, data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Row of ids of each piece, making the rows that are not known yet.  Fingerprints
+        only find a row; it is used where the bytes are the same."""
+        row = np.full(len(at), -1, np.int64)
+        short = np.flatnonzero(length <= LONG_PIECE)
+        uniq, one, inverse = np.unique(byte_marks(data, at[short], length[short]), return_index=True, return_inverse=True)
+        got = np.fromiter(map(self.known.get, uniq.tolist(), repeat(-1)), np.int64, len(uniq))
+        new = np.flatnonzero(got < 0)
+        if len(new) and len(self.known) + len(new) > CACHE_WORDS:
+            self._forget()
+            got[:], new = -1, np.arange(len(uniq))
+        elif len(self.row_ids) > 16 * CACHE_WORDS:  # those of long pieces are not looked up again
+            self._forget()
+            got[:], new = -1, np.arange(len(uniq))
+        if len(new):
+            s, n = at[short[one[new]]], length[short[one[new]]]
+            ids, count = self.encode_short(data, s, n)
+            got[new] = self._add(count, [ids], data, s, n)
+            self.known.update(zip(uniq[new].tolist(), got[new].tolist()))
+        row[short] = got[inverse]
+        alike = self._is_row(data, at[short], length[short], row[short])
+        # long pieces, and short ones whose fingerprint belongs to other bytes
+        seen: dict[bytes, int] = {}
+        for k in [*np.flatnonzero(length > LONG_PIECE), *short[~alike]]:
+            piece = data[at[k]:at[k] + length[k]].tobytes()
+            if piece not in seen:
+                ids = self.encode_long(piece)
+                seen[piece] = int(self._add(np.array([len(ids)]), [ids], data, at[k:k + 1], np.zeros(1, np.int64))[0])
+            row[k] = seen[piece]
+        return row
+
+class MergeTable(PieceRows):
+    """Vocabulary, merges and sufficient lookahead of one byte-level BPE file.  Without
+    ``special`` the strings of added tokens are plain text."""
+
+    def __init__(self, path: str, special: bool = True):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -125,6 +198,8 @@ class MergeTable:
             self.lookahead = max(self.lookahead, len(v) + far)
             self.ranks[vocab[u], vocab[v]] = (rank, vocab[u + v])
         self._index_pairs()
+        if not special:
+            self.added = {}
         self.added_re = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
         self._forget()
 
@@ -196,6 +271,12 @@ class MergeTable:
             yield out
         yield self.merge(window)
 
+    def encode_short(self, data: np.ndarray, at: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.merge_many(data[spread(at, length)], length)
+
+    def encode_long(self, piece: bytes) -> np.ndarray:
+        return np.array([i for part in self.stream(piece) for i in part], np.int32)
+
     def merge_many(self, data: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of many short windows that lie one behind the other in ``data``, and
         the number of ids of each.  Every round does the next merge of each window."""
@@ -222,61 +303,6 @@ class MergeTable:
 
     # ----------------------------------------------------------- texts ----
 
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}  # fingerprint of a short piece -> its row
-        self.row_at, self.row_n, self.row_ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        # the bytes that a row stands for, with which every later use is compared
-        self.own_at, self.own_n, self.own = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
-
-    def _add(self, counts: np.ndarray, ids: list[np.ndarray], data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """New rows with ``counts`` ids each for the pieces; the rows' numbers."""
-        rows = len(self.row_at) + np.arange(len(counts))
-        self.row_at = np.append(self.row_at, len(self.row_ids) + np.cumsum(counts) - counts)
-        self.row_n = np.append(self.row_n, counts)
-        self.row_ids = np.concatenate([self.row_ids, *ids])
-        self.own_at = np.append(self.own_at, len(self.own) + np.cumsum(length) - length)
-        self.own_n = np.append(self.own_n, length)
-        self.own = np.append(self.own, data[spread(at, length)])
-        return rows
-
-    def _is_row(self, data: np.ndarray, at: np.ndarray, length: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Whether each piece has the very bytes that its row stands for."""
-        equal = length == self.own_n[row]
-        some = np.flatnonzero(equal)
-        equal[some] = same_bytes(data, at[some], self.own, self.own_at[row[some]], length[some])
-        return equal
-
-    def _rows(self, data: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
-        """Row of ids of each piece, making the rows that are not known yet.  Fingerprints
-        only find a row; it is used where the bytes are the same."""
-        row = np.full(len(at), -1, np.int64)
-        short = np.flatnonzero(length <= LONG_PIECE)
-        uniq, one, inverse = np.unique(byte_marks(data, at[short], length[short]), return_index=True, return_inverse=True)
-        got = np.fromiter(map(self.known.get, uniq.tolist(), repeat(-1)), np.int64, len(uniq))
-        new = np.flatnonzero(got < 0)
-        if len(new) and len(self.known) + len(new) > CACHE_WORDS:
-            self._forget()
-            got[:], new = -1, np.arange(len(uniq))
-        elif len(self.row_ids) > 16 * CACHE_WORDS:  # those of long pieces are not looked up again
-            self._forget()
-            got[:], new = -1, np.arange(len(uniq))
-        if len(new):
-            s, n = at[short[one[new]]], length[short[one[new]]]
-            ids, count = self.merge_many(data[spread(s, n)], n)
-            got[new] = self._add(count, [ids], data, s, n)
-            self.known.update(zip(uniq[new].tolist(), got[new].tolist()))
-        row[short] = got[inverse]
-        alike = self._is_row(data, at[short], length[short], row[short])
-        # long pieces, and short ones whose fingerprint belongs to other bytes
-        seen: dict[bytes, int] = {}
-        for k in [*np.flatnonzero(length > LONG_PIECE), *short[~alike]]:
-            piece = data[at[k]:at[k] + length[k]].tobytes()
-            if piece not in seen:
-                ids = np.array([i for part in self.stream(piece) for i in part], np.int32)
-                seen[piece] = int(self._add(np.array([len(ids)]), [ids], data, at[k:k + 1], np.zeros(1, np.int64))[0])
-            row[k] = seen[piece]
-        return row
-
     def _plain(self, parts: list[str]) -> list[np.ndarray]:
         """Ids of texts without added tokens, a block of bounded size."""
         text = "".join(parts)
@@ -293,7 +319,7 @@ class MergeTable:
         byte = np.cumsum(width) - width
         at = byte[start]
         length = np.diff(np.append(at, len(data)))
-        row = self._rows(data, at, length)
+        row = self.rows(data, at, length)
         n = self.row_n[row]
         ids = self.row_ids[spread(self.row_at[row], n)]
         cuts = np.append(0, np.cumsum(n))[np.searchsorted(start, np.append(head, len(cp)))]
@@ -361,8 +387,8 @@ _CUT = re.compile(r"[^\s\x85\x1c-\x1f][\t-\r ]")
 
 
 @lru_cache(maxsize=4)
-def merge_table(path: str) -> MergeTable:
-    return MergeTable(path)
+def merge_table(path: str, special: bool = True) -> MergeTable:
+    return MergeTable(path, special)
 
 
 def encode_documents(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",

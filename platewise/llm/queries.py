@@ -6,9 +6,25 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.llm import bpe, chat, minhash, oracle_sql, packing, pii, quality_model, quality_rules, sharding, substrings, vectors
+from platewise.llm import (
+    alignment,
+    bpe,
+    chat,
+    minhash,
+    mixing,
+    oracle_sql,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    search,
+    sharding,
+    substrings,
+    vectors,
+)
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +87,19 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(_table(spark, sf_dir, "benchmark"), _table(spark, sf_dir, "documents"), k=20)
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeat=3)
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -82,6 +111,9 @@ QUERIES = {
     "op8_chat_perspectives": op8_chat_perspectives,
     "op9_pii": op9_pii,
     "op10_bpe_roundtrip": op10_bpe_roundtrip,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_mix": op13_source_mix,
 }
 ORACLE = {
     "op1_quality_rules": quality_rules.oracle(),
@@ -89,4 +121,6 @@ ORACLE = {
     "op4_embedding_near_dedup": oracle_sql.linked_vectors(),
     "op7_substring_dedup": oracle_sql.removed_repeats(),
     "op8_chat_perspectives": chat.oracle(),
+    "op12_ranked_search": search.oracle(),
+    "op13_source_mix": mixing.oracle(),
 }

@@ -21,6 +21,8 @@ COLUMNS = {
     5: "doc_id piece start length ids_crc32 sequence_id offset", 6: "doc_id size text_crc32 law shard slot grown_shard",
     7: "doc_id n_words n_removed kept_sha256", 8: "conv_id perspective part n_turns n_own text mask",
     9: "doc_id n_email n_ip n_card n_phone base_sha256 spans", 10: "doc_id n_tokens ids_sha256 decoded_sha256",
+    11: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256", 12: "item_id rank doc_id score",
+    13: "doc_id size source_size target taken",
 }
 BY_NUMBER = {int(k[2:].split("_")[0]): k for k in queries.QUERIES}
 
@@ -28,7 +30,7 @@ BY_NUMBER = {int(k[2:].split("_")[0]): k for k in queries.QUERIES}
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "labels", "embeddings", "conversations"):
+    for t in ("documents", "labels", "embeddings", "conversations", "benchmark"):
         c.sql(f"CREATE VIEW {t} AS FROM '{SF}/{t}.parquet'")
     return c
 
@@ -43,7 +45,7 @@ def result(spark, n):
 
 
 def test_registered():
-    assert sorted(BY_NUMBER) == list(range(1, 11)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
+    assert sorted(BY_NUMBER) == list(range(1, 14)) and set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
 @pytest.mark.parametrize("key", sorted(queries.ORACLE))
@@ -103,3 +105,16 @@ def test_op9(spark, texts):
         base = brute_base(texts[r.doc_id])
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[2] == k for s in base) for k in range(4)]
         assert r.base_sha256 == hashlib.sha256(show(base).encode()).hexdigest() and r.spans == show(want[r.doc_id])
+
+
+def test_op11(spark, texts):
+    import sentencepiece
+
+    from .test_alignment import A, B, as_rows, brute
+
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    rows = result(spark, 11)
+    assert list(rows.columns) == COLUMNS[11].split()
+    want, _ = brute((a, sentencepiece.SentencePieceProcessor(model_file=B)), list(texts.values()))
+    assert as_rows(rows) == dict(zip(texts, want))

@@ -1,0 +1,97 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from platewise.llm import search
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute(items, docs, k=20):
+    """[(item, rank, id, score)]"""
+    counts = [(i, Counter(terms(t)), len(terms(t))) for i, t in docs]
+    held = Counter(t for _, c, _ in counts for t in c)
+    n_docs, n_terms = sum(n > 0 for _, _, n in counts), sum(n for _, _, n in counts)
+    wanted = {}
+    for i, t in dict.fromkeys(items):
+        wanted.setdefault(i, Counter()).update(terms(t))
+    out = []
+    for item, own in wanted.items():
+        scored = []
+        for i, c, n in counts:
+            if i is None or not n:
+                continue
+            m = 75 + 25 * n * n_docs // n_terms
+            score = sum(times * math.floor(1000 * math.log((2 * n_docs + 2) / (2 * held[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                        for t, times in own.items() if c[t])
+            if score > 0:
+                scored.append((-score, i))
+        out += [(item, r + 1, i, -s) for r, (s, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=repr)
+
+
+def got(spark, items, docs, **kw):
+    d = spark.createDataFrame(docs, "doc_id long, text string").withColumn("score", F.lit("x")).withColumn("item_id", F.lit(1)).repartition(3)
+    i = spark.createDataFrame(items, "item_id long, text string").withColumn("rank", F.lit(0))
+    return sorted((tuple(r) for r in search.search(i, d, **kw).collect()), key=repr)
+
+
+@pytest.fixture(scope="module")
+def corpus(docs_rows):
+    rng = random.Random(3)
+    pool = [w for _, t in docs_rows if t for w in t.split()]
+    items = [(k, " ".join(rng.choice(pool) for _ in range(rng.choice([1, 3, 30, 200])))) for k in range(60)]
+    items += [(100, None), (101, ""), (102, "!? .."), (103, "nowhere-found"), (0, "another text of item 0"), (0, "another text of item 0"),
+              (None, "one"), (104, "É中 the THE the"), (105, "x" * 5000), (106, "word")]
+    same = [(10**7 + k, "the same text for ties") for k in range(30)] + [(10**7, "the same text for ties")]
+    items.append((107, "same ties"))
+    return items, docs_rows + same + [(None, "one ties"), (10**8, "É中 é中 " + "x" * 5000)]
+
+
+def test_equals_brute_force(spark, corpus):
+    items, docs = corpus
+    want = brute(items, docs)
+    assert got(spark, items, docs) == want and len({r[0] for r in want}) > 50
+    assert got(spark, items, docs, k=3) == brute(items, docs, 3)
+
+
+def test_blocks_postings_and_whole_numbers(spark, corpus, monkeypatch):
+    items, docs = corpus
+    monkeypatch.setattr(search, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(search, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(search, "CELLS", 50)
+    assert got(spark, items, docs) == brute(items, docs)
+
+
+def test_integer_sums_equal_doubles():
+    rng = np.random.default_rng(0)
+    index = search.Index([[" ".join(f"t{x}" for x in rng.integers(0, 40, 30))] for _ in range(20)])
+    row, term, part = rng.integers(0, 9, 200), rng.integers(0, len(index), 200), rng.integers(1, 10**9, 200)
+    key = np.unique(row * len(index) + term)
+    row, term, part = key // len(index), key % len(index), part[:len(key)]
+    a, b = (search._scores(index, row, term, part, 9, exact) for exact in (True, False))
+    assert (a == b).all() and b.dtype == np.int64
+
+
+def test_terms_that_share_a_fingerprint(monkeypatch):
+    monkeypatch.setattr(search, "byte_marks", lambda data, start, size: np.zeros(len(start), np.uint64))
+    index = search.Index([["a b"], ["b c c"]])
+    text, term, tf = index.counts(search.Terms(["c a x c", "B"]))
+    assert sorted(zip(text, term, tf)) == [(0, 0, 1), (0, 2, 2), (1, 1, 1)]
+
+
+def test_empty_tables(spark):
+    docs, items = spark.createDataFrame([(1, "a")], "doc_id long, text string"), spark.createDataFrame([(1, "a")], "item_id int, text string")
+    assert search.search(items.limit(0), docs).count() == 0 and search.search(items, docs.limit(0)).count() == 0
+    assert [tuple(r) for r in search.search(items, docs).collect()] == brute([(1, "a")], [(1, "a")])
+    assert search.search(items, docs).schema["item_id"].dataType.simpleString() == "int"
