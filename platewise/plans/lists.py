@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from platewise.functions.arrays import key_json, pad_list, parse_dish_list
 from platewise.operators.relational import exclude_values, latest, sized_broadcast, top_k
+from platewise.sources.keyed import PartitionedTable
 
 def popular_dishes(area: DataFrame, days: int = 7, exclude: Sequence[str] = (),
                    latest_only: bool = True) -> DataFrame:
@@ -163,6 +164,17 @@ def serve(requests: DataFrame, lists: DataFrame, key: str = "user_id",
         F.col("_gd").isNull().alias("from_default"))
 
 
+def serve_keyed(requests: DataFrame, table: PartitionedTable, key: str = "user_id", default_key: str = "default") -> DataFrame:
+    """:func:`serve` from a bucketed table: only the buckets that the requested keys hash to are
+    read, and of those only the row groups in the keys' range (a single request reads one bucket)."""
+    spark = requests.sparkSession
+    default = table.lookup(spark.createDataFrame([(default_key,)], f"`{key}` string")).select("gd_dish_types").scalar()
+    req = requests.select(key)
+    hits = table.lookup(req).select(F.col(key).alias("_key"), F.col("gd_dish_types").alias("_gd"))
+    got = req.join(hits, F.col(key) == F.col("_key"), "left")
+    return got.select(key, F.coalesce(F.col("_gd"), default).alias("recommended_items"), F.col("_gd").isNull().alias("from_default"))
+
+
 def serve_items(served: DataFrame) -> DataFrame:
     """Parsed form of the answers: ``array<struct<id, name>>``."""
     return served.withColumn("recommended_items", parse_dish_list("recommended_items"))

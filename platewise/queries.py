@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from platewise.plans import gold, lists
 from platewise.session import work_path
-from platewise.sources import sinks
+from platewise.sources import keyed, sinks
 from platewise.sources.fixtures import (
     EXCLUDE,
     LIST_K,
@@ -136,6 +136,29 @@ def upsert_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return table.read()
 
 
+def _ordered_since(f: Fixtures, day) -> DataFrame:
+    """Customers with an order on ``day`` or later."""
+    o = f.order_transaction().where((F.col("order_date") >= F.lit(day)) & F.col("user_id").isNotNull())
+    return o.select("user_id").distinct()
+
+
+def _bucketed_lists(f: Fixtures) -> keyed.PartitionedTable:
+    """Yesterday's lists, then new ones for the customers who have ordered since."""
+    table = keyed.PartitionedTable(work_path(f.spark, "customer_lists"), ["user_id"])
+    table.upsert(_lists(f, PREV_RUN_DATE, PREV_CUTOFF))
+    table.upsert(_lists(f).join(_ordered_since(f, PREV_CUTOFF), "user_id", "left_semi"))
+    return table
+
+
+def upsert_touched_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return _bucketed_lists(Fixtures(spark, sf)).read(spark)
+
+
+def lookup_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    f = Fixtures(spark, sf)
+    return lists.serve_keyed(f.requests(), _bucketed_lists(f))
+
+
 QUERIES: dict[str, Query] = {
     "customer_category": customer_category,
     "menu_category": menu_category_faithful,
@@ -150,6 +173,8 @@ QUERIES: dict[str, Query] = {
     "kv_export": kv_export,
     "serve_recommendations": serve_recommendations,
     "upsert_by_key": upsert_by_key,
+    "upsert_touched_buckets": upsert_touched_buckets,
+    "lookup_pruned": lookup_pruned,
     # the same jobs under the names of the operators they are made of
     "join_decile_fanout": menu_category_faithful,
     "lookup_with_default": serve_recommendations,
