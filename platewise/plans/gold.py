@@ -110,11 +110,19 @@ def customer_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi
     An empty dish keeps its rank slot and is dropped afterwards.
     """
     b = base if base is not None else user_dish_counts(orders, items, tags, status)
+    return finish_customers(customer_ranks(b), busi_dt)
+
+
+def customer_ranks(b: DataFrame) -> DataFrame:
+    """The base with each customer's ``decile`` and ``rank``; a customer's rows depend on theirs alone."""
     d = decile_of_distinct(b, "user_id", "count_order")
     w = Window.partitionBy("user_id", "decile").orderBy(
         F.col("recent_order_at" if "recent_order_at" in b.columns else "recent_order_dt").asc(),
         F.col("dish_type_l3").asc(), F.col("category_id").asc())
-    ranked = d.withColumn("rank", F.row_number().over(w))
+    return d.withColumn("rank", F.row_number().over(w))
+
+
+def finish_customers(ranked: DataFrame, busi_dt) -> DataFrame:
     out = _finish(ranked, busi_dt)
     return out.select("user_id", "count_order", "recent_order_dt", "dish_type_l3",
                       "category_id", "decile", "rank", "percentile", "busi_dt")

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.plans import gold, lists
+from platewise.plans import gold, incremental, lists
 from platewise.session import work_path
 from platewise.sources import keyed, sinks
 from platewise.sources.fixtures import (
@@ -159,6 +159,32 @@ def lookup_pruned(spark: SparkSession, sf: str) -> DataFrame:
     return lists.serve_keyed(f.requests(), _bucketed_lists(f))
 
 
+def _two_changes(f: Fixtures) -> list[tuple[DataFrame, DataFrame, DataFrame]]:
+    """(changed ids, rows before, rows after): the orders known on the previous run date, then
+    the versions that have come since."""
+    now = f.order_transaction()
+    then = now.where(F.col("updt_dttm") <= F.lit(PREV_RUN_DATE))
+    since = now.where(F.col("updt_dttm") > F.lit(PREV_RUN_DATE))
+    return [(then.select("order_id"), now.limit(0), then), (since.select("order_id"), then, now)]
+
+
+def area_windows_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    f = Fixtures(spark, sf)
+    state = incremental.AreaWindows(work_path(spark, "area_windows"), WINDOWS)
+    for change, (run, (ids, before, after)) in enumerate(zip((PREV_RUN_DATE, RUN_DATE), _two_changes(f)), 1):
+        state.apply(change, ids, before, after, f.order_item(), f.shop(), f.address(), f.dish_tagging())
+        state.advance(spark, run)
+    return state.read(spark)
+
+
+def customer_category_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    f = Fixtures(spark, sf)
+    state = incremental.CustomerCategories(work_path(spark, "customer_categories"))
+    for change, (ids, before, after) in enumerate(_two_changes(f), 1):
+        state.apply(change, ids, before, after, f.order_item(), f.dish_tagging())
+    return state.read(spark, RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "customer_category": customer_category,
     "menu_category": menu_category_faithful,
@@ -175,6 +201,8 @@ QUERIES: dict[str, Query] = {
     "upsert_by_key": upsert_by_key,
     "upsert_touched_buckets": upsert_touched_buckets,
     "lookup_pruned": lookup_pruned,
+    "area_windows_incremental": area_windows_incremental,
+    "customer_category_incremental": customer_category_incremental,
     # the same jobs under the names of the operators they are made of
     "join_decile_fanout": menu_category_faithful,
     "lookup_with_default": serve_recommendations,

@@ -42,6 +42,16 @@ class ConcurrentWriteError(RuntimeError):
     """Another write committed the same version first."""
 
 
+def _in_all_buckets(df: DataFrame, group: Sequence[str], buckets: int, only: Column | None = None) -> DataFrame:
+    """A NULL group lies in all buckets, so its rows (where ``only`` holds) are repeated for each;
+    for the others the bucket number stays NULL."""
+    none = F.lit(False)
+    for c in group:
+        none = none | F.col(c).isNull()
+    every = F.sequence(F.lit(0), F.lit(buckets - 1))
+    return df.withColumn(BUCKET, F.explode(F.when(none if only is None else none & only, every).otherwise(F.array(F.lit(None).cast("int")))))
+
+
 class PartitionedTable:
     """A table with a key, rewritten bucket by bucket."""
 
@@ -125,8 +135,28 @@ class PartitionedTable:
         wanted = wanted.select(*[F.col(k).alias(f"_want_{k}") for k in self.keys])
         return rows.drop(BUCKET).join(wanted, same, "left_semi")
 
+    def groups(self, wanted: DataFrame) -> DataFrame:
+        """Rows of the ``wanted`` groups (``bucket_by`` columns; NULL is a group too), from their
+        buckets alone."""
+        spark = wanted.sparkSession
+        listed = self.version(spark)
+        wanted = wanted.select(*self.bucket_by).distinct()
+        marks = _in_all_buckets(wanted, self.bucket_by, listed["buckets"])
+        marks = marks.withColumn(BUCKET, F.coalesce(F.col(BUCKET), self._group_bucket(listed["buckets"])))
+        rows = self._rows(spark, listed, sorted(r[0] for r in marks.select(BUCKET).distinct().collect())).drop(BUCKET)
+        same = [F.col(c).eqNullSafe(F.col(f"_want_{c}")) for c in self.bucket_by]
+        return rows.join(wanted.select(*[F.col(c).alias(f"_want_{c}") for c in self.bucket_by]), same, "left_semi")
+
+    def note(self, spark: SparkSession) -> dict:
+        """What the last write said about itself."""
+        listed = self.version(spark)
+        return (listed or {}).get("note") or {}
+
     # ----------------------------------------------------------- writing ----
 
+    def _group_bucket(self, buckets: int) -> Column:
+        return F.pmod(F.xxhash64(*self.bucket_by), F.lit(buckets)).cast("int")
+
     def _bucket(self, buckets: int) -> Column:
         own = F.xxhash64(*self.bucket_by)
         known = F.lit(True)
@@ -147,8 +177,9 @@ class PartitionedTable:
         return {"version": 0, "buckets": n, "dirs": [None] * n, "schema": None}
 
     def _rewrite(self, batch: DataFrame, combine: Callable[[DataFrame], DataFrame], keep: int,
-                 spread: Callable[[DataFrame, int], DataFrame] | None = None) -> int:
-        """Combine ``batch`` (rows with ``_new``) with the buckets it touches; returns the version."""
+                 spread: Callable[[DataFrame, int], DataFrame] | None = None, note: dict | None = None) -> int:
+        """Combine ``batch`` (rows with ``_new``) with the buckets it touches; returns the version.
+        ``note`` is committed with it, also where the batch is empty."""
         spark = batch.sparkSession
         batch, path = self._store(batch)
         listed = self.version(spark) or self._start(spark, path)
@@ -156,19 +187,24 @@ class PartitionedTable:
         batch = batch.withColumn(BUCKET, F.coalesce(F.col(BUCKET), self._bucket(listed["buckets"])) if BUCKET in batch.columns
                                  else self._bucket(listed["buckets"]))
         touched = sorted(r[0] for r in batch.select(BUCKET).distinct().collect())  # a number per bucket
+        if not touched and note is not None:
+            number = max([0, *self._numbers(spark, "data"), *self._numbers(spark, "versions")]) + 1
+            schema = listed["schema"] or batch.drop(BUCKET, "_new").schema.json()
+            self._commit(spark, {**listed, "version": number, "schema": schema, "note": note})
         if touched:
             old = None if listed["schema"] is None else self._rows(spark, listed, touched).withColumn("_new", F.lit(0))
             both = batch if old is None else union_evolve(old, batch)
             out = combine(both.repartition(len(touched), BUCKET)).drop("_new")
             number = max([0, *self._numbers(spark, "data"), *self._numbers(spark, "versions")]) + 1
-            self._write(spark, listed, out, touched, number)
+            self._write(spark, listed, out, touched, number, note)
         fs, p = _fs(spark, path)
         fs.delete(p, True)
         self.drop_versions(spark, keep)
         done = self.version(spark)
         return done["version"] if done else 0
 
-    def _write(self, spark: SparkSession, listed: dict, out: DataFrame, touched: list[int], number: int) -> None:
+    def _write(self, spark: SparkSession, listed: dict, out: DataFrame, touched: list[int], number: int,
+               note: dict | None) -> None:
         home = f"{self.root}/data/{VERSION}={number}"
         out.sortWithinPartitions(BUCKET, *self.keys).write.mode("errorifexists").partitionBy(BUCKET).parquet(home)
         fs, p = _fs(spark, home)
@@ -177,7 +213,8 @@ class PartitionedTable:
         for b in touched:
             dirs[b] = number if b in made else None
         schema = out.drop(BUCKET).schema
-        self._commit(spark, {"version": number, "buckets": listed["buckets"], "dirs": dirs, "schema": schema.json()})
+        self._commit(spark, {"version": number, "buckets": listed["buckets"], "dirs": dirs, "schema": schema.json(),
+                             "note": note})
 
     def upsert(self, updates: DataFrame, keep: int = 2) -> int:
         """Rows of ``updates`` replace those with their key, or are added.  Rows with a NULL key
@@ -195,7 +232,7 @@ class PartitionedTable:
 
         return self._rewrite(updates.where(known).withColumn("_new", F.lit(1)), newest, keep)
 
-    def add(self, deltas: DataFrame, sums: Sequence[str], alive: str, keep: int = 2) -> int:
+    def add(self, deltas: DataFrame, sums: Sequence[str], alive: str, keep: int = 2, note: dict | None = None) -> int:
         """Add the ``sums`` columns of ``deltas`` (which may be negative, and hold a key several
         times) to the rows with their key; rows whose ``alive`` column comes to 0 go."""
 
@@ -203,25 +240,21 @@ class PartitionedTable:
             kinds = {f.name: f.dataType for f in both.schema}
             return both.groupBy(BUCKET, *self.keys).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in sums]).where(F.col(alive) != 0)
 
-        return self._rewrite(deltas.select(*self.keys, *sums).withColumn("_new", F.lit(1)), total, keep)
+        return self._rewrite(deltas.select(*self.keys, *sums).withColumn("_new", F.lit(1)), total, keep, note=note)
 
-    def replace_groups(self, rows: DataFrame, groups: DataFrame, keep: int = 2) -> int:
+    def replace_groups(self, rows: DataFrame, groups: DataFrame, keep: int = 2, note: dict | None = None) -> int:
         """All rows of ``groups`` (``bucket_by`` columns, NULL is a group too) go and ``rows`` come."""
         marks = groups.select(*self.bucket_by).distinct().withColumn("_new", F.lit(2))
 
         def spread(batch: DataFrame, buckets: int) -> DataFrame:
-            none = F.lit(False)  # a NULL group lies in all buckets
-            for c in self.bucket_by:
-                none = none | F.col(c).isNull()
-            every = F.sequence(F.lit(0), F.lit(buckets - 1))
-            return batch.withColumn(BUCKET, F.explode(F.when((F.col("_new") == 2) & none, every).otherwise(F.array(F.lit(None).cast("int")))))
+            return _in_all_buckets(batch, self.bucket_by, buckets, F.col("_new") == 2)
 
         def swap(both: DataFrame) -> DataFrame:
             gone = F.max((F.col("_new") == 2).cast("int")).over(Window.partitionBy(BUCKET, *self.bucket_by))
             return both.withColumn("_gone", gone).where((F.col("_new") == 1) | ((F.col("_new") == 0) & (F.col("_gone") == 0))).drop("_gone")
 
         batch = rows.withColumn("_new", F.lit(1)).unionByName(marks, allowMissingColumns=True)
-        return self._rewrite(batch, swap, keep, spread)
+        return self._rewrite(batch, swap, keep, spread, note)
 
     def drop_versions(self, spark: SparkSession, keep: int = 2) -> None:
         """Remove all but the newest ``keep`` lists, then the directories that none of those names."""
