@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from platewise.functions.text import percentile_label
+from platewise.operators.counting import decile_by_counting
 from platewise.operators.relational import (
     blank_to_null,
     changed_rows,
@@ -138,6 +139,8 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
     ids multiplies rows.  ``by_count`` ranks the real counts and keeps one row
     per (user, dish, id).  The rank inside a dish is computed without sending a
     whole dish to one task (a popular dish can hold a large share of rows).
+    ``by_histogram`` gives the rows of ``by_count`` from histograms of the counts,
+    without the range sort (:func:`decile_by_counting`).
     """
     b = base if base is not None else user_dish_counts(orders, items, tags, status)
     order_tail = [F.col("user_id").asc_nulls_first(), F.col("category_id").asc()]
@@ -150,13 +153,16 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
                             decile("_rank", "_size").alias("decile"))
         joined = ranked.join(dec, (F.col("user_id") == F.col("_u")) & (F.col("dish_type_l3") == F.col("_d")),
                              "left").drop("_u", "_d")
+    elif mode == "by_histogram":
+        joined = decile_by_counting(b, "dish_type_l3", "count_order", "user_id", [F.col("category_id").asc()])
+        joined = joined.withColumn("decile", F.when(F.col("user_id").isNotNull(), F.col("decile")))
     elif mode == "by_count":
         ranked = rank_in_group(b, "dish_type_l3", [F.col("count_order").asc(), *order_tail],
                                rank_col="_rank", size_col="_size")
         joined = ranked.withColumn(
             "decile", F.when(F.col("user_id").isNotNull(), decile("_rank", "_size")))
     else:
-        raise ValueError(f"mode must be 'faithful' or 'by_count', not {mode!r}")
+        raise ValueError(f"mode must be 'faithful', 'by_count' or 'by_histogram', not {mode!r}")
     out = _finish(joined, busi_dt)
     return out.select("user_id", "count_order", "dish_type_l3", "category_id", "decile",
                       "percentile", "busi_dt")

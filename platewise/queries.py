@@ -46,6 +46,12 @@ def menu_category_by_count(spark: SparkSession, sf: str) -> DataFrame:
                               mode="by_count")
 
 
+def menu_category_by_histogram(spark: SparkSession, sf: str) -> DataFrame:
+    f = Fixtures(spark, sf)
+    return gold.menu_category(f.order_transaction(), f.order_item(), f.dish_tagging(), RUN_DATE,
+                              mode="by_histogram")
+
+
 def _shop(f: Fixtures, busi, cutoff=None) -> DataFrame:
     o = f.order_transaction()
     if cutoff is not None:
@@ -189,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "customer_category": customer_category,
     "menu_category": menu_category_faithful,
     "menu_category_by_count": menu_category_by_count,
+    "menu_category_by_histogram": menu_category_by_histogram,
     "shop_category": shop_category,
     "shop_category_change": shop_category_change,
     "area_category": area_category,
