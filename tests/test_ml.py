@@ -1,5 +1,6 @@
 """Split invariants, label encoding, a model accuracy floor, and batch scoring."""
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from platewise.plans import ml
@@ -62,6 +63,34 @@ def test_char_ngram_model_and_vector_model(spark):
     assert vp.select("category_id").where(F.col("category_id").isNull()).count() == 0
 
 
+def test_probability_and_loss_are_the_models_own(spark):
+    """From the stored coefficients, in NumPy: softmax, its largest entry, and the mean log-loss."""
+    import numpy as np
+
+    from platewise import operator_queries as oq
+
+    model, _, _ = oq._tag_model(spark, SF_SMALL)
+    layer, hashed = model.stages[-1], PipelineModel(model.stages[:-1])
+    test = oq._tag_training(Fixtures(spark, SF_SMALL)).where("split = 'test'")
+    known = {r.menu_id: int(r.label) for r in test.collect()}
+    weights, bias = layer.coefficientMatrix.toArray(), layer.interceptVector.toArray()
+    want, losses = {}, []
+    for r in hashed.transform(ml.with_clean_text(Fixtures(spark, SF_SMALL).menu(), "menu_name")).select("menu_id", "features").collect():
+        z = weights @ r.features.toArray() + bias
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        want[r.menu_id] = (int(p.argmax()), p.max())
+        if r.menu_id in known:
+            losses.append(-np.log(p[known[r.menu_id]]))
+    got = {r.menu_id: (r.category_id, r.prob) for r in oq.ml_predict(spark, SF_SMALL).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i][0] == c and abs(got[i][1] - p) < 1e-9 for i, (c, p) in want.items())
+    assert len({round(p, 6) for _, p in got.values()}) > 10
+    told = oq.ml_evaluate(spark, SF_SMALL).first()
+    assert told.n == len(losses) and abs(told.loss - np.mean(losses)) < 1e-9
+    for r in oq.tag_menus(spark, SF_SMALL).collect():
+        assert abs(r.prob - want[r.menu_id][1]) < 1e-6
+
+
 def test_tune_for_input_leaves_fixed_settings(spark):
     from platewise.session import tune_for_input
 
