@@ -76,13 +76,16 @@ def parts(df: DataFrame) -> int:
     return max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
-BROADCAST_IDS = 1 << 20
+BROADCAST_IDS, BROADCAST_BYTES = 1 << 20, 32 << 20
 
 
 def broadcast_ids(ids: DataFrame) -> DataFrame:
-    """Hint a broadcast for a stored frame of one fixed-width column if it has at most
-    ``BROADCAST_IDS`` rows (some 16 MB); beyond that Spark joins it by a shuffle."""
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    """Hint a broadcast for a small stored frame if it has at most ``BROADCAST_IDS`` rows and its
+    text and binary columns at most ``BROADCAST_BYTES``; beyond that Spark joins it by a shuffle."""
+    wide = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in ids.schema if f.dataType.typeName() in ("string", "binary")]
+    size = F.sum(sum(wide[1:], wide[0]).cast("long")) if wide else F.lit(0)
+    n, size = ids.limit(BROADCAST_IDS + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(ids) if n <= BROADCAST_IDS and (size or 0) <= BROADCAST_BYTES else ids
 
 
 def with_rows(df: DataFrame, ids: DataFrame, id_col: str, keep: bool) -> DataFrame:

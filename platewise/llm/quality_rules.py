@@ -32,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import BROADCAST_IDS, stored, words
+from platewise.llm.common import broadcast_ids, stored, words
 
 STATS = ("n_words", "word_chars", "n_symbols", "n_upper", "n_lines", "n_dup_lines", "n_repeat_words")
 # rule: (numerator, denominator, cutoffs in thousandths); it rejects where 1000 * numerator > cutoff * denominator
@@ -130,8 +130,7 @@ def judge(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     good = labels.where(F.col(label_col) == 1).select(F.col(id_col).alias("_id")).distinct()
     good = stats.where("NOT base_failed").join(good, F.col("id") == F.col("_id")).dropDuplicates(["stratum", "_digest"])
     cuts = stored(choose_cutoffs(good, alpha, delta), "cutoffs").withColumnRenamed("stratum", "_stratum")
-    # a row per stratum with enough labels; broadcast only if its size is small
-    cuts = F.broadcast(cuts) if cuts.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else cuts
+    cuts = broadcast_ids(cuts)  # a row per stratum with enough labels; broadcast only if its size is small
     out = stats.join(cuts, F.col("stratum") == F.col("_stratum"), "left")
     rejected = F.lit(False)
     for r in RULES:

@@ -98,3 +98,15 @@ def test_components_of_paths_stars_and_loops(spark):
     links = [e for e in links if e[0] != e[1]]
     want = find_roots({x for e in links for x in e}, links)
     assert got == want
+
+
+def test_broadcast_of_ids_is_bound_by_rows_and_bytes(spark, monkeypatch):
+    from platewise.llm import common
+
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    ids = spark.createDataFrame([(i, "x" * 10) for i in range(20)], "a long, b string")
+    assert hint(common.broadcast_ids(ids)) and hint(common.broadcast_ids(ids.limit(0)))
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 199)
+    assert not hint(common.broadcast_ids(ids)) and hint(common.broadcast_ids(ids.select("a")))
+    monkeypatch.setattr(common, "BROADCAST_IDS", 19)
+    assert not hint(common.broadcast_ids(ids.select("a")))
