@@ -482,6 +482,10 @@ def ml_split(spark, sf):
     return ml.split(_f(spark, sf).training_data(), "key", SEED).select("key", "split")
 
 
+def ml_split_exact(spark, sf):
+    return ml.split_exact(_f(spark, sf).training_data().select("key"), "key", SEED).select("key", "split")
+
+
 def ml_train_text(spark, sf):
     """Language of whole documents: fitted on the train rows, scored on the test rows."""
     data = _text_data(spark, sf)
@@ -603,6 +607,7 @@ OPERATOR_QUERIES = {
     "fn_key_json": fn_key_json,
     "udf_batch_predict": udf_batch_predict,
     "ml_split": ml_split,
+    "ml_split_exact": ml_split_exact,
     "ml_train_text": ml_train_text,
     "ml_train_vector": ml_train_vector,
     "ml_predict": ml_predict,

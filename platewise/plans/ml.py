@@ -6,7 +6,9 @@ Everything runs on executors; nothing is collected to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from fractions import Fraction
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -18,6 +20,7 @@ from pyspark.sql import types as T
 
 from platewise.functions.arrays import argmax, max_prob
 from platewise.functions.text import clean_text
+from platewise.operators.counting import cut_by_counting
 from platewise.operators.relational import sized_broadcast
 
 
@@ -56,6 +59,25 @@ def split(df: DataFrame, key: str, seed: int, test: float = 0.2, val: float = 0.
     return df.withColumn("split", s)
 
 
+def split_exact(df: DataFrame, key: str, seed: int, test: float = 0.2, val: float = 0.15) -> DataFrame:
+    """``split`` with exact sizes: of ``n`` rows ``ceil(test * n)`` are ``test``, and of the others
+    ``ceil(val * rest)`` are ``val`` (shares taken as the decimals they are written as).
+
+    The rows with the smallest seeded digests of ``key`` are taken, found by counting
+    (:func:`cut_by_counting`) without a sort or a shuffle of rows.  Rows of one key may
+    part at a border, as their whole rows' digests say, since sizes count rows; use
+    :func:`split` where a key must stay in one part.
+    """
+    def ends(n: int) -> list[int]:
+        t = math.ceil(Fraction(str(test)) * n)
+        return [t, t + math.ceil(Fraction(str(val)) * (n - t))]
+
+    whole = F.to_json(F.struct(*[F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(df.columns)]), {"ignoreNullFields": "false"})
+    own = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    parts = cut_by_counting(df, [own, whole], ends, out="_part")
+    return parts.withColumn("split", F.element_at(F.array(F.lit("test"), F.lit("val"), F.lit("train")), F.col("_part") + 1)).drop("_part")
+
+
 def text_pipeline(label_col: str = "label", analyzer: str = "char", ngram: int = 3,
                   num_features: int = 1 << 16, max_iter: int = 25, reg: float = 1e-4) -> Pipeline:
     """tokens (character n-grams, or words) -> hashed TF -> IDF -> softmax regression.

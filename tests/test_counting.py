@@ -1,4 +1,8 @@
+import hashlib
+import math
 import random
+from collections import Counter
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import Window
@@ -6,6 +10,7 @@ from pyspark.sql import functions as F
 
 from platewise.operators import counting
 from platewise.operators.relational import decile
+from platewise.plans import ml
 
 SCHEMA = "g string, v long, t string, c int, decile string"
 
@@ -51,3 +56,56 @@ def test_only_values_across_a_border_go_on(spark, monkeypatch):
 
 def test_empty(spark):
     assert counting.decile_by_counting(spark.createDataFrame([], SCHEMA).drop("decile"), "g", "v", "t").count() == 0
+
+
+def digest(x):
+    return hashlib.md5(("" if x is None else str(x)).encode()).hexdigest()
+
+
+def cut(df, borders):
+    return counting.cut_by_counting(df, [F.col("k"), F.col("t")], lambda n: borders)
+
+
+@pytest.mark.parametrize("borders", [[0, 1], [1], [250, 251, 900], [999, 1000], [1000, 5000], []])
+def test_cut_equals_sorting_by_digests(spark, borders):
+    data = [(i // 3, f"row {i}") for i in range(1000)]  # three rows of each key
+    out = cut(spark.createDataFrame(data, "k long, t string").repartition(5), borders)
+    order = sorted(data, key=lambda r: (digest(r[0]), digest(r[1])))
+    want = [(*r, sum(i >= b for b in borders)) for i, r in enumerate(order)]
+    assert sorted(map(tuple, out.collect())) == sorted(want)
+
+
+def test_cut_through_equal_rows(spark):
+    """A hot key whose rows are all equal holds every border."""
+    hot = [(None, "same")] * 700
+    first = [(i, "x") for i in range(3000) if digest(i) < digest(None)][:60]
+    last = [(i, "x") for i in range(3000) if digest(i) > digest(None)][:240]
+    out = cut(spark.createDataFrame(hot + first + last, "k long, t string").repartition(9), [100, 300, 759, 800])
+    found = Counter((r.k is None, r.part) for r in out.collect())
+    assert found == {(False, 0): 60, (True, 0): 40, (True, 1): 200, (True, 2): 459, (True, 3): 1, (False, 3): 40, (False, 4): 200}
+
+
+def test_cut_on_one_digit_of_the_digest(spark, monkeypatch):
+    """Short steps: borders go through many histograms."""
+    monkeypatch.setattr(counting, "STEP", 1)
+    data = [(i, "x") for i in range(300)]
+    out = cut(spark.createDataFrame(data, "k long, t string"), [77, 78])
+    order = sorted(range(300), key=digest)
+    assert {r.k: r.part for r in out.collect()} == {k: (i >= 77) + (i >= 78) for i, k in enumerate(order)}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5, 7, 60, 101])
+def test_split_sizes_are_exact(spark, n):
+    df = spark.createDataFrame([(i if i % 5 else None, "clash", i % 2) for i in range(n)], "key long, t string, split_of int")
+    out = ml.split_exact(df, "key", 7)
+    test = math.ceil(Fraction(n, 5))
+    val = math.ceil(Fraction(15, 100) * (n - test))
+    got = Counter(r.split for r in out.collect())
+    assert [got["test"], got["val"], got["train"]] == [test, val, n - test - val]
+    assert sorted(map(repr, out.drop("split").collect())) == sorted(map(repr, df.collect()))
+
+
+def test_split_moves_no_rows(spark):
+    df = spark.range(5000).withColumnRenamed("id", "key")
+    plan = ml.split_exact(df, "key", 7)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan
