@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from platewise.functions.arrays import argmax, key_json, max_prob, tagged_names
 from platewise.functions.text import clean_text, normalise_name, percentile_label
 from platewise.operators import relational as R
+from platewise.operators.screening import not_in_screened
 from platewise.plans import gold, lists, ml, tagging
 from platewise.schemas import DISH_TAGGING
-from platewise.session import work_path
+from platewise.session import durable, work_path
 from platewise.sources import sinks
 from platewise.sources.fixtures import (
     EXCLUDE,
@@ -220,6 +221,13 @@ def anti_not_in_nullaware(spark, sf):
     return tagging.new_menus(menu.unionByName(lost), f.dish_tagging())
 
 
+def anti_not_in_screened(spark, sf):
+    """Ordered menus that no tag names, with their order lines: counted first, then against the tag table."""
+    f = _f(spark, sf)
+    counts = durable(f.order_item().groupBy("menu_id").agg(F.count(F.lit(1)).alias("n_lines")))
+    return not_in_screened(counts, f.dish_tagging(), "menu_id")
+
+
 def lookup_strict(spark, sf):
     f = _f(spark, sf)
     m = f.menu().withColumn("_name", normalise_name("menu_name"))
@@ -569,6 +577,7 @@ OPERATOR_QUERIES = {
     "join_decile_back": join_decile_back,
     "anti_changed_rows": anti_changed_rows,
     "anti_not_in_nullaware": anti_not_in_nullaware,
+    "anti_not_in_screened": anti_not_in_screened,
     "lookup_strict": lookup_strict,
     "lookup_passthrough": lookup_passthrough,
     "lookup_left_id": lookup_left_id,

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from platewise.functions.text import normalise_name
 from platewise.operators.relational import attach_id, decode_label, map_or_self, not_in
+from platewise.operators.screening import not_in_screened
 from platewise.plans.ml import predict
 from platewise.schemas import DISH_TAGGING
 from platewise.sources.tables import guard_nonempty
@@ -18,6 +19,12 @@ def new_menus(menu: DataFrame, tagged: DataFrame, null_aware: bool = True) -> Da
     return not_in(menu.select("menu_id", "menu_name"), tagged, "menu_id", null_aware=null_aware)
 
 
+def new_menus_of_batch(batch: DataFrame, tagged: DataFrame, null_aware: bool = True) -> DataFrame:
+    """:func:`new_menus` for a delivery of menus against a tag table many times its size: the tag
+    table is screened where it lies and only the tags that the batch may meet are joined."""
+    return not_in_screened(batch.select("menu_id", "menu_name"), tagged, "menu_id", null_aware=null_aware)
+
+
 def nothing_new(menu: DataFrame, tagged: DataFrame, null_aware: bool = True) -> bool:
     """True if every menu is tagged already (reads until the first one that is not)."""
     return new_menus(menu, tagged, null_aware).isEmpty()
