@@ -13,7 +13,7 @@ from platewise.functions.arrays import argmax, key_json, max_prob, tagged_names
 from platewise.functions.text import clean_text, normalise_name, percentile_label
 from platewise.operators import relational as R
 from platewise.operators.screening import not_in_screened
-from platewise.plans import gold, lists, ml, tagging
+from platewise.plans import calibration, gold, lists, ml, tagging
 from platewise.schemas import DISH_TAGGING
 from platewise.session import durable, work_path
 from platewise.sources import sinks
@@ -467,8 +467,8 @@ def _text_data(spark, sf):
     return ml.split(ml.encode_labels(td, "dish_type_l3", ml.fit_labels(td, "dish_type_l3")), "key", SEED)
 
 
-def _softmax_layer(classes: int = 10, width: int = 64):
-    return [[((i * 7 + j * 3) % 11 - 5) / ZERO_SHARE for j in range(width)] for i in range(classes)]
+def _softmax_layer(classes: int = 10, width: int = 64, share: float = ZERO_SHARE):
+    return [[((i * 7 + j * 3) % 11 - 5) / share for j in range(width)] for i in range(classes)]
 
 
 def udf_batch_predict(spark, sf):
@@ -478,6 +478,26 @@ def udf_batch_predict(spark, sf):
     return s.select("key", "category_id", F.round("prob", 5).alias("prob"))
 
 
+def _softmax_bins(spark, sf) -> DataFrame:
+    """Reliability of an external softmax layer, too sure of itself, on the vectors' labels."""
+    v = _f(spark, sf).vector_data()
+    s = ml.score(v, "embedding", ml.softmax_predict_fn(_softmax_layer(share=2.5), [0.0] * 10), batch_size=1024, width=64)
+    return durable(calibration.reliability(s.withColumn("prob", F.round("prob", 5)), bins=20))
+
+
+def ml_reliability(spark, sf):
+    return _softmax_bins(spark, sf)
+
+
+def ml_calibration_error(spark, sf):
+    return calibration.calibration_error(_softmax_bins(spark, sf))
+
+
+def ml_calibrate(spark, sf):
+    """Every bin's probability after pooling adjacent violators."""
+    return calibration.calibrated_bins(_softmax_bins(spark, sf)).select("bin", "n", "hits", "calibrated")
+
+
 def ml_label_encode(spark, sf):
     """Every row's label as its class id, and back to the name."""
     td = _f(spark, sf).training_data()
@@ -615,6 +635,9 @@ OPERATOR_QUERIES = {
     "fn_tagged_list": fn_tagged_list,
     "fn_key_json": fn_key_json,
     "udf_batch_predict": udf_batch_predict,
+    "ml_reliability": ml_reliability,
+    "ml_calibration_error": ml_calibration_error,
+    "ml_calibrate": ml_calibrate,
     "ml_split": ml_split,
     "ml_split_exact": ml_split_exact,
     "ml_train_text": ml_train_text,
