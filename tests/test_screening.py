@@ -72,3 +72,11 @@ def test_a_batch_joins_few_rows_of_a_large_table(spark, monkeypatch):
     assert screening.not_in_screened(batch, table, "k").count() == 100
     near = next(t for t in kept if t.columns == ["_ni_key"])
     assert 100 <= near.count() < 2_000
+
+
+def test_menus_of_a_batch(spark):
+    from platewise.plans import tagging
+
+    batch = spark.createDataFrame([(1, "Rice", "x"), (2, "Soup", "x"), (None, "Tea", "x"), (3, None, "x")], "menu_id long, menu_name string, _maybe string")
+    tagged = spark.createDataFrame([(2, "Soup")], "menu_id long, menu_name string")
+    assert rows(tagging.new_menus_of_batch(batch, tagged)) == [(1, "Rice"), (3, None)]
