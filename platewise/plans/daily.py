@@ -16,9 +16,11 @@ from dataclasses import dataclass, replace
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from platewise.plans import gold, lists, ml, tagging
 from platewise.sources import sinks
+from platewise.sources.ledger import Ledger
 
 
 @dataclass
@@ -124,3 +126,32 @@ def run_day(spark: SparkSession, src: Inputs, out: Layout, busi_dt, tags: DataFr
     """Gold tables then lists for one day (tagging runs before, see :func:`tag_new_menus`)."""
     gold_tables(spark, src, tags, out, busi_dt, windows)
     return list_table(spark, src, out, busi_dt, exclude, k)
+
+
+def publish_day(spark: SparkSession, src: Inputs, ledger: Ledger, busi_dt, tags: DataFrame,
+                exclude: Sequence[str] = (), k: int = 10,
+                windows: Sequence[int] = (1, 7, 30, 120, 365)) -> int:
+    """:func:`run_day` whose tables become visible by one commit; the ledger's new number.
+
+    Readers (``ledger.read``, for the area table ``ledger.read_days``) see the day before in
+    full until all tables are stored.  A rerun builds on the day before it, as the first run
+    did, and takes that run's place; days after it that are published already keep their
+    tables until they are rerun too.  Raises where another run was published meanwhile.
+    """
+    busi = busi_dt if isinstance(busi_dt, dt.date) else dt.date.fromisoformat(str(busi_dt))
+    run = ledger.begin(spark, busi)
+    area = run.write("area_category", gold.area_category(src.orders, src.items, src.shop, src.address, tags, [busi], windows))
+    base = gold.user_dish_counts(src.orders, src.items, tags).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        customers = run.write("customer_category", gold.customer_category(None, None, None, busi, base=base))
+        run.write("menu_category", gold.menu_category(None, None, None, busi, base=base))
+    finally:
+        base.unpersist()
+    shops, earlier = run.write("shop_category", gold.shop_category(src.orders, src.items, tags, busi)), run.before("shop_category")
+    run.write("shop_category_change", shops if earlier is None else gold.shop_category_change(shops, earlier, busi))
+    made = lists.customer_lists(customers, lists.popular_dishes(area, 7, exclude), src.id_map, busi, exclude, k)
+    made = sinks.fail_on_duplicates(made.where(F.col("user_id").isNotNull()), ["user_id"])
+    made = run.write("customer_category_list_batch", made)
+    stored = run.write("customer_category_list", sinks.merge_by_key(run.before("customer_category_list"), made, ["user_id"]))
+    run.write("customer_category_kv", lists.to_kv(stored))
+    return run.publish()

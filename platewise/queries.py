@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from platewise.plans import gold, incremental, lists
+from platewise.plans import daily, gold, incremental, lists
 from platewise.session import work_path
-from platewise.sources import keyed, sinks
+from platewise.sources import keyed, ledger, sinks
 from platewise.sources.fixtures import (
     EXCLUDE,
     LIST_K,
@@ -191,6 +191,31 @@ def customer_category_incremental(spark: SparkSession, sf: str) -> DataFrame:
     return state.read(spark, RUN_DATE)
 
 
+def _two_published_days(f: Fixtures) -> ledger.Ledger:
+    """The previous run date with the orders of before, then the run date."""
+    book, o = ledger.Ledger(work_path(f.spark, "published")), f.order_transaction()
+    for run, orders in ((PREV_RUN_DATE, o.where(F.col("order_date") < F.lit(PREV_CUTOFF))), (RUN_DATE, o)):
+        src = daily.Inputs(orders, f.order_item(), f.shop(), f.address(), f.menu(), f.dish_type_encoder(), f.category_name_mapper(),
+                           f.category_id_mapper())
+        daily.publish_day(f.spark, src, book, run, f.dish_tagging(), EXCLUDE, LIST_K, WINDOWS)
+    return book
+
+
+def published_shop_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Shops whose top category changed between two published days, read through the ledger."""
+    return _two_published_days(Fixtures(spark, sf)).read(spark, "shop_category_change")
+
+
+def published_lists(spark: SparkSession, sf: str) -> DataFrame:
+    """The list table after two published days, read through the ledger."""
+    return _two_published_days(Fixtures(spark, sf)).read(spark, "customer_category_list")
+
+
+def published_area_days(spark: SparkSession, sf: str) -> DataFrame:
+    """The area rows of both published days."""
+    return _two_published_days(Fixtures(spark, sf)).read_days(spark, "area_category", PREV_RUN_DATE, RUN_DATE)
+
+
 QUERIES: dict[str, Query] = {
     "customer_category": customer_category,
     "menu_category": menu_category_faithful,
@@ -210,6 +235,9 @@ QUERIES: dict[str, Query] = {
     "lookup_pruned": lookup_pruned,
     "area_windows_incremental": area_windows_incremental,
     "customer_category_incremental": customer_category_incremental,
+    "published_shop_changes": published_shop_changes,
+    "published_lists": published_lists,
+    "published_area_days": published_area_days,
     # the same jobs under the names of the operators they are made of
     "join_decile_fanout": menu_category_faithful,
     "lookup_with_default": serve_recommendations,

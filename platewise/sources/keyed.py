@@ -22,7 +22,6 @@ of any size spreads over all buckets.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from platewise.session import work_path
-from platewise.sources.sinks import _fs, union_evolve
+from platewise.sources.sinks import ConcurrentWriteError, _fs, commit_json, read_json, union_evolve
 
 BUCKET, VERSION = "platewise_bucket", "platewise_v"
 BUCKET_BYTES = 128 << 20  # of a first write's parquet in one bucket
@@ -38,10 +37,6 @@ MIN_BUCKETS = 8
 MOST_KEYS = 1000  # requested keys that are sent to the scan one by one
 
 
-class ConcurrentWriteError(RuntimeError):
-    """Another write committed the same version first."""
-
-
 def _in_all_buckets(df: DataFrame, group: Sequence[str], buckets: int, only: Column | None = None) -> DataFrame:
     """A NULL group lies in all buckets, so its rows (where ``only`` holds) are repeated for each;
     for the others the bucket number stays NULL."""
@@ -74,25 +69,10 @@ class PartitionedTable:
         return self._list(spark, done[-1]) if done else None
 
     def _list(self, spark: SparkSession, number: int) -> dict:
-        fs, p = _fs(spark, f"{self.root}/versions/{number:010d}.json")
-        stream = fs.open(p)
-        try:
-            return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return read_json(spark, f"{self.root}/versions/{number:010d}.json")
 
     def _commit(self, spark: SparkSession, made: dict) -> None:
-        name = f"{made['version']:010d}.json"
-        fs, folder = _fs(spark, f"{self.root}/versions")
-        fs.mkdirs(folder)
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-        draft, final = path(folder, f".{uuid.uuid4().hex}"), path(folder, name)
-        out = fs.create(draft, False)
-        out.write(bytearray(json.dumps(made).encode()))
-        out.close()
-        if fs.exists(final) or not fs.rename(draft, final):
-            fs.delete(draft, False)
-            raise ConcurrentWriteError(f"{self.root}: version {made['version']} was committed by another write")
+        commit_json(spark, f"{self.root}/versions", f"{made['version']:010d}.json", made)
 
     # ----------------------------------------------------------- reading ----
 

@@ -7,6 +7,8 @@ version directory and switch to it only after the write committed.
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +21,10 @@ class DuplicateKeyError(ValueError):
     """An upsert batch holds a key twice."""
 
 
+class ConcurrentWriteError(RuntimeError):
+    """Another write committed the same version first."""
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -38,6 +44,29 @@ def _versions(spark: SparkSession, root: str, committed_only: bool = True) -> li
     return sorted(out)
 
 
+def read_json(spark: SparkSession, path: str) -> dict:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def commit_json(spark: SparkSession, folder: str, name: str, made: dict) -> None:
+    """Make ``folder/name`` appear at once, whole; raises if another write has made it already."""
+    fs, p = _fs(spark, folder)
+    fs.mkdirs(p)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    draft, final = path(p, f".{uuid.uuid4().hex}"), path(p, name)
+    out = fs.create(draft, False)
+    out.write(bytearray(json.dumps(made).encode()))
+    out.close()
+    if fs.exists(final) or not fs.rename(draft, final):
+        fs.delete(draft, False)
+        raise ConcurrentWriteError(f"{folder}: {name} was committed by another write")
+
+
 def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("busi_dt",),
                  idempotent: bool = True) -> None:
     """Add a day (or days) to a table partitioned by ``partition_by``.
