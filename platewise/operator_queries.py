@@ -13,7 +13,7 @@ from platewise.functions.arrays import argmax, key_json, max_prob, tagged_names
 from platewise.functions.text import clean_text, normalise_name, percentile_label
 from platewise.operators import relational as R
 from platewise.operators.screening import not_in_screened
-from platewise.plans import calibration, gold, lists, ml, tagging
+from platewise.plans import calibration, embedding, gold, lists, ml, tagging
 from platewise.schemas import DISH_TAGGING
 from platewise.session import durable, work_path
 from platewise.sources import sinks
@@ -522,6 +522,13 @@ def ml_train_text(spark, sf):
     return pred.select("key", "label", "category_id", "prob")
 
 
+def ml_train_embedding_bag(spark, sf):
+    """``ml_train_text``'s task by an embedding bag that learns in copies, steered by the ``val`` rows."""
+    data = _text_data(spark, sf)
+    pred = embedding.predict(embedding.train(data, "dish_name"), data.where(F.col("split") == "test"), "dish_name")
+    return pred.select("key", "label", "category_id", "prob")
+
+
 def ml_evaluate(spark, sf):
     """Loss and accuracy of the tagging model on the test menus (a class is a name here, so the
     model has seen every name; ``ml_train_text`` scores unseen texts)."""
@@ -641,6 +648,7 @@ OPERATOR_QUERIES = {
     "ml_split": ml_split,
     "ml_split_exact": ml_split_exact,
     "ml_train_text": ml_train_text,
+    "ml_train_embedding_bag": ml_train_embedding_bag,
     "ml_train_vector": ml_train_vector,
     "ml_predict": ml_predict,
     "ml_predict_class": ml_predict_class,
