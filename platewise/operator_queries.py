@@ -474,7 +474,7 @@ def _softmax_layer(classes: int = 10, width: int = 64, share: float = ZERO_SHARE
 def udf_batch_predict(spark, sf):
     """An external softmax layer scored in Arrow batches; probabilities to six places."""
     v = _f(spark, sf).vector_data()
-    s = ml.score(v, "embedding", ml.softmax_predict_fn(_softmax_layer(), [0.0] * 10), batch_size=1024, width=64)
+    s = ml.score(v, "embedding", ml.shipped_softmax_predict_fn(spark, _softmax_layer(), [0.0] * 10), batch_size=1024, width=64)
     return s.select("key", "category_id", F.round("prob", 5).alias("prob"))
 
 
@@ -482,7 +482,8 @@ def _softmax_bins(spark, sf) -> DataFrame:
     """Reliability of an external softmax layer, too sure of itself, on the vectors' labels."""
     v = _f(spark, sf).vector_data()
     s = ml.score(v, "embedding", ml.softmax_predict_fn(_softmax_layer(share=2.5), [0.0] * 10), batch_size=1024, width=64)
-    return durable(calibration.reliability(s.withColumn("prob", F.round("prob", 5)), bins=20))
+    single = F.col("prob").cast("float").cast("double")  # stored scores are in single precision
+    return durable(calibration.reliability(s.withColumn("prob", F.round(single, 5)), bins=20))
 
 
 def ml_reliability(spark, sf):

@@ -10,11 +10,12 @@ import math
 from collections.abc import Callable
 from fractions import Fraction
 
+from pyspark import SparkFiles
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,10 @@ from platewise.functions.arrays import argmax, max_prob
 from platewise.functions.text import clean_text
 from platewise.operators.counting import cut_by_counting
 from platewise.operators.relational import sized_broadcast
+from platewise.session import work_path
+from platewise.sources.sinks import _fs
+
+SHIP_BYTES = 8 << 20  # of an array written at once
 
 
 def fit_labels(df: DataFrame, label_col: str) -> DataFrame:
@@ -165,35 +170,85 @@ def evaluate(pred: DataFrame, label_col: str = "label", probs_col: str = "probs"
 
 
 def score(df: DataFrame, col: str, make_predict_fn: Callable, batch_size: int = 1024,
-          width: int | None = None) -> DataFrame:
+          width: int | None = None, size: Column | None = None) -> DataFrame:
     """Score ``col`` with an external model in Arrow batches of ``batch_size``.
 
+    With ``size`` (a text's length, say) the rows of a partition come to the model in that
+    order, so a model that pads a batch to its longest row pads little.  The sort is the
+    partition's own: nothing is shuffled, and it spills.
+
     ``make_predict_fn`` is called once per Python worker and returns a function
     from a NumPy batch to a batch of probability rows (the Keras-style
     ``predict``).  The result gets ``category_id`` and ``prob`` as in
     :func:`predict`.
     """
     kw = {"input_tensor_shapes": [[width]]} if width else {}
-    udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
+    udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.DoubleType()),
                             batch_size=batch_size, **kw)
+    if size is not None:
+        df = df.sortWithinPartitions(size)
     s = df.withColumn("probs", udf(col))
     return s.withColumns({"category_id": argmax("probs"), "prob": max_prob("probs")})
 
 
+def _softmax_layer(w, b) -> Callable:
+    import numpy as np
+
+    def run(x):
+        z = np.asarray(x, dtype=np.float64) @ w.T + b
+        z = z - z.max(axis=1, keepdims=True)
+        e = np.exp(z)
+        return e / e.sum(axis=1, keepdims=True)
+    return run
+
+
 def softmax_predict_fn(weights, bias) -> Callable:
-    """A ``make_predict_fn`` for a softmax layer given as NumPy arrays."""
+    """A ``make_predict_fn`` for a softmax layer given as NumPy arrays (in every task; for a
+    layer of some size see :func:`shipped_softmax_predict_fn`)."""
     def make():
         import numpy as np
 
-        w = np.asarray(weights, dtype=np.float64)
-        b = np.asarray(bias, dtype=np.float64)
+        return _softmax_layer(np.asarray(weights, dtype=np.float64), np.asarray(bias, dtype=np.float64))
+    return make
 
-        def run(x):
-            z = np.asarray(x, dtype=np.float64) @ w.T + b
-            z = z - z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            return (e / e.sum(axis=1, keepdims=True)).astype(np.float32)
-        return run
+
+def ship_array(spark: SparkSession, array, name: str = "array") -> str:
+    """Write an array once to the shared folder and let Spark bring it to every executor
+    (``addFile``); the name for :func:`open_array`."""
+    import io
+
+    import numpy as np
+
+    buffer = io.BytesIO()
+    np.save(buffer, np.ascontiguousarray(array))
+    path = f"{work_path(spark, name)}.npy"
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    view = buffer.getvalue()
+    for at in range(0, len(view), SHIP_BYTES):
+        out.write(bytearray(view[at:at + SHIP_BYTES]))
+    out.close()
+    spark.sparkContext.addFile(p.makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString())
+    return path.rsplit("/", 1)[-1]
+
+
+def open_array(name: str):
+    """A shipped array in a Python worker, mapped from the executor's file: the workers of an
+    executor share its pages, and only what is used is read."""
+    import numpy as np
+
+    return np.load(SparkFiles.get(name), mmap_mode="r")
+
+
+def shipped_softmax_predict_fn(spark: SparkSession, weights, bias) -> Callable:
+    """:func:`softmax_predict_fn` whose tasks carry two file names, whatever the layer's size."""
+    import numpy as np
+
+    w = ship_array(spark, np.asarray(weights, dtype=np.float64), "weights")
+    b = ship_array(spark, np.asarray(bias, dtype=np.float64), "bias")
+
+    def make():
+        return _softmax_layer(open_array(w), open_array(b))
     return make
 
 
@@ -203,6 +258,6 @@ def identity_predict_fn() -> Callable:
         import numpy as np
 
         def run(x):
-            return np.asarray(x, dtype=np.float32)
+            return np.asarray(x, dtype=np.float64)
         return run
     return make
