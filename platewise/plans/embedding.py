@@ -37,6 +37,7 @@ ROWS_AT_ONCE = 512
 FAN = 16  # copies averaged by one task
 MODEL_BYTES = 256 << 20  # largest model that is broadcast
 ROWS_PER_LEARNER = 4096  # fewer rows aren't worth a copy of the model
+MOST_ROWS = 1 << 15  # rows that one learner goes through in an epoch, so a task's time doesn't grow with the input
 HASH = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
 
@@ -264,7 +265,8 @@ def train(data: DataFrame, text_col: str, label_col: str = "label", shape: Shape
     ``stop_after`` such epochs in a row end the training, and the best epoch's model is
     returned.  Without ``val`` rows all epochs run.  ``val`` rows of a class above all trained
     ones (and above ``shape.classes``) have no probability and aren't measured.
-    ``learners`` defaults to a copy per ``ROWS_PER_LEARNER`` rows, at most the cluster's cores.
+    ``learners`` defaults to a copy per ``ROWS_PER_LEARNER`` rows, at most the cluster's cores,
+    and beyond that to one per ``MOST_ROWS`` rows.
     """
     spark = data.sparkSession
     sc = spark.sparkContext
@@ -275,7 +277,7 @@ def train(data: DataFrame, text_col: str, label_col: str = "label", shape: Shape
     shape = replace(shape or Shape(0), classes=max(known.top + 1, shape.classes if shape else 0))
     if 8 * sum(shape.sizes()) > MODEL_BYTES:
         raise ValueError(f"a model of {8 * sum(shape.sizes())} bytes is above the broadcast bound of {MODEL_BYTES}")
-    learners = learners or max(1, min(sc.defaultParallelism, known.n // ROWS_PER_LEARNER))
+    learners = learners or max(1, min(sc.defaultParallelism, known.n // ROWS_PER_LEARNER), -(-known.n // MOST_ROWS))
     seen = _bag_rows(data.where(F.col("split") == "train"), text_col, label_col, shape)
     seen = durable(seen.repartition(learners, "spread").sortWithinPartitions("spread")).drop("spread").coalesce(learners)
     held = durable(_bag_rows(data.where((F.col("split") == "val") & (F.col(label_col) < shape.classes)), text_col, label_col, shape))
