@@ -32,8 +32,10 @@ def _norm(c):
 _STORED: dict[tuple[str, str, str], tuple[str, str]] = {}
 
 #: Order tables are stored bucketed by order_id, so the jobs join them without a
-#: shuffle (see ``sinks.write_bucketed``); a bucket gets about so many input bytes.
+#: shuffle (see ``sinks.write_bucketed``); a bucket gets about so many bytes of rows.
 BUCKET_BYTES = 256 << 20
+UNPACKED = 16  # bytes that a task holds, sorted and counted, for a byte of compressed input
+MOST_BUCKETS = 100_000  # Spark's own bound
 _BUCKETED = {"order_transaction": ["order_id"], "order_item": ["order_id"]}
 
 
@@ -42,6 +44,11 @@ def bucket_count(total_bytes: int, at_least: int = 8) -> int:
     return max(at_least, -(-total_bytes // BUCKET_BYTES))
 
 
+def order_buckets(stored_bytes: int) -> int:
+    """Buckets for order tables made of ``stored_bytes`` of parquet, of which one task takes a bucket."""
+    return min(MOST_BUCKETS, bucket_count(UNPACKED * stored_bytes))
+
+
 def input_bytes(spark: SparkSession, paths: list[str]) -> int:
     """Bytes below the paths, by the file system that holds them."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -66,7 +73,7 @@ def stored(method):
             if name in _BUCKETED:
                 table = f"platewise_{name}_{path.rsplit('-', 1)[-1][:12]}"
                 size = input_bytes(self.spark, [f"{self.sf_dir}/{t}.parquet" for t in ("orders", "lineitem")])
-                write_bucketed(df, table, path, _BUCKETED[name], bucket_count(size))
+                write_bucketed(df, table, path, _BUCKETED[name], order_buckets(size))
                 _STORED[key] = ("table", table)
             else:
                 df.write.parquet(path)

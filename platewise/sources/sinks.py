@@ -89,10 +89,11 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], bu
     shuffle (Spark reads matching buckets together), so storing orders and
     order lines bucketed by ``order_id`` removes the largest shuffle from every
     daily job.  ``partition_by`` adds directory partitions (e.g. the order
-    month) for pruning; buckets still line up across partitions.  Returns the
-    table as read back.
+    month) for pruning; buckets still line up across partitions.  The rows are dealt
+    to their buckets before the write, so a bucket is one task's and one file (per
+    partition), not one per task that met it.  Returns the table as read back.
     """
-    w = df.write.mode("overwrite")
+    w = df.repartition(buckets, *keys).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)

@@ -94,6 +94,21 @@ def test_bucket_count_grows_with_the_input(spark):
     assert fixtures.input_bytes(spark, [f"{SF_SMALL}/orders.parquet"]) > 10_000
 
 
+def test_an_order_bucket_holds_no_more_where_the_input_grows(spark):
+    import uuid
+
+    from platewise.session import work_path
+    from platewise.sources import fixtures, sinks
+
+    for stored_bytes in (1 << 30, 6 << 30, 60 << 30):
+        assert stored_bytes / fixtures.order_buckets(stored_bytes) <= 16 << 20
+    assert fixtures.order_buckets(1 << 50) == 100_000  # Spark takes no more
+    name = f"orders_{uuid.uuid4().hex[:8]}"
+    rows = spark.range(10_000).withColumnRenamed("id", "order_id").repartition(20)
+    stored = sinks.write_bucketed(rows, name, work_path(spark, name), ["order_id"], 8)
+    assert len(stored.inputFiles()) == 8 and stored.distinct().count() == 10_000  # a file per bucket, not per task
+
+
 def test_cluster_without_shared_folder_is_an_error():
     import pytest
 
