@@ -32,8 +32,9 @@ from platewise.session import work_path
 from platewise.sources.sinks import ConcurrentWriteError, _fs, commit_json, read_json, union_evolve
 
 BUCKET, VERSION = "platewise_bucket", "platewise_v"
-BUCKET_BYTES = 128 << 20  # of a first write's parquet in one bucket
+BUCKET_BYTES = 4 << 20  # of a first write's parquet in one bucket, which one task holds unpacked and sorted
 MIN_BUCKETS = 8
+APART = 4  # tasks per touched bucket: numbers that hash alike share one, so room keeps most of them apart
 MOST_KEYS = 1000  # requested keys that are sent to the scan one by one
 
 
@@ -174,7 +175,7 @@ class PartitionedTable:
         if touched:
             old = None if listed["schema"] is None else self._rows(spark, listed, touched).withColumn("_new", F.lit(0))
             both = batch if old is None else union_evolve(old, batch)
-            out = combine(both.repartition(len(touched), BUCKET)).drop("_new")
+            out = combine(both.repartition(APART * len(touched), BUCKET)).drop("_new")
             number = max([0, *self._numbers(spark, "data"), *self._numbers(spark, "versions")]) + 1
             self._write(spark, listed, out, touched, number, note)
         fs, p = _fs(spark, path)

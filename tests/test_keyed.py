@@ -101,6 +101,27 @@ def test_new_columns_and_bucket_count(spark):
     assert got == {"a": (1, None), "b": (3, "x")} and t.version(spark)["buckets"] == keyed.MIN_BUCKETS
 
 
+def test_buckets_stay_small_and_apart(spark, monkeypatch):
+    t = table(spark)
+    seen = []
+    real = keyed.PartitionedTable._write
+
+    def kept(self, s, listed, out, *rest):
+        tasks = out.groupBy(F.spark_partition_id()).agg(F.countDistinct(keyed.BUCKET).alias("n")).collect()
+        seen.append(max(r.n for r in tasks))
+        real(self, s, listed, out, *rest)
+
+    monkeypatch.setattr(keyed.PartitionedTable, "_write", kept)
+    monkeypatch.setattr(keyed, "BUCKET_BYTES", 1 << 10)  # a small stand-in for a large first write
+    t.upsert(frame(spark, [(f"key{i}", i) for i in range(20_000)]))
+    assert t.version(spark)["buckets"] > keyed.MIN_BUCKETS and seen[0] <= 3
+    assert len(rows(t.read(spark))) == 20_000
+
+
+def test_a_first_write_makes_buckets_that_one_task_holds():
+    assert keyed.BUCKET_BYTES <= 8 << 20  # of parquet, unpacked some 30 times that
+
+
 def test_add_with_retractions(spark):
     t = table(spark, ["u", "d"], bucket_by=["u"], buckets=8)
     df = lambda x: spark.createDataFrame(x, "u string, d string, n long")
