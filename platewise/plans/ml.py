@@ -23,10 +23,14 @@ from platewise.functions.arrays import argmax, max_prob
 from platewise.functions.text import clean_text
 from platewise.operators.counting import cut_by_counting
 from platewise.operators.relational import sized_broadcast
-from platewise.session import work_path
+from platewise.session import durable, work_path
 from platewise.sources.sinks import _fs
 
 SHIP_BYTES = 8 << 20  # of an array written at once
+TEXT_BYTES = 16 << 20  # of texts that one task turns into features
+NAMES = 1 << 16  # rows that one task turns into features, however short
+FEW = 256  # fewer rows aren't worth a task
+SCORING_TASKS = 4  # per core; rows stream through them, so they hold no more where the input grows
 
 
 def fit_labels(df: DataFrame, label_col: str) -> DataFrame:
@@ -115,8 +119,26 @@ def with_clean_text(df: DataFrame, text_col: str) -> DataFrame:
     return df.withColumn("_clean", F.coalesce(clean_text(text_col), F.lit("")))
 
 
+def spread(df: DataFrame, text_col: str) -> DataFrame:
+    """The rows at random over as many tasks as their texts' bytes and their number ask for, and
+    at least over the cluster's cores.
+
+    Features cost far more per byte than a scan, whose splits follow stored (compressed)
+    bytes: millions of names can lie in one split.  Takes a count of the rows.
+    """
+    known = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+    least = min(df.sparkSession.sparkContext.defaultParallelism, -(-known.n // FEW))
+    return df.repartition(max(1, least, -(-known.n // NAMES), -(-(known.bytes or 0) // TEXT_BYTES)))
+
+
 def train_text(df: DataFrame, text_col: str, label_col: str = "label", **kw) -> PipelineModel:
-    return text_pipeline(label_col, **kw).fit(with_clean_text(df, text_col))
+    """The fitted :func:`text_pipeline`, stage by stage: texts become hashed counts once, which are
+    stored, and both the inverse frequencies and the regression are fitted on those."""
+    *hashed, idf, layer = text_pipeline(label_col, **kw).getStages()
+    rows = with_clean_text(spread(df.select(text_col, label_col), text_col), text_col)
+    counted = durable(PipelineModel(hashed).transform(rows).select("_tf", label_col))
+    idf = idf.fit(counted)
+    return PipelineModel([*hashed, idf, layer.fit(idf.transform(counted))])
 
 
 def train_and_validate(data: DataFrame, text_col: str, label_col: str = "label", **kw) -> tuple[PipelineModel, DataFrame]:
@@ -146,9 +168,10 @@ def train_vec(df: DataFrame, vec_col: str = "embedding", label_col: str = "label
 
 def predict(model: PipelineModel, df: DataFrame, text_col: str | None = None,
             vector_col: str | None = None) -> DataFrame:
-    """Score and reduce to ``category_id`` (argmax, first on ties), ``prob`` and ``probs``."""
+    """Score and reduce to ``category_id`` (argmax, first on ties), ``prob`` and ``probs``.  Texts are
+    dealt to all cores first: a scan's splits follow its bytes, and one can hold millions of names."""
     if text_col:
-        df = with_clean_text(df, text_col)
+        df = with_clean_text(df.repartition(SCORING_TASKS * df.sparkSession.sparkContext.defaultParallelism), text_col)
     if vector_col:
         df = df.withColumn("features", array_to_vector(vector_col))
     scored = model.transform(df)

@@ -105,3 +105,30 @@ def test_tune_for_input_leaves_fixed_settings(spark):
         for k in done:
             spark.conf.unset(k)
         spark.conf.set("spark.sql.files.maxPartitionBytes", old_split)
+
+
+def test_names_of_one_split_are_dealt_to_all_cores(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    names = spark.range(3000).selectExpr("id menu_id", "concat('dish ', chr(97 + cast(id % 3 as int))) name", "cast(id % 3 as int) label").coalesce(1)
+    model = ml.train_text(names, "name", num_features=1 << 10, max_iter=10)
+    pred = ml.predict(model, names, text_col="name").cache()
+    assert pred.select(F.spark_partition_id()).distinct().count() > 1
+    assert pred.count() == 3000 and pred.where("category_id <> label").count() == 0
+    assert ml.spread(names, "name").rdd.getNumPartitions() == min(cores, 12)
+    monkeypatch.setattr(ml, "TEXT_BYTES", 300)
+    assert ml.spread(names, "name").rdd.getNumPartitions() == 60  # 18,000 bytes
+    monkeypatch.setattr(ml, "NAMES", 10)
+    assert ml.spread(names, "name").rdd.getNumPartitions() == 300
+    assert ml.spread(names.limit(0), "name").rdd.getNumPartitions() == 1
+
+
+def test_the_text_model_is_the_plain_pipelines(spark):
+    td = Fixtures(spark, SF_SMALL).training_data()
+    data = ml.encode_labels(td, "dish_type_l3", ml.fit_labels(td, "dish_type_l3"))
+    kw = {"num_features": 1 << 10, "max_iter": 10}
+    plain = ml.text_pipeline(**kw).fit(ml.with_clean_text(data, "dish_name"))
+    got = ml.train_text(data, "dish_name", **kw)
+    assert [type(s) for s in got.stages] == [type(s) for s in plain.stages]
+    assert got.stages[-2].docFreq == plain.stages[-2].docFreq and got.stages[-2].numDocs == plain.stages[-2].numDocs
+    a, b = (m.stages[-1].coefficientMatrix.toArray() for m in (got, plain))
+    assert abs(a - b).max() < 1e-6 * abs(b).max()
