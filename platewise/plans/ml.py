@@ -15,6 +15,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF, NGram, RegexTokenizer
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,9 @@ from platewise.sources.sinks import _fs
 
 SHIP_BYTES = 8 << 20  # of an array written at once
 TEXT_BYTES = 16 << 20  # of texts that one task turns into features
+PIECE = 1 << 17  # characters whose n-grams are counted at once
+MOST_KNOWN = 1 << 20  # n-grams whose slots a task remembers
+ROWS_AT_ONCE = 128
 NAMES = 1 << 16  # rows that one task turns into features, however short
 FEW = 256  # fewer rows aren't worth a task
 SCORING_TASKS = 4  # per core; rows stream through them, so they hold no more where the input grows
@@ -131,12 +135,91 @@ def spread(df: DataFrame, text_col: str) -> DataFrame:
     return df.repartition(max(1, least, -(-known.n // NAMES), -(-(known.bytes or 0) // TEXT_BYTES)))
 
 
+def _murmur3(data: bytes, seed: int = 42) -> int:
+    """Murmur3 (x86, 32 bits, signed) of some bytes, as ``HashingTF`` hashes a term."""
+    m, h = 0xFFFFFFFF, seed
+    whole = len(data) // 4 * 4
+    for i in range(0, len(data), 4):
+        k = int.from_bytes(data[i:i + 4], "little") * 0xCC9E2D51 & m
+        h ^= ((k << 15 | k >> 17) & m) * 0x1B873593 & m
+        if i < whole:
+            h = ((h << 13 | h >> 19) & m) * 5 + 0xE6546B64 & m
+    h ^= len(data)
+    h = (h ^ h >> 16) * 0x85EBCA6B & m
+    h = (h ^ h >> 13) * 0xC2B2AE35 & m
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def _gram_counts(texts: list[str], n: int, width: int, known: dict):
+    """(ends, slots, counts) of the texts' character n-grams: a text's slots ascend.  ``known`` holds
+    the slot of each n-gram met before.  Texts are joined by a zero, which cleaned ones don't hold."""
+    import numpy as np
+
+    points = np.frombuffer("\0".join(texts).lower().encode("utf-16-le"), np.uint16)
+    key, count, before = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
+    for at in range(0, max(0, len(points) - n + 1), PIECE):  # a long text comes in pieces
+        piece = points[at:at + PIECE + n - 1]
+        size = len(piece) - n + 1
+        owner = before + np.cumsum(piece == 0)
+        before = owner[size - 1]
+        gram = np.zeros(size, np.uint64)
+        for i in range(n):
+            gram = gram << np.uint64(16) | piece[i:i + size]
+        inside = (owner[:size] == owner[n - 1:]) & (piece[:size] != 0)
+        found, which = np.unique(gram[inside], return_inverse=True)
+        if len(known) > MOST_KNOWN:
+            known.clear()
+        slots = np.zeros(len(found), np.int64)
+        for j, g in enumerate(found.tolist()):
+            slot = known.get(g)
+            if slot is None:
+                term = " ".join(chr(g >> 16 * i & 0xFFFF) for i in range(n - 1, -1, -1))
+                slot = known[g] = _murmur3(term.encode()) % width
+            slots[j] = slot
+        more, times = np.unique(owner[:size][inside] * width + slots[which], return_counts=True)
+        key, which = np.unique(np.concatenate([key, more]), return_inverse=True)
+        count = np.bincount(which, np.concatenate([count, times]), len(key)).astype(np.int64)
+    return np.searchsorted(key, np.arange(len(texts) + 1) * width), key % width, count
+
+
+def hashed_counts(df: DataFrame, stages: list) -> DataFrame:
+    """``PipelineModel(stages).transform(df)`` for the stages before the inverse frequencies.  Characters'
+    n-grams are counted by array operations in Arrow batches, which gives the vectors that the
+    stages give without a string per character and per n-gram; other stages run as they are."""
+    first, hashing = stages[0], stages[-1]
+    plain = (len(stages) == 3 and isinstance(first, RegexTokenizer) and isinstance(stages[1], NGram) and first.getPattern() == ""
+             and first.getGaps() and first.getToLowercase() and first.getMinTokenLength() == 1 and stages[1].getN() <= 4
+             and isinstance(hashing, HashingTF) and not hashing.getBinary() and first.getInputCol() == "_clean")
+    if not plain:
+        return PipelineModel(stages).transform(df)
+    n, width, out = stages[1].getN(), hashing.getNumFeatures(), hashing.getOutputCol()
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        known: dict = {}
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(at, ROWS_AT_ONCE)
+                ends, slots, counts = _gram_counts(part.column("_clean").to_pylist(), n, width, known)
+                ends = pa.array(ends.astype(np.int32))
+                vectors = pa.StructArray.from_arrays(
+                    [pa.array(np.zeros(part.num_rows, np.int8)), pa.array(np.full(part.num_rows, width, np.int32)),
+                     pa.ListArray.from_arrays(ends, pa.array(slots.astype(np.int32))),
+                     pa.ListArray.from_arrays(ends, pa.array(counts.astype(np.float64)))], names=["type", "size", "indices", "values"])
+                yield pa.RecordBatch.from_arrays([*part.columns, vectors], names=[*part.schema.names, out])
+
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, VectorUDT())]))
+
+
 def train_text(df: DataFrame, text_col: str, label_col: str = "label", **kw) -> PipelineModel:
     """The fitted :func:`text_pipeline`, stage by stage: texts become hashed counts once, which are
     stored, and both the inverse frequencies and the regression are fitted on those."""
     *hashed, idf, layer = text_pipeline(label_col, **kw).getStages()
     rows = with_clean_text(spread(df.select(text_col, label_col), text_col), text_col)
-    counted = durable(PipelineModel(hashed).transform(rows).select("_tf", label_col))
+    counted = durable(hashed_counts(rows, hashed).select("_tf", label_col))
     idf = idf.fit(counted)
     return PipelineModel([*hashed, idf, layer.fit(idf.transform(counted))])
 
@@ -174,7 +257,11 @@ def predict(model: PipelineModel, df: DataFrame, text_col: str | None = None,
         df = with_clean_text(df.repartition(SCORING_TASKS * df.sparkSession.sparkContext.defaultParallelism), text_col)
     if vector_col:
         df = df.withColumn("features", array_to_vector(vector_col))
-    scored = model.transform(df)
+    at = next((i for i, stage in enumerate(model.stages) if isinstance(stage, HashingTF)), None) if text_col else None
+    if at is not None:
+        scored = PipelineModel(model.stages[at + 1:]).transform(hashed_counts(df, model.stages[:at + 1]))
+    else:
+        scored = model.transform(df)
     out = scored.withColumn("_p", vector_to_array("probability"))
     out = out.withColumns({"category_id": argmax("_p"), "prob": max_prob("_p"), "probs": F.col("_p")})
     drop = [c for c in out.columns if c.startswith("_") or c in

@@ -132,3 +132,17 @@ def test_the_text_model_is_the_plain_pipelines(spark):
     assert got.stages[-2].docFreq == plain.stages[-2].docFreq and got.stages[-2].numDocs == plain.stages[-2].numDocs
     a, b = (m.stages[-1].coefficientMatrix.toArray() for m in (got, plain))
     assert abs(a - b).max() < 1e-6 * abs(b).max()
+
+
+def test_counted_ngrams_are_the_stages_vectors(spark, monkeypatch):
+    texts = ["", "a", "ab", "abc", "Abc aBC abc", "ส้มตำ ‘x’ ส้มตำ", " ", "﻿yz﻿", "zz" * 40, "กขค" * 9]
+    some = spark.createDataFrame([(i, t) for i, t in enumerate(texts + [None])], "id int, t string")
+    docs = Fixtures(spark, SF_SMALL).training_data().selectExpr("cast(key as int) id", "dish_name t")
+    for n, piece, rows in ((3, 7, some), (2, 1, some), (4, 1 << 20, some), (1, 5, some), (3, 1 << 20, docs), (5, 1 << 20, some)):
+        monkeypatch.setattr(ml, "PIECE", piece)
+        monkeypatch.setattr(ml, "MOST_KNOWN", 4)
+        stages = ml.text_pipeline(ngram=n, num_features=1 << 16).getStages()[:3]
+        clean = ml.with_clean_text(rows, "t")
+        want = {r.id: r._tf for r in PipelineModel(stages).transform(clean).collect()}
+        got = {r.id: r._tf for r in ml.hashed_counts(clean, stages).collect()}
+        assert got == want and ("MapInArrow" in ml.hashed_counts(clean, stages)._jdf.queryExecution().toString()) == (n < 5)
