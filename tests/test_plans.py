@@ -109,6 +109,25 @@ def test_an_order_bucket_holds_no_more_where_the_input_grows(spark):
     assert len(stored.inputFiles()) == 8 and stored.distinct().count() == 10_000  # a file per bucket, not per task
 
 
+def test_shuffles_follow_the_order_tables(spark, monkeypatch):
+    """A task of a shuffle gets no more where the tables grow, whatever number the session began with."""
+    from platewise import session
+    from platewise.sources import fixtures
+
+    number, size = "spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    was = spark.conf.get(number)
+    monkeypatch.setattr(fixtures, "input_bytes", lambda *_: 6 << 30)
+    monkeypatch.setattr(fixtures, "_STORED", {(spark.conf.get("spark.app.id"), "big", "order_item"): ("path", f"{SF_SMALL}/lineitem.parquet")})
+    try:
+        fixtures.Fixtures(spark, "big").order_item()
+        assert int(spark.conf.get(number)) == fixtures.order_buckets(6 << 30) > 300
+        assert spark.conf.get(size) in (str(16 << 20), f"{16 << 20}b")
+        session.size_shuffles(spark, 8)
+        assert int(spark.conf.get(number)) > 300  # raised only
+    finally:
+        spark.conf.set(number, was)
+
+
 def test_cluster_without_shared_folder_is_an_error():
     import pytest
 
