@@ -29,6 +29,7 @@ from platewise.operators.relational import (
     top_k,
 )
 from platewise.operators.skew import split_hot_join
+from platewise.session import durable
 
 SHOP_KEYS = ("shop_id", "shop_name", "shop_category", "category_id", "order_count")
 
@@ -49,17 +50,18 @@ def tagged_lines(orders: DataFrame, items: DataFrame, tags: DataFrame,
     """Order rows x their lines x the line's dish tag (inner: an untagged line
     never survives the original jobs' ``dish IS NOT NULL`` filter).
 
-    Tags are broadcast when their size is proven small; otherwise the lines
-    join them by a shuffle in which hot menus are split off.
+    Tags are broadcast when their size is proven small; otherwise the lines of
+    ``orders`` alone, stored once, join them by a shuffle in which hot menus are
+    split off.  ``orders`` may be a small part of all.
     """
     t = tag_view(tags, drop_empty)
     bt = sized_broadcast(t)
     it = items.select("order_id", "menu_id")
-    if bt is t:  # above the broadcast bound: shuffle join, with hot menus split off
-        lines = split_hot_join(it, t, "menu_id")
-    else:
-        lines = it.join(bt, "menu_id")
-    return orders.join(lines, "order_id")
+    if bt is not t:
+        return orders.join(it.join(bt, "menu_id"), "order_id")
+    # above the broadcast bound; the orders and their lines meet in their buckets
+    lines = split_hot_join(durable(orders.join(it, "order_id")), t, "menu_id")
+    return lines.select("order_id", *[c for c in orders.columns if c != "order_id"], "menu_id", "dish_type_l3", "category_id")
 
 
 def line_counts(orders: DataFrame, items: DataFrame, tags: DataFrame, keys: Sequence[str],
@@ -67,20 +69,17 @@ def line_counts(orders: DataFrame, items: DataFrame, tags: DataFrame, keys: Sequ
     """Order lines per (``keys``, dish, category id) as ``n``, and the latest ``newest``.
 
     With tags of a proven small size the lines meet them by broadcast.  Beyond
-    that, lines are first counted per (keys, menu), which the orders' key allows,
-    so a hot menu moves one row per customer or shop instead of its lines; then
-    the tags are joined and the counts added up.
+    that, orders and lines meet first, in their buckets, and the tags are joined by
+    Spark's choice: a broadcast or one shuffle of lines, of which AQE splits a hot
+    menu's partition (``session.size_shuffles``).  Counting per menu before would
+    shuffle almost as many rows once more, as few customers or shops repeat a menu.
     """
     t = tag_view(tags)
     bt = sized_broadcast(t)
     it = items.select("order_id", "menu_id")
-    dims = [*keys, "dish_type_l3", "category_id"]
     last = [F.max(newest).alias("newest")] if newest else []
-    if bt is not t:
-        return orders.join(it.join(bt, "menu_id"), "order_id").groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *last)
-    per_menu = orders.join(it, "order_id").groupBy(*keys, "menu_id").agg(F.count(F.lit(1)).alias("n"), *last)
-    last = [F.max("newest").alias("newest")] if newest else []
-    return per_menu.join(t, "menu_id").groupBy(*dims).agg(F.sum("n").alias("n"), *last)
+    lines = orders.join(it.join(bt, "menu_id"), "order_id") if bt is not t else orders.join(it, "order_id").join(t, "menu_id")
+    return lines.groupBy(*keys, "dish_type_l3", "category_id").agg(F.count(F.lit(1)).alias("n"), *last)
 
 
 def user_dish_counts(orders: DataFrame, items: DataFrame, tags: DataFrame,
@@ -146,13 +145,14 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
     order_tail = [F.col("user_id").asc_nulls_first(), F.col("category_id").asc()]
     if mode == "faithful":
         # the base has one row per (user, dish, id), so the regrouped counts are all 1 and
-        # the base itself is ranked; the fan-out then reads the stored ranks, not the base again
+        # the base itself is ranked; the fan-out then takes one shuffle of the stored ranks
         ranked = rank_in_group(b.select("user_id", "dish_type_l3", "category_id", "count_order"), "dish_type_l3",
                                order_tail, rank_col="_rank", size_col="_size")
-        dec = ranked.select(F.col("user_id").alias("_u"), F.col("dish_type_l3").alias("_d"),
-                            decile("_rank", "_size").alias("decile"))
-        joined = ranked.join(dec, (F.col("user_id") == F.col("_u")) & (F.col("dish_type_l3") == F.col("_d")),
-                             "left").drop("_u", "_d")
+        # each row once per row of its (user, dish), which are as many as the dish has ids
+        same = Window.partitionBy("user_id", "dish_type_l3")
+        known = F.col("user_id").isNotNull() & F.col("dish_type_l3").isNotNull()
+        found = F.when(known, F.collect_list(decile("_rank", "_size")).over(same)).otherwise(F.array(F.lit(None).cast("int")))
+        joined = ranked.withColumn("_found", found).withColumn("decile", F.explode("_found")).drop("_found")
     elif mode == "by_histogram":
         joined = decile_by_counting(b, "dish_type_l3", "count_order", "user_id", [F.col("category_id").asc()])
         joined = joined.withColumn("decile", F.when(F.col("user_id").isNotNull(), F.col("decile")))

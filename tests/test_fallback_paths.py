@@ -89,3 +89,55 @@ def test_broadcast_bound_counts_bytes(spark):
     assert R.sized_broadcast(df) is not df
     assert R.sized_broadcast(df, max_bytes=10_000) is df and R.sized_broadcast(df, max_rows=9) is df
     assert R.sized_broadcast(df.limit(0), max_bytes=0) is not df
+
+
+def _above_the_bound(monkeypatch):
+    monkeypatch.setattr(gold, "sized_broadcast", lambda df, max_rows=1: R.sized_broadcast(df, 1))
+
+
+def test_lines_meet_large_tags_in_one_shuffle(spark, monkeypatch):
+    """Orders meet their lines first; no count per menu is shuffled before the tags are joined."""
+    f = Fixtures(spark, SF_SMALL)
+    tags = f.dish_tagging().unionByName(f.dish_tagging().limit(5))  # a menu tagged twice counts twice
+    items = f.order_item().unionByName(spark.range(400).select(F.lit(8).cast("long").alias("order_id"), F.lit(3).cast("long").alias("menu_id")))
+    want = [_rows(gold.shop_counts(f.order_transaction(), items, tags)), _rows(gold.user_dish_counts(f.order_transaction(), items, tags, None))]
+    _above_the_bound(monkeypatch)
+    for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        spark.conf.set(conf, "-1" if "auto" in conf else "false")
+    try:
+        for k, got in enumerate((gold.shop_counts(f.order_transaction(), items, tags), gold.user_dish_counts(f.order_transaction(), items, tags, None))):
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" not in plan and plan.count("HashAggregate(") == 2, plan  # partial and final
+            assert _rows(got) == want[k]
+    finally:
+        for conf in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+            spark.conf.unset(conf)
+
+
+def test_area_joins_large_tags_to_the_span_s_lines_only(spark, monkeypatch):
+    import datetime as dt
+
+    f = Fixtures(spark, SF_SMALL)
+    args = f.order_transaction(), f.order_item(), f.shop(), f.address(), f.dish_tagging(), [RUN_DATE], (1, 7)
+    want, met, split = _rows(gold.area_category(*args)), [], gold.split_hot_join
+    _above_the_bound(monkeypatch)
+    monkeypatch.setattr(gold, "split_hot_join", lambda big, small, key, **kw: met.append(big.count()) or split(big, small, key, **kw))
+    assert _rows(gold.area_category(*args)) == want and want
+    held = f.order_transaction().where((F.col("order_date") >= F.lit(RUN_DATE - dt.timedelta(days=7))) & (F.col("order_date") < F.lit(RUN_DATE + dt.timedelta(days=1))))
+    assert met == [held.join(f.order_item(), "order_id").count()] and met[0] < f.order_item().count() / 10
+
+
+def test_menu_fan_out_takes_one_shuffle_of_the_ranks(spark):
+    """Every row once per row of its (user, dish); users and dishes that are NULL once, without a decile."""
+    rows = [("u", "a", 1, 4), ("u", "a", 2, 4), ("u", "a", 1001, 1), ("v", "a", 1, 9), (None, "a", 1, 2), (None, "a", 2, 2),
+            ("u", "b", 3, 1), ("w", "", 5, 1), ("v", "b", 3, 7), ("v", "b", 1003, 7)]
+    base = spark.createDataFrame(rows, "user_id string, dish_type_l3 string, category_id int, count_order long")
+    order = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or "", r[2]))
+    size = {d: sum(r[1] == d for r in rows) for _, d, *_ in rows}
+    rank = {r[:3]: 1 + sum(x[1] == r[1] for x in order[:i]) for i, r in enumerate(order)}
+    want = [(*r[:3], r[3], -(-10 * rank[o[:3]] // size[r[1]])) for r in rows for o in rows if r[:2] == o[:2] and r[0] is not None and r[1]]
+    want += [(*r[:3], r[3], None) for r in rows if r[0] is None]
+    made = gold.menu_category(None, None, None, RUN_DATE, base=base)
+    got = made.select("user_id", "dish_type_l3", "category_id", "count_order", "decile")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1  # the blocks' only
