@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from platewise.functions.arrays import argmax, max_prob
-from platewise.plans.ml import with_clean_text
+from platewise.functions.text import KEPT_RANGES
 from platewise.session import durable
 
 PIECE = 1 << 20  # characters whose n-grams are hashed at once
@@ -69,6 +69,24 @@ class BagModel:
 
 # ------------------------------------------------------------------ bags ----
 
+def _lower_kept() -> np.ndarray:
+    """Per code point what ``clean_text`` and ``lower`` leave of it; 0 where it is dropped."""
+    table = np.zeros(0x110000, np.uint32)
+    for lo, hi in KEPT_RANGES:
+        table[lo:hi + 1] = np.arange(lo, hi + 1)
+    table[ord("A"):ord("Z") + 1] += 32  # no other kept character has a lower case
+    return table
+
+
+def clean_lower(text: bytes | None, table: np.ndarray) -> str:
+    """``lower(clean_text(text))`` of a text in UTF-8, by a lookup per character, in pieces; no text is empty."""
+    out, whole = [], (text or b"").decode("utf-8", "ignore")  # a malformed byte is no kept character
+    for at in range(0, len(whole), PIECE):
+        kept = table[np.frombuffer(whole[at:at + PIECE].encode("utf-32-le"), np.uint32)]
+        out.append(kept[kept > 0].tobytes().decode("utf-32-le"))
+    return "".join(out)
+
+
 def _grams(points: np.ndarray, ngram: int, slots: int) -> np.ndarray:
     """Slot of the n-gram that starts at each position but the last ``ngram - 1``."""
     n = max(0, len(points) - ngram + 1)
@@ -124,8 +142,9 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _to_bags(shape: Shape):
     def run(batches):
+        table = _lower_kept()
         for batch in _slices(batches):
-            made = list(bags([t or "" for t in batch.column("_clean").to_pylist()], shape.ngram, shape.slots))
+            made = list(bags([clean_lower(t, table) for t in batch.column("_text").to_pylist()], shape.ngram, shape.slots))
             off = np.cumsum([0] + [len(s) for s, _ in made]).astype(np.int32)
             slots = np.concatenate([s for s, _ in made] or [np.zeros(0)]).astype(np.int32)
             share = np.concatenate([w for _, w in made] or [np.zeros(0)]).astype(np.float64)
@@ -136,9 +155,9 @@ def _to_bags(shape: Shape):
 
 
 def _bag_rows(df: DataFrame, text_col: str, label_col: str, shape: Shape) -> DataFrame:
-    text = with_clean_text(df, text_col).select(
-        F.lower("_clean").alias("_clean"), F.col(label_col).cast("int").alias("_label"), F.monotonically_increasing_id().alias("_at"))
-    rows = text.where(F.col("_label").isNotNull()).select("_clean", "_label", F.xxhash64("_at").alias("_spread"))
+    text = df.select(
+        F.col(text_col).cast("binary").alias("_text"), F.col(label_col).cast("int").alias("_label"), F.monotonically_increasing_id().alias("_at"))
+    rows = text.where(F.col("_label").isNotNull()).select("_text", "_label", F.xxhash64("_at").alias("_spread"))
     return rows.mapInArrow(_to_bags(shape), "label int, spread long, slots array<int>, shares array<double>")
 
 
@@ -316,15 +335,16 @@ def predict(model: BagModel, df: DataFrame, text_col: str) -> DataFrame:
 
     @F.pandas_udf("array<double>")
     def probs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        table = _lower_kept()
         flat = np.concatenate([given.value, np.zeros(sum(shape.sizes()[3:]))])
         e, w, b = shape.parts(flat)[:3]
         for texts in batches:
             out = []
-            for slots, shares in bags([t or "" for t in texts], shape.ngram, shape.slots):
+            for slots, shares in bags([clean_lower(t, table) for t in texts], shape.ngram, shape.slots):
                 out.append(_softmax((shares @ e[slots] if len(slots) else np.zeros(shape.width))[None] @ w.T + b)[0])
             yield pd.Series(out, dtype=object)
 
-    scored = with_clean_text(df, text_col).withColumn("probs", probs(F.lower("_clean"))).drop("_clean")
+    scored = df.withColumn("probs", probs(F.col(text_col).cast("binary")))
     return scored.withColumns({"category_id": argmax("probs"), "prob": max_prob("probs")})
 
 

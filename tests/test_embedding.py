@@ -133,3 +133,19 @@ def test_probabilities_and_odd_texts(spark):
         E.train(data.limit(0), "dish_name")
     with pytest.raises(ValueError, match="broadcast"):
         E.train(data, "dish_name", shape=E.Shape(0, slots=1 << 24))
+
+
+def test_cleaning_by_lookup_equals_the_regular_expression(spark, monkeypatch):
+    """Bags and scores come without the regular expression, over every code point, malformed bytes, NULL and long texts."""
+    from platewise.functions.text import clean_text
+
+    monkeypatch.setattr(E, "PIECE", 1000)
+    points = [c for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(map(chr, points[at:at + 3000])) for at in range(0, len(points), 3000)] + [None, "", "A B", "ÄİK\u212a Z" * 2000]
+    rows = spark.createDataFrame([(i, None if t is None else t.encode()) for i, t in enumerate(texts)] + [(-1, b"a\xffB\xe0\xb8C\xc3")], "i int, b binary")
+    df = rows.select("i", F.expr("CAST(b AS STRING)").alias("t"), "b")
+    want = {r.i: r.c for r in df.select("i", F.lower(F.coalesce(clean_text("t"), F.lit(""))).alias("c")).collect()}
+    table = E._lower_kept()
+    assert {r.i: E.clean_lower(None if r.b is None else bytes(r.b), table) for r in rows.collect()} == want
+    made = E._bag_rows(df.withColumn("y", F.lit(0)), "t", "y", E.Shape(2, slots=64))
+    assert "regexp_replace" not in made._jdf.queryExecution().optimizedPlan().toString() and made.count() == len(texts) + 1
