@@ -151,3 +151,34 @@ def test_cluster_without_shared_folder_is_an_error():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
     assert is_local("local[*]") and is_local("local") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+
+def test_small_shuffles_stay_small(spark):
+    """A session that gives a task less than 16 MB of a shuffle keeps that."""
+    from platewise import session
+
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes"]
+    was = [spark.conf.get(k) for k in sizes]
+    try:
+        for k in sizes:
+            spark.conf.set(k, "8m")
+        session.size_shuffles(spark, 8)
+        assert all(spark.conf.get(k) in ("8m", f"{8 << 20}b") for k in sizes)
+    finally:
+        for k, v in zip(sizes, was):
+            spark.conf.set(k, v)
+
+
+def test_lines_are_counted_in_the_buckets_of_their_orders(spark):
+    """The first shop of an order is found behind the shuffle by order, in a bucket: before it, a task's
+    map of orders grew with its part of the file; orders, lines and shops need no further shuffle."""
+    from platewise.sources.fixtures import Fixtures
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(Fixtures(spark, SF_SMALL, materialise=False).order_transaction())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    counted = p[p.index("HashAggregate"):].split("Exchange hashpartitioning(l_orderkey")
+    assert len(counted) == 2 and "partial_min" in counted[0] and "partial_min" not in counted[1]
+    assert p.count("Exchange hashpartitioning") == 2, p
