@@ -179,7 +179,8 @@ def decile_of_distinct(df: DataFrame, group: str, value: str, out: str = "decile
 
 
 def rank_in_group(df: DataFrame, group: str, order: Sequence[Column], rank_col: str = "rank",
-                  size_col: str = "group_size", num_partitions: int | None = None) -> DataFrame:
+                  size_col: str = "group_size", num_partitions: int | None = None,
+                  subgroup: str | None = None, nth_col: str = "nth", many_col: str = "many") -> DataFrame:
     """Row number of each row inside its ``group`` in ``order``, plus the group size,
     without putting a whole group into one task.
 
@@ -191,13 +192,25 @@ def rank_in_group(df: DataFrame, group: str, order: Sequence[Column], rank_col:
     offset of each block.  ``order`` must make rows unique inside a group so the
     positions are reproducible; the sorted frame is checkpointed to the shared
     folder so both uses see one materialisation.
+
+    ``subgroup`` names the column that ``order`` begins with, ascending with NULL
+    first.  Rows that agree in it too (they must be few) then stay in one partition,
+    and get their number among themselves (``nth_col``) and how many they are
+    (``many_col``) in the same sort, without a shuffle of their own.
     """
     from platewise.session import durable
 
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_keys = [F.col(group).asc_nulls_first(), *order]
-    s = (df.repartitionByRange(n, *sort_keys).sortWithinPartitions(*sort_keys)
+    if subgroup is None:
+        s = df.repartitionByRange(n, *sort_keys)
+    else:
+        same = Window.partitionBy(group, subgroup).orderBy(*order[1:])
+        whole = same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        s = df.repartitionByRange(n, *sort_keys[:2]).withColumns({
+            nth_col: F.row_number().over(same).cast("long"), many_col: F.count(F.lit(1)).over(whole)})
+    s = (s.sortWithinPartitions(*sort_keys)
          .withColumn("_pid", F.spark_partition_id())
          .withColumn("_pos", F.monotonically_increasing_id()))
     s = durable(s)

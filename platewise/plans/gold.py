@@ -144,15 +144,14 @@ def menu_category(orders: DataFrame, items: DataFrame, tags: DataFrame, busi_dt,
     b = base if base is not None else user_dish_counts(orders, items, tags, status)
     order_tail = [F.col("user_id").asc_nulls_first(), F.col("category_id").asc()]
     if mode == "faithful":
-        # the base has one row per (user, dish, id), so the regrouped counts are all 1 and
-        # the base itself is ranked; the fan-out then takes one shuffle of the stored ranks
+        # the base has one row per (user, dish, id), so the regrouped counts are all 1 and the base itself is ranked
         ranked = rank_in_group(b.select("user_id", "dish_type_l3", "category_id", "count_order"), "dish_type_l3",
-                               order_tail, rank_col="_rank", size_col="_size")
-        # each row once per row of its (user, dish), which are as many as the dish has ids
-        same = Window.partitionBy("user_id", "dish_type_l3")
+                               order_tail, rank_col="_rank", size_col="_size", subgroup="user_id", nth_col="_nth", many_col="_many")
+        # each row once per row of its (user, dish), which are as many as the dish has ids; their ranks follow one another
         known = F.col("user_id").isNotNull() & F.col("dish_type_l3").isNotNull()
-        found = F.when(known, F.collect_list(decile("_rank", "_size")).over(same)).otherwise(F.array(F.lit(None).cast("int")))
-        joined = ranked.withColumn("_found", found).withColumn("decile", F.explode("_found")).drop("_found")
+        before = F.col("_rank") - F.col("_nth")
+        ranks = F.when(known, F.sequence(before + 1, before + F.col("_many"))).otherwise(F.array(F.lit(None).cast("long")))
+        joined = ranked.withColumn("_each", F.explode(ranks)).withColumn("decile", decile("_each", "_size"))
     elif mode == "by_histogram":
         joined = decile_by_counting(b, "dish_type_l3", "count_order", "user_id", [F.col("category_id").asc()])
         joined = joined.withColumn("decile", F.when(F.col("user_id").isNotNull(), F.col("decile")))

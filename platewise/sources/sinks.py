@@ -83,7 +83,7 @@ def write_append(df: DataFrame, path: str, partition_by: Sequence[str] = ("busi_
 
 def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int,
                    partition_by: Sequence[str] = ()) -> DataFrame:
-    """Store ``df`` as an external catalog table bucketed and sorted by ``keys``.
+    """Store ``df`` as an external catalog table bucketed by ``keys``.
 
     Tables bucketed on the same key with the same bucket count join without a
     shuffle (Spark reads matching buckets together), so storing orders and
@@ -91,12 +91,13 @@ def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], bu
     daily job.  ``partition_by`` adds directory partitions (e.g. the order
     month) for pruning; buckets still line up across partitions.  The rows are dealt
     to their buckets before the write, so a bucket is one task's and one file (per
-    partition), not one per task that met it.  Returns the table as read back.
+    partition), not one per task that met it.  Buckets aren't sorted: Spark doesn't rely
+    on a bucket's order when it reads, and joins sort anyway.  Returns the table as read back.
     """
     w = df.repartition(buckets, *keys).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(table)
+    w.bucketBy(buckets, *keys).option("path", path).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -182,3 +182,36 @@ def test_lines_are_counted_in_the_buckets_of_their_orders(spark):
     counted = p[p.index("HashAggregate"):].split("Exchange hashpartitioning(l_orderkey")
     assert len(counted) == 2 and "partial_min" in counted[0] and "partial_min" not in counted[1]
     assert p.count("Exchange hashpartitioning") == 2, p
+
+
+def test_menu_ranks_and_fan_out_share_one_sort(spark):
+    """Rows of one (user, dish) stay together in the range shuffle, so the fan-out shuffles nothing."""
+    from pyspark.sql import functions as F
+
+    from platewise.plans import gold
+
+    rows = [(u, d, c, 1) for d in ("a", "b", None) for u in ("1", "10", "2", "30", None) for c in ((1, 2, 1001) if d == "a" else (1,))]
+    base = spark.createDataFrame(rows, "user_id string, dish_type_l3 string, category_id int, count_order long")
+    base = base.withColumn("recent_order_dt", F.lit("2001-01-01").cast("date")).repartition(5)
+    out = gold.menu_category(None, None, None, "2001-08-01", base=base)
+    got = sorted((r.dish_type_l3, r.user_id or "", r.category_id, r.decile or 0) for r in out.collect())
+    want = []
+    for dish in ("a", "b"):
+        mine = sorted((r for r in rows if r[1] == dish), key=lambda r: (r[0] is not None, r[0] or "", r[2]))
+        decile = {(r[0], r[2]): -(-10 * k // len(mine)) for k, r in enumerate(mine, 1)}
+        for u, _, c, _ in mine:
+            want += [(dish, u or "", c, d) for (v, _), d in decile.items() if u is not None and v == u] or [(dish, "", c, 0)]
+    assert got == sorted(want) and len(got) == 4 * 9 + 3 + 5
+    assert "hashpartitioning(user_id" not in plan(out)
+
+
+def test_buckets_are_not_sorted_when_written(spark):
+    import uuid
+
+    from platewise.session import work_path
+    from platewise.sources import sinks
+
+    name = f"unsorted_{uuid.uuid4().hex[:8]}"
+    sinks.write_bucketed(spark.range(1000).withColumnRenamed("id", "order_id"), name, work_path(spark, name), ["order_id"], 4)
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
+    assert described["Num Buckets"] == "4" and described.get("Sort Columns", "[]") == "[]"
