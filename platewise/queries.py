@@ -35,7 +35,7 @@ def customer_category(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def menu_category_faithful(spark: SparkSession, sf: str) -> DataFrame:
-    f = Fixtures(spark, sf)
+    f = Fixtures(spark, sf, store_orders=False)  # the base reads them once
     return gold.menu_category(f.order_transaction(), f.order_item(), f.dish_tagging(), RUN_DATE,
                               mode="faithful")
 

@@ -215,3 +215,23 @@ def test_buckets_are_not_sorted_when_written(spark):
     sinks.write_bucketed(spark.range(1000).withColumnRenamed("id", "order_id"), name, work_path(spark, name), ["order_id"], 4)
     described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {name}").collect()}
     assert described["Num Buckets"] == "4" and described.get("Sort Columns", "[]") == "[]"
+
+
+def test_a_job_that_reads_the_orders_once_stores_no_copy(spark, monkeypatch):
+    from platewise.queries import all_queries
+    from platewise.sources import fixtures
+
+    query = all_queries()["menu_category"]
+    fixtures.Fixtures(spark, SF_SMALL).order_transaction(), fixtures.Fixtures(spark, SF_SMALL).order_item()
+    want = sorted(map(str, query(spark, SF_SMALL).collect()))  # from the stored tables, as these are there
+    monkeypatch.setattr(fixtures, "_STORED", {})
+    got = query(spark, SF_SMALL)
+    assert not {"order_transaction", "order_item"} & {name for _, _, name in fixtures._STORED}
+    assert sorted(map(str, got.collect())) == want and want
+    f = fixtures.Fixtures(spark, SF_SMALL, store_orders=False)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(f.order_transaction().join(f.order_item(), "order_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert p.count("Exchange hashpartitioning") == 3, p  # orders, lines for the first shop, lines
