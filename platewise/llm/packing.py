@@ -155,7 +155,9 @@ def pack_documents(df: DataFrame, path: str, capacity: int = 1024, end_id: int =
     pieces = stored(cut_documents(df, path, capacity, end_id, id_col, text_col, keep_ids), "pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows = plan(histogram, capacity)
-    places = spark.createDataFrame(rows, "_length bigint, _first bigint, _n bigint, _sequence bigint, _k bigint, _at bigint")
+    # from Arrow, since a list would pass through Python workers of its own
+    columns = np.array(rows, np.int64).reshape(-1, 6).T
+    places = spark.createDataFrame(pa.table(list(columns), ["_length", "_first", "_n", "_sequence", "_k", "_at"]))
     numbered = number_in_groups(pieces, ["length"], [id_col, "piece"], "_i")
     # the plan has a few rows per length, so it is bounded by the capacity
     met = numbered.join(F.broadcast(places), (F.col("length") == F.col("_length")) & (F.col("_i") >= F.col("_first"))

@@ -194,9 +194,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     text_batches(docs.sparkSession)
     known = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col))
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.avg(F.col(label_col).cast("double")).alias("_y"))
-    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows).collect()
-    # the sample is bounded by max_rows, so its ids may be broadcast
-    sample = docs.sparkSession.createDataFrame([(r._id, r._y) for r in chosen], known.schema)
+    chosen = known.orderBy(F.xxhash64("_id"), "_id").limit(max_rows).toArrow()
+    # the sample is bounded by max_rows, so its ids may be broadcast; a list would pass through Python workers of its own
+    sample = docs.sparkSession.createDataFrame(chosen, known.schema)
     rows = docs.select(F.col(id_col).alias("_k"), F.col(text_col).alias("_t")).join(F.broadcast(sample), F.col("_k") == F.col("_id"))
 
     def run(batches):

@@ -29,23 +29,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import broadcast_ids, small_batches, stored, words
+from platewise.llm.common import broadcast_ids, release_memory, small_batches, stored, words
 from platewise.llm.text_arrays import Words
 
 CELL_BYTES = 8 << 20  # text behind one cell of the index
+DEAL_BYTES, READ_BYTES = 2 << 20, 1 << 18  # text dealt at once, and read at once for it
 
 
-def _runs(h: np.ndarray, g: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """(group of each item, size of each group) of equal fingerprints."""
+def _runs(h: np.ndarray, g: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(group of each item, size of each group, first item of each group) of equal fingerprints."""
     order = np.argsort(h, kind="stable") if g is None else np.lexsort((g, h))
     h = h[order]
     new = h[1:] != h[:-1]
     if g is not None:
         g = g[order]
         new |= g[1:] != g[:-1]
-    group = np.empty(len(order), np.int64)
-    group[order] = np.concatenate([[0], np.cumsum(new)])[:len(order)]
-    return group, np.bincount(group, minlength=1)
+    first = order[np.concatenate([[True], new])[:len(order)]]
+    del h, g
+    rank = np.zeros(len(order), np.int32)
+    np.cumsum(new, dtype=np.int32, out=rank[1:])
+    group = np.empty(len(order), np.int32)
+    group[order] = rank
+    return group, np.bincount(group, minlength=1), first
 
 
 def _pack(h: np.ndarray, g: np.ndarray | None) -> bytes:
@@ -72,21 +77,26 @@ def _met_twice(found: DataFrame, kind: str, items, cells: int, wide: bool) -> Da
     shape = f"cell int, probe binary, ask binary, id array<{kind}>, at array<int>, hit_id array<{kind}>, hit_at array<int>"
 
     def deal(batches):
-        for b in small_batches(batches, 2 << 20):
-            h, g, row, place, asks = items(b)
+        for b in small_batches(batches, DEAL_BYTES):
+            read, at = [], 0
+            for part in small_batches([b], READ_BYTES):
+                h, g, row, place, asks = items(part)
+                read.append((h, g, (row + at).astype(np.int32), place.astype(np.int32), asks))
+                at += part.num_rows
+            h, g, row, place, asks = (None if x[0] is None else np.concatenate(x) for x in zip(*read))
+            del read
             if not len(h):
                 continue
-            group, size = _runs(h, g)
+            group, size, pick = _runs(h, g)
             twice = size[group] > 1
+            del group
             hit = np.flatnonzero(asks & twice)
-            first = np.zeros(len(h), bool)
-            first[np.unique(group, return_index=True)[1]] = True
-            cell = (h % np.uint64(cells)).astype(np.int64) if wide else ((h >> np.uint64(16)) % np.uint64(cells)).astype(np.int64)
+            pick.sort()
+            cell = ((h[pick] if wide else h[pick] >> np.uint64(16)) % np.uint64(cells)).astype(np.int32)
             out = {k: [] for k in ("cell", "probe", "ask", "id", "at", "hit_id", "hit_at")}
             ids = b.column(0)
-            pick = np.flatnonzero(first)
-            pick = pick[np.argsort(cell[pick], kind="stable")]
-            ends = np.searchsorted(cell[pick], np.arange(cells + 1))
+            order = np.argsort(cell, kind="stable")
+            pick, ends = pick[order], np.searchsorted(cell[order], np.arange(cells + 1))
             met = np.flatnonzero(np.diff(ends))
             bearer = met[int(h[0] >> np.uint64(20)) % len(met)]  # of what is decided here
             for c in met:
@@ -108,10 +118,15 @@ def _met_twice(found: DataFrame, kind: str, items, cells: int, wide: bool) -> Da
                 "ask": pa.array(out["ask"], pa.binary()), **{k: _lists(out[k]) for k in ("id", "at", "hit_id", "hit_at")}})
 
     def meet(table: pa.Table) -> pa.Table:
+        met = matched(table)
+        release_memory()
+        return met
+
+    def matched(table: pa.Table) -> pa.Table:
         probe, ask = (_unpack(b"".join(table[k].to_pylist()), wide) for k in ("probe", "ask"))
         n = len(ask[0])
         h = np.concatenate([ask[0], probe[0]])
-        group, size = _runs(h, np.concatenate([ask[1], probe[1]]) if wide else None)
+        group, size, _ = _runs(h, np.concatenate([ask[1], probe[1]]) if wide else None)
         hit = np.flatnonzero(size[group[:n]] > 1)
         flat = lambda k: pa.concat_arrays([c.flatten() for c in table[k].chunks])
         return pa.table({"id": pa.concat_arrays([flat("id").take(pa.array(hit)), flat("hit_id")]),
