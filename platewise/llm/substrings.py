@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from platewise.llm.common import broadcast_ids, release_memory, small_batches, stored, words
+from platewise.llm.common import broadcast_ids, pieces, release_memory, small_batches, stored, words
 from platewise.llm.text_arrays import Words
 
 CELL_BYTES = 8 << 20  # text behind one cell of the index
@@ -79,7 +79,7 @@ def _met_twice(found: DataFrame, kind: str, items, cells: int, wide: bool) -> Da
     def deal(batches):
         for b in small_batches(batches, DEAL_BYTES):
             read, at = [], 0
-            for part in small_batches([b], READ_BYTES):
+            for part in pieces(b, READ_BYTES):
                 h, g, row, place, asks = items(part)
                 read.append((h, g, (row + at).astype(np.int32), place.astype(np.int32), asks))
                 at += part.num_rows
